@@ -37,9 +37,18 @@ def uuid_to_bytes(text: Column) -> Column:
     return F.unhex(F.replace(text, F.lit("-"), F.lit("")))
 
 
+def uuid_at(raw: Column, start: int = 1) -> Column:
+    """Canonical text of the 16 bytes from position start (1-based) on.
+
+    Cuts bytes, not text: a byte position is found at once, a character position by counting.
+    """
+    cuts = ((0, 4), (4, 2), (6, 2), (8, 2), (10, 6))
+    return F.lower(F.concat_ws("-", *[F.hex(F.substring(raw, start + at, n)) for at, n in cuts]))
+
+
 def bytes_to_uuid(raw: Column) -> Column:
     """16 bytes -> canonical text; NULL for any other length."""
-    return F.when(F.octet_length(raw) == 16, dashed(F.lower(F.hex(raw))))
+    return F.when(F.octet_length(raw) == 16, uuid_at(raw))
 
 
 def _hex_to_long(digits: Column) -> Column:

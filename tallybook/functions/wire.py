@@ -12,12 +12,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.ids import dashed
+from tallybook.functions.ids import uuid_at, uuid_to_bytes
 
 # Tag and length bytes of the three fields, and the message sizes.
-ID_HEAD = "0A10"
-ACCOUNT_HEAD = "1210"
-AMOUNT_TAG = "18"
+ID_HEAD = b"\x0a\x10"
+ACCOUNT_HEAD = b"\x12\x10"
+AMOUNT_TAG = b"\x18"
 BARE_BYTES = 36
 LONGEST_VARINT = 10
 
@@ -38,16 +38,21 @@ def _continued(count: Column) -> Column:
     return F.get(F.array(*[_long(m) for m in CONTINUED]), count)
 
 
+def _half(raw: Column, start: int) -> Column:
+    """Five bytes from start on as a number, zeros where the value has ended."""
+    digits = F.rpad(F.hex(F.substring(raw, start, 5)), 10, "0")
+    return F.conv(digits, 16, 10).cast("bigint")
+
+
 def decode_postings(df: DataFrame, value: str = "value") -> DataFrame:
     """Add id, account_id, amount and decoded (false where the bytes are not one posting)."""
-    size = F.octet_length(F.col(value))
-    digits = F.col("_hex")
-    staged = df.withColumns({"_hex": F.hex(F.col(value)), "_bytes": size - F.lit(BARE_BYTES + 1)})
-    staged = staged.withColumn("_varint", F.rpad(F.substring(digits, 75, 20), 20, "0"))
-    staged = staged.withColumns(
+    raw, size = F.col(value), F.octet_length(F.col(value))
+    count = F.col("_bytes")  # bytes of the varint, -1 where amount and tag are left out
+    staged = df.withColumns(
         {
-            "_first": F.conv(F.substring("_varint", 1, 10), 16, 10).cast("bigint"),
-            "_last": F.conv(F.substring("_varint", 11, 10), 16, 10).cast("bigint"),
+            "_bytes": size - F.lit(BARE_BYTES + 1),
+            "_first": F.when(size > BARE_BYTES, _half(raw, 38)).otherwise(_long(0)),
+            "_last": F.when(size > BARE_BYTES + 6, _half(raw, 43)).otherwise(_long(0)),
         }
     )
     bits = _long(CONTINUED[5])
@@ -58,28 +63,23 @@ def decode_postings(df: DataFrame, value: str = "value") -> DataFrame:
         )
         for i in range(LONGEST_VARINT)
     ]
-    more = F.col("_bytes") - 1
+    more = count - 1
     amount_ok = (
-        F.col("_bytes").between(1, LONGEST_VARINT)
-        & (F.substring(digits, 73, 2) == AMOUNT_TAG)
+        count.between(1, LONGEST_VARINT)
+        & (F.substring(raw, 37, 1) == F.lit(AMOUNT_TAG))
         & (F.col("_first").bitwiseAND(bits) == _continued(F.least(more, F.lit(5))))
         & (F.col("_last").bitwiseAND(bits) == _continued(F.greatest(more - 5, F.lit(0))))
     )
-    ok = F.coalesce(
-        (F.substring(digits, 1, 4) == ID_HEAD)
-        & (F.substring(digits, 37, 4) == ACCOUNT_HEAD)
-        & ((F.col("_bytes") == -1) | amount_ok),
-        F.lit(False),
-    )
+    heads = (F.substring(raw, 1, 2) == F.lit(ID_HEAD)) & (F.substring(raw, 19, 2) == F.lit(ACCOUNT_HEAD))
+    ok = F.coalesce(heads & ((count == -1) | amount_ok), F.lit(False))
     staged = staged.withColumn("decoded", ok)
-    lower = F.lower(digits)
     return staged.withColumns(
         {
-            "id": F.when(F.col("decoded"), dashed(F.substring(lower, 5, 32))),
-            "account_id": F.when(F.col("decoded"), dashed(F.substring(lower, 41, 32))),
+            "id": F.when(F.col("decoded"), uuid_at(raw, 3)),
+            "account_id": F.when(F.col("decoded"), uuid_at(raw, 21)),
             "amount": F.when(F.col("decoded"), _or(sevens)),
         }
-    ).drop("_hex", "_bytes", "_varint", "_first", "_last")
+    ).drop("_bytes", "_first", "_last")
 
 
 def encode_posting(posting_id: Column, account_id: Column, amount: Column) -> Column:
@@ -93,9 +93,9 @@ def encode_posting(posting_id: Column, account_id: Column, amount: Column) -> Co
     more = size - 1
     first = _or(groups[:5] + [_continued(F.least(more, F.lit(5)))])
     last = _or(groups[5:] + [_continued(F.greatest(more - 5, F.lit(0)))])
-    varint = F.concat(F.lpad(F.hex(first), 10, "0"), F.lpad(F.hex(last), 10, "0"))
-    tail = F.when(amount == 0, F.lit("")).otherwise(
-        F.concat(F.lit(AMOUNT_TAG), F.substring(varint, F.lit(1), size * 2))
+    digits = F.concat(F.lpad(F.hex(first), 10, "0"), F.lpad(F.hex(last), 10, "0"))
+    varint = F.unhex(F.substring(digits, F.lit(1), size * 2))
+    tail = F.when(amount == 0, F.lit(b"")).otherwise(F.concat(F.lit(AMOUNT_TAG), varint))
+    return F.concat(
+        F.lit(ID_HEAD), uuid_to_bytes(posting_id), F.lit(ACCOUNT_HEAD), uuid_to_bytes(account_id), tail
     )
-    bare = lambda c: F.replace(c, F.lit("-"), F.lit(""))
-    return F.unhex(F.concat(F.lit(ID_HEAD), bare(posting_id), F.lit(ACCOUNT_HEAD), bare(account_id), tail))

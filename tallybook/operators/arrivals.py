@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,33 +31,57 @@ def insert_if_absent(batch: DataFrame, ledger: DataFrame, key: str = "id") -> Da
     return batch.join(ledger.select(key), key, "left_anti")
 
 
-def key_ranges(batch: DataFrame, key: str = "id", most: int = 64) -> list[tuple]:
-    """Ranges that together hold every key of the batch: at most `most`, else one.
+def _lead(batch: DataFrame, key: str) -> Column:
+    """The part of a key that neighbours in time share, for ids that grow with time."""
+    text = isinstance(batch.schema[key].dataType, T.StringType)
+    return F.substring(key, 1, 8) if text else F.shiftright(key, 20)
+
+
+def key_ranges(batch: DataFrame, key: str = "id", most: int = 64) -> tuple[int, list[tuple]]:
+    """The number of rows, and ranges that together hold every key: at most `most`, else one.
 
-    Keys are grouped by their leading part. Time-ordered ids give a few narrow ranges, one per
-    period, so a single late retry does not stretch the range over everything since.
+    Time-ordered ids give a few narrow ranges, one per period, so a single late retry does not
+    stretch the range over everything since. Random ids give one wide range.
     """
-    text = isinstance(batch.schema[key].dataType, T.StringType)
-    lead = F.substring(key, 1, 8) if text else F.shiftright(key, 20)
-    groups = batch.groupBy(lead.alias("lead")).agg(F.min(key).alias("low"), F.max(key).alias("high"))
-    rows = groups.filter(F.col("low").isNotNull()).limit(most + 1).collect()
-    if len(rows) > most:
-        rows = batch.agg(F.min(key).alias("low"), F.max(key).alias("high")).collect()
-    return sorted((r["low"], r["high"]) for r in rows)
+    lead = _lead(batch, key)
+    low, high = F.min(key).alias("low"), F.max(key).alias("high")
+    span = batch.agg(F.count("*").alias("rows"), low, high, F.approx_count_distinct(lead).alias("leads")).first()
+    if span["low"] is None:
+        return span["rows"], []
+    if 1 < span["leads"] <= most:
+        parts = batch.groupBy(lead.alias("lead")).agg(low, high)
+        rows = parts.filter(F.col("low").isNotNull()).limit(most + 1).collect()
+        if len(rows) <= most:
+            return span["rows"], sorted((r["low"], r["high"]) for r in rows)
+    return span["rows"], [(span["low"], span["high"])]
+
+
+KEY_BYTES = 64  # more than one id takes in a broadcast table, headers included
 
 
 def known_keys(ledger: DataFrame, batch: DataFrame, key: str = "id") -> DataFrame:
-    """Keys of the ledger that occur in a (much smaller) batch.
+    """Ledger keys that may occur in the batch; every key that does occur is among them.
 
     The batch's key ranges go down to the Parquet scan, where row groups outside them are
-    skipped: time-ordered ids leave only recent files. The semi join then lets Spark broadcast
-    the batch's keys when their size is below its threshold, so the ledger is not shuffled;
-    above it, both sides are. Only the bounded list of ranges reaches the driver.
+    skipped: time-ordered ids leave only recent files. Where the batch's keys, by their count,
+    stay below Spark's broadcast threshold, they are broadcast and the ledger is reduced to the
+    matches without a shuffle; beyond it the ranges alone reduce it.
     """
+    rows, ranges = key_ranges(batch, key)
     keys = ledger.select(key)
-    ranges = [F.col(key).between(low, high) for low, high in key_ranges(batch, key)]
-    keys = keys.filter(reduce(lambda a, b: a | b, ranges, F.lit(False)))
-    return keys.join(batch.select(key), key, "left_semi")
+    keys = keys.filter(reduce(lambda a, b: a | b, [F.col(key).between(*r) for r in ranges], F.lit(False)))
+    if rows * KEY_BYTES <= broadcast_limit(ledger.sparkSession):
+        keys = keys.join(F.broadcast(batch.select(key)), key, "left_semi")
+    return keys
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """spark.sql.autoBroadcastJoinThreshold in bytes; below 0 where broadcasts are switched off."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    match = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", text)
+    if not match:
+        raise ValueError(f"unreadable broadcast threshold {text!r}")
+    return int(match[1]) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[match[2]]
 
 
 def archive(rows: DataFrame, history: DataFrame, key: str = "id") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.schemas import EARLIEST, NO_OFFSET, PARTITIONS
@@ -26,10 +26,10 @@ def in_partition_range(df: DataFrame, text: str) -> DataFrame:
     return df.filter(F.col("partition_id").between(low, high))
 
 
-def batch_offsets(deliveries: DataFrame) -> DataFrame:
+def batch_offsets(deliveries: DataFrame, *more: Column) -> DataFrame:
     """Last offset and row count per partition of a batch, rejected records included."""
     return deliveries.groupBy("partition_id").agg(
-        F.max("log_offset").alias("last_offset"), F.count("*").alias("rows_delivered")
+        F.max("log_offset").alias("last_offset"), F.count("*").alias("rows_delivered"), *more
     )
 
 

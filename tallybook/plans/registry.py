@@ -100,7 +100,7 @@ def ledger_append(spark: SparkSession, sf: str) -> DataFrame:
     for batch in (0, 1, 2, 3, 3):
         part = rows.filter(F.col("batch_id") == batch).drop("batch_id")
         append_postings(spark, book, part, (0, batch))
-        commit_batch(book, part, (0, batch))
+        commit_batch(book, offsets.batch_offsets(part), (0, batch))
     return _placed(tables.read_ledger(spark, book))
 
 
@@ -382,7 +382,7 @@ def stepwise_fold(spark: SparkSession, sf: str) -> DataFrame:
     for batch in range(4):
         part = rows.filter(F.col("batch_id") == batch).drop("batch_id")
         append_postings(spark, book, part, (0, batch))
-        commit_batch(book, part, (0, batch))
+        commit_batch(book, offsets.batch_offsets(part), (0, batch))
         fold_once(spark, book)
     return tables.read_accounts(spark, book).select("id", "balance")
 

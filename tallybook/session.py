@@ -19,6 +19,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # The cache holds one micro-batch at a time and is read a few times: speed over size.
+        .config("spark.sql.inMemoryColumnarStorage.compressed", "false")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")

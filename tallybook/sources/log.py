@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.rows import select_where
 from tallybook.functions.wire import decode_postings
-from tallybook.schemas import EARLIEST, LOG_RECORD, TOPIC
+from tallybook.schemas import EARLIEST, LOG_RECORD, MICRO_BATCH_ROWS, PARTITIONS, TOPIC
 
 
 def log_options(
@@ -34,7 +34,7 @@ def read_log(
     servers: str,
     starts: Mapping[int, int],
     topic: str = TOPIC,
-    rows_per_trigger: int | None = None,
+    rows_per_trigger: int | None = PARTITIONS * MICRO_BATCH_ROWS,
 ) -> DataFrame:
     """Streaming log records from Kafka. Needs Spark's Kafka connector (untested here)."""
     reader = spark.readStream.format("kafka").options(
@@ -44,9 +44,9 @@ def read_log(
 
 
 def publish(records: DataFrame, servers: str) -> None:
-    """Write (key, value, timestamp, topic) to Kafka, waiting for all replicas (untested here)."""
+    """Write log records to Kafka, waiting for all replicas (untested here). Kafka sets the time."""
     options = {"kafka.bootstrap.servers": servers, "kafka.acks": "all"}
-    records.write.format("kafka").options(**options).save()
+    records.select("topic", "key", "value").write.format("kafka").options(**options).save()
 
 
 def from_starts(records: DataFrame, starts: Mapping[int, int]) -> DataFrame:

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,14 +91,21 @@ def write_batch(rows: DataFrame, book: Book, table: str, batch: Batch) -> None:
 
 
 def is_committed(spark: SparkSession, book: Book, batch: Batch) -> bool:
+    """Looks at the batch's own folder only, however many batches there are."""
     run, number = batch
-    commits = read_commits(spark, book)
-    return not commits.filter((F.col("run_id") == run) & (F.col("batch_id") == number)).isEmpty()
-
-
-def last_committed(spark: SparkSession, book: Book) -> Batch | None:
-    """The newest batch; every batch before it is committed too, they run one after another."""
-    top = read_commits(spark, book).agg(F.max(F.struct("run_id", "batch_id")).alias("top")).first()["top"]
+    folder = f"{book.path('commits')}/run_id={run}/batch_id={number}"
+    try:
+        return not spark.read.schema(schemas.COMMITS).parquet(folder).isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
+def last_committed(spark: SparkSession, book: Book, since: Batch) -> Batch | None:
+    """The newest batch after `since`; batches run one after another, so all before it are committed."""
+    newer = read_commits(spark, book).filter(after(since))
+    top = newer.agg(F.max(F.struct("run_id", "batch_id")).alias("top")).first()["top"]
     return None if top is None else (top["run_id"], top["batch_id"])
 
 

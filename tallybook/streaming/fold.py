@@ -27,13 +27,13 @@ def fold_once(spark: SparkSession, book: Book) -> bool:
     A fold that fails publishes nothing and is simply run again. Only the buckets with a
     change are read and written.
     """
-    newest = last_committed(spark, book)
     marks = current_marks(spark, book)
-    if newest is None or marks is None:
+    if marks is None:
         return False
     rows = marks.collect()  # one row per bucket
     applied = (rows[0]["run_id"], rows[0]["batch_id"])
-    if newest <= applied:
+    newest = last_committed(spark, book, applied)
+    if newest is None:
         return False
     fresh = read_ledger(spark, book).filter(after(applied) & ~after(newest))
     net = net_changes(fresh).withColumn("bucket", bucket_of(F.col("account_id"), book.buckets)).persist()

@@ -31,9 +31,9 @@ def append_postings(
     write_batch(fresh.withColumn("committed_at", F.current_timestamp()), book, "ledger", batch)
 
 
-def commit_batch(book: Book, deliveries: DataFrame, batch: Batch) -> None:
-    """Record the last offset per partition, rejected records included. Makes the batch count."""
-    summary = batch_offsets(deliveries).withColumn("committed_at", F.current_timestamp())
+def commit_batch(book: Book, offsets: DataFrame, batch: Batch) -> None:
+    """Record the last offset and rows per partition. Makes the batch count."""
+    summary = offsets.withColumn("committed_at", F.current_timestamp())
     write_batch(summary.coalesce(1), book, "commits", batch)
 
 
@@ -47,12 +47,18 @@ def ingest_batch(
     """
     if is_committed(spark, book, batch):
         return
-    decoded = decode_log(records).persist()
+    bad = ~F.col("decoded")
+    raw = {name: F.when(bad, F.col(name)) for name in ("key", "value")}
+    decoded = decode_log(records).withColumns(raw).persist()  # raw bytes only where quarantine needs them
     try:
-        if not decoded.filter("NOT decoded").isEmpty():
+        # One row per log partition.
+        summary = batch_offsets(decoded, F.count_if(bad).alias("bad")).collect()
+        if any(r["bad"] for r in summary):
             write_batch(bad_records(decoded), book, "quarantine", batch)
         append_postings(spark, book, good_postings(decoded), batch, horizon)
-        commit_batch(book, decoded, batch)
+        offsets = [(r["partition_id"], r["last_offset"], r["rows_delivered"]) for r in summary]
+        schema = "partition_id INT, last_offset BIGINT, rows_delivered BIGINT"
+        commit_batch(book, spark.createDataFrame(offsets, schema), batch)
     finally:
         decoded.unpersist()
 
