@@ -194,9 +194,10 @@ def json_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def proto_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Protobuf bodies (batch_id, body); batch_id modulo 5: 1 cut short, 2 a short id, 4 empty."""
     kind = F.col("batch_id") % 5
-    message = encode_posting(F.col("uid"), F.col("aid"), signed_amount("id", "amount"))
-    frame = F.concat(F.lit("0A"), F.hex(F.octet_length(message)), F.hex(message))
-    items = _request_items(spark, sf_dir).select("batch_id", F.struct("pos", frame.alias("text")).alias("item"))
+    rows = _request_items(spark, sf_dir).withColumn("signed", signed_amount("id", "amount"))
+    rows = rows.withColumn("message", encode_posting(F.col("uid"), F.col("aid"), F.col("signed")))
+    frame = F.concat(F.lit("0A"), F.hex(F.octet_length("message")), F.hex("message"))
+    items = rows.select("batch_id", F.struct("pos", frame.alias("text")).alias("item"))
     grouped = items.groupBy("batch_id").agg(F.sort_array(F.collect_list("item")).alias("items"))
     digits = F.array_join(F.col("items.text"), "")
     broken = (
