@@ -6,12 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: the canonical text form.
-UUID_PATTERN = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
+UUID_PATTERN = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 URN_PREFIX = "urn:uuid:"
 
 
 def dashed(hex32: Column) -> Column:
-    """32 lower-case hex digits -> 8-4-4-4-12."""
+    """32 hex digits -> 8-4-4-4-12."""
     cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
     return F.concat_ws("-", *[F.substring(hex32, at, n) for at, n in cuts])
 
@@ -21,15 +21,14 @@ def canonical_uuid(text: Column) -> Column:
 
     Accepts the plain form, the urn form, the braced form and bare hex, in any case.
     """
-    s = F.lower(text)
-    n = F.char_length(s)
+    n = F.char_length(text)
     body = (
-        F.when(n == 36, s)
-        .when((n == 45) & s.startswith(URN_PREFIX), F.substring(s, 10, 36))
-        .when((n == 38) & s.startswith("{") & s.endswith("}"), F.substring(s, 2, 36))
-        .when(n == 32, dashed(s))
+        F.when(n == 36, text)
+        .when((n == 45) & (F.lower(F.substring(text, 1, 9)) == URN_PREFIX), F.substring(text, 10, 36))
+        .when((n == 38) & text.startswith("{") & text.endswith("}"), F.substring(text, 2, 36))
+        .when(n == 32, dashed(text))
     )
-    return F.when(body.rlike(UUID_PATTERN), body)
+    return F.lower(F.when(body.rlike(UUID_PATTERN), body))
 
 
 def uuid_to_bytes(text: Column) -> Column:

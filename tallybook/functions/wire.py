@@ -84,8 +84,7 @@ def decode_postings(df: DataFrame, value: str = "value") -> DataFrame:
 
 def encode_posting(posting_id: Column, account_id: Column, amount: Column) -> Column:
     """Canonical ids and an amount -> message bytes."""
-    steps = [(amount >= _long(1 << (7 * i))).cast("int") for i in range(1, 9)]
-    size = F.when(amount < 0, F.lit(LONGEST_VARINT)).otherwise(reduce(lambda a, b: a + b, steps, F.lit(1)))
+    size = F.ceil(F.char_length(F.bin(amount)) / 7).cast("int")  # seven bits to a byte, 64 if negative
     groups = [
         F.shiftleft(F.shiftrightunsigned(amount, 7 * i).bitwiseAND(_long(0x7F)), 8 * (4 - i % 5))
         for i in range(LONGEST_VARINT)

@@ -116,11 +116,11 @@ def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every 101st original record is damaged: its value loses the last byte of the account id.
     """
     rows = as_uuids(deliveries(spark, sf_dir).withColumn("number", F.col("id")))
-    value = encode_posting(F.col("id"), F.col("account_id"), F.col("amount"))
+    rows = rows.withColumn("value", encode_posting(F.col("id"), F.col("account_id"), F.col("amount")))
     damaged = (F.col("number") % 101 == 7) & (F.col("log_offset") < COPY_STEP)
     return rows.select(
         uuid_to_bytes(F.col("account_id")).alias("key"),
-        F.when(damaged, F.substring(value, 1, 35)).otherwise(value).alias("value"),
+        F.when(damaged, F.substring("value", 1, 35)).otherwise(F.col("value")).alias("value"),
         F.col("partition_id").alias("partition"),
         F.col("log_offset").alias("offset"),
         F.col("created_at").alias("timestamp"),
