@@ -115,7 +115,7 @@ def throughput(spark: SparkSession) -> dict[str, float]:
 
 
 def main() -> None:
-    spark = build_session(f"local[{CPUS}]", CPUS)
+    spark = build_session(f"local[{CPUS}]", CPUS, os.environ.get("BENCH_MEMORY", "16g"))
     spark.sparkContext.setLogLevel("ERROR")
     times = query_times(spark)
     line = {

@@ -8,7 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def build_session(
+    master: str | None = None, shuffle_partitions: int | None = None, memory: str = "4g"
+) -> SparkSession:
     """A session with the settings this package relies on.
 
     On a cluster, master and sizing come from spark-submit; only local runs pass them.
@@ -24,6 +26,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
+        builder = builder.config("spark.driver.memory", memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()

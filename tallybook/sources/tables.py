@@ -52,10 +52,19 @@ class Book:
 TABLES = ("ledger", "history", "commits", "quarantine", "marks", "runs")
 
 
+def truncate_table(spark: SparkSession, book: Book, table: str) -> None:
+    """Empty one table by overwriting it with no rows.
+
+    A fold does not need this: it moves its mark past the batches it has applied.
+    """
+    nothing = spark.createDataFrame([], book.schema(table))
+    nothing.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(book.path(table))
+
+
 def init_tables(spark: SparkSession, book: Book) -> None:
-    """Create the tables, empty. Overwrites: also the full reset."""
+    """Create the tables, empty. On a book that exists this is the full reset."""
     for table in TABLES:
-        spark.createDataFrame([], book.schema(table)).write.mode("overwrite").parquet(book.path(table))
+        truncate_table(spark, book, table)
 
 
 def read_table(spark: SparkSession, book: Book, table: str) -> DataFrame:
@@ -204,7 +213,10 @@ def register_views(spark: SparkSession, book: Book) -> None:
 
 
 def create_external_tables(spark: SparkSession, book: Book, database: str) -> None:
-    """Catalog entries over the folders, for sites with a shared metastore."""
+    """Catalog entries over the folders, for sites with a shared metastore.
+
+    Batches written later appear after ALTER TABLE ... RECOVER PARTITIONS.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for table in ("ledger", "history", "commits", "quarantine"):
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in book.schema(table).fields)
@@ -212,6 +224,7 @@ def create_external_tables(spark: SparkSession, book: Book, database: str) -> No
             f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}) USING parquet "
             f"PARTITIONED BY (run_id, batch_id) LOCATION '{book.path(table)}'"
         )
+        spark.sql(f"ALTER TABLE {database}.{table} RECOVER PARTITIONS")
 
 
 def drop_external_tables(spark: SparkSession, database: str) -> None:

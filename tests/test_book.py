@@ -127,7 +127,7 @@ def test_batches_and_folds(spark, folder):
     assert tables.read_account(spark, book, str(uid("a", 77))).count() == 0
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(seed=st.integers(0, 10**6), cuts=st.lists(st.integers(1, 59), max_size=2, unique=True), data=st.data())
 def test_any_chunking_and_replay(spark, folder, seed, cuts, data):
     """The same log in other chunks, each repeated or folded at will, gives the same book."""
@@ -318,6 +318,12 @@ def test_views_and_reset(spark, folder):
     assert spark.sql("SELECT sum(amount) FROM ledger").first()[0] == 5
     assert spark.sql("SELECT count(*) FROM accounts").first()[0] == 4
     assert spark.sql("SELECT last_offset FROM offsets WHERE partition_id = 1").first()[0] == 0
-    tables.init_tables(spark, book)
+    tables.create_external_tables(spark, book, "posting_test")
+    assert spark.sql("SELECT amount, run_id, batch_id FROM posting_test.ledger").collect() == [(5, 0, 0)]
+    tables.drop_external_tables(spark, "posting_test")
+    assert tables.read_ledger(spark, book).count() == 1
+    tables.truncate_table(spark, book, "ledger")
     assert tables.read_ledger(spark, book).count() == 0
+    assert tables.read_accounts(spark, book).count() == 4
+    tables.init_tables(spark, book)
     assert tables.read_accounts(spark, book).count() == 0
