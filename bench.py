@@ -21,7 +21,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.functions.ids import uuid_to_bytes
+from tallybook.functions.ids import dashed, uuid_to_bytes
 from tallybook.functions.wire import encode_posting
 from tallybook.operators import arrivals, balances
 from tallybook.plans import views
@@ -71,7 +71,11 @@ def repeated_log(spark: SparkSession, copies: int) -> str:
             "account_id": F.col("account_id") + F.col("copy") * 192,
         }
     )
-    records = views.as_uuids(rows).select(
+    # Ids that grow with time, as clients of the system send them.
+    millis = F.lpad(F.lower(F.hex(F.unix_millis("created_at"))), 12, "0")
+    timed = dashed(F.concat(millis, F.substring(F.md5(F.col("id").cast("string")), 1, 20)))
+    rows = rows.withColumns({"id": timed, "account_id": views.uuid_for("a", F.col("account_id"))})
+    records = rows.select(
         uuid_to_bytes(F.col("account_id")).alias("key"),
         encode_posting(F.col("id"), F.col("account_id"), F.col("amount")).alias("value"),
         F.col("partition_id").alias("partition"),

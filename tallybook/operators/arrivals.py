@@ -37,7 +37,7 @@ def _lead(batch: DataFrame, key: str) -> Column:
     return F.substring(key, 1, 8) if text else F.shiftright(key, 20)
 
 
-def key_ranges(batch: DataFrame, key: str = "id", most: int = 64) -> tuple[int, list[tuple]]:
+def key_ranges(batch: DataFrame, key: str = "id", most: int = 16) -> tuple[int, list[tuple]]:
     """The number of rows, and ranges that together hold every key: at most `most`, else one.
 
     Time-ordered ids give a few narrow ranges, one per period, so a single late retry does not

@@ -57,7 +57,8 @@ def truncate_table(spark: SparkSession, book: Book, table: str) -> None:
 
     A fold does not need this: it moves its mark past the batches it has applied.
     """
-    nothing = spark.createDataFrame([], book.schema(table))
+    fields = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in book.schema(table))
+    nothing = spark.sql(f"SELECT {fields} WHERE false")
     nothing.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(book.path(table))
 
 
@@ -177,20 +178,20 @@ def read_account(spark: SparkSession, book: Book, account_id) -> DataFrame:
     return read_buckets(spark, book, places).filter(F.col("id") == F.lit(account_id)).select(*fields)
 
 
-def write_version(
-    spark: SparkSession, book: Book, accounts: DataFrame, version: int, kept: list[tuple[int, int]], applied: Batch
-) -> None:
-    """Write account rows (with bucket) as a version, then publish it with the kept buckets.
-
-    Until its marks exist the version is invisible, and a repeated fold overwrites it.
-    """
+def write_accounts(book: Book, accounts: DataFrame, version: int) -> str:
+    """Write account rows (with bucket) as a version; without marks it is invisible."""
     path = f"{book.path('accounts')}/version={version}"
     rows = accounts.select(*schemas.account_schema(book.key).fieldNames(), "bucket")
     rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
-    data = spark.read.schema("bucket INT").option("basePath", path).parquet(path)
-    written = [(r["bucket"], version) for r in data.select("bucket").distinct().collect()]
+    return path
+
+
+def publish_version(
+    spark: SparkSession, book: Book, version: int, places: list[tuple[int, int]], applied: Batch
+) -> None:
+    """Publish a version: where each of its buckets is, and the last batch folded into it."""
     run, number = applied
-    marks = [(bucket, at, run, number, version) for bucket, at in sorted(written + kept)]
+    marks = [(bucket, at, run, number, version) for bucket, at in sorted(places)]
     frame = spark.createDataFrame(marks, schemas.MARKS).coalesce(1)
     frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(
         book.path("marks")
@@ -200,7 +201,10 @@ def write_version(
 def seed_book(spark: SparkSession, book: Book, accounts: DataFrame) -> None:
     """First version of the accounts (id, balance, created_at); nothing is folded into it yet."""
     rows = accounts.withColumn("bucket", bucket_of(F.col("id"), book.buckets))
-    write_version(spark, book, rows, 0, [], (-1, -1))
+    path = write_accounts(book, rows, 0)
+    written = spark.read.schema("bucket INT").option("basePath", path).parquet(path)
+    buckets = [r["bucket"] for r in written.select("bucket").distinct().collect()]  # at most book.buckets
+    publish_version(spark, book, 0, [(bucket, 0) for bucket in buckets], (-1, -1))
 
 
 def register_views(spark: SparkSession, book: Book) -> None:

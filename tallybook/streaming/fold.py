@@ -14,9 +14,10 @@ from tallybook.sources.tables import (
     bucket_of,
     current_marks,
     last_committed,
+    publish_version,
     read_buckets,
     read_ledger,
-    write_version,
+    write_accounts,
 )
 
 
@@ -40,10 +41,11 @@ def fold_once(spark: SparkSession, book: Book) -> bool:
     try:
         touched = {r["bucket"] for r in net.select("bucket").distinct().collect()}  # at most one per bucket
         places = [(r["bucket"], r["data_version"]) for r in rows]
-        base = read_buckets(spark, book, [p for p in places if p[0] in touched])
-        moved = apply_changes(base, net.drop("bucket"))
-        kept = [p for p in places if p[0] not in touched]
-        write_version(spark, book, moved, rows[0]["version"] + 1, kept, newest)
+        moving = [p for p in places if p[0] in touched]  # a touched bucket may hold no account at all
+        version = rows[0]["version"] + 1
+        write_accounts(book, apply_changes(read_buckets(spark, book, moving), net.drop("bucket")), version)
+        places = [(bucket, version if bucket in touched else at) for bucket, at in places]
+        publish_version(spark, book, version, places, newest)
     finally:
         net.unpersist()
     return True
