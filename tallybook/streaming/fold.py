@@ -6,18 +6,23 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tallybook.operators.arrivals import archive, known_keys
 from tallybook.operators.balances import apply_changes, net_changes
 from tallybook.schemas import COMMITS, FOLD_SECONDS
 from tallybook.sources.tables import (
+    Batch,
     Book,
     after,
+    before,
     bucket_of,
     current_marks,
     last_committed,
     publish_version,
     read_buckets,
     read_ledger,
+    read_table,
     write_accounts,
+    write_batch,
 )
 
 
@@ -51,6 +56,14 @@ def fold_once(spark: SparkSession, book: Book) -> bool:
     return True
 
 
+def archive_batch(spark: SparkSession, book: Book, batch: Batch) -> None:
+    """Copy one batch's ledger rows to the history, except ids it holds from earlier batches."""
+    run, number = batch
+    rows = read_ledger(spark, book).filter((F.col("run_id") == run) & (F.col("batch_id") == number))
+    earlier = read_table(spark, book, "history").filter(before(batch))
+    write_batch(archive(rows, known_keys(earlier, rows)), book, "history", batch)
+
+
 def start_fold(
     spark: SparkSession, book: Book, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:

@@ -311,6 +311,18 @@ def test_request_to_balance(spark, folder):
     assert tables.read_account(spark, book, account).first()["balance"] == 1100
 
 
+def test_archive_of_batches(spark, folder):
+    rows = make_log(random.Random(7), 60)
+    book = new_book(spark, folder, seeded=False)
+    for n, part in enumerate(chunks(rows, [30])):
+        ingest.ingest_batch(spark, book, frame(spark, part), (0, n))
+    for n in (0, 1, 1):
+        fold.archive_batch(spark, book, (0, n))
+    history = tables.read_table(spark, book, "history")
+    kept = {r["id"]: (r["account_id"], r["amount"]) for r in history.collect()}
+    assert kept == expected(rows)[0] and history.count() == len(kept)
+
+
 def test_views_and_reset(spark, folder):
     book = new_book(spark, folder)
     ingest.ingest_batch(spark, book, frame(spark, [record(1, 1, 5, 0)]), (0, 0))
