@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+#: Tells the folders of this process from those of others.
+RUN = uuid.uuid4().hex[:12]
+
 
 def build_session(
-    master: str | None = None, shuffle_partitions: int | None = None, memory: str = "4g"
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
+    memory: str = "4g",
+    checkpoint_dir: str | None = None,
 ) -> SparkSession:
     """A session with the settings this package relies on.
 
-    On a cluster, master and sizing come from spark-submit; only local runs pass them.
+    On a cluster, master, sizing and spark.checkpoint.dir come from spark-submit; only local runs pass them.
     """
     builder = (
         SparkSession.builder.appName("tallybook")
@@ -27,20 +32,22 @@ def build_session(
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
         builder = builder.config("spark.driver.memory", memory)
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared folder the session names.
-
-    Where spark.checkpoint.dir is unset, only a local session gets a folder of its own.
-    """
+    """A fresh path below the shared folder that spark.checkpoint.dir names; it goes when the application ends."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tallybook-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/tallybook/{name}-{uuid.uuid4().hex}"
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    root = f"{base.rstrip('/')}/tallybook/{spark.sparkContext.applicationId}-{RUN}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    # Only paths that exist are taken in.
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{root}/{name}-{uuid.uuid4().hex}"

@@ -10,8 +10,8 @@ from tallybook.session import build_session, work_dir  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("local[8]", 8)
+def spark(tmp_path_factory):
+    session = build_session("local[8]", 8, checkpoint_dir=str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
