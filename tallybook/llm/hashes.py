@@ -8,7 +8,6 @@ give independent hashes; two of them make 128 bits.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 
@@ -28,29 +27,31 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=8)
+_BASES: dict[int, tuple[np.ndarray, int, int]] = {}
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _base(seed: int) -> tuple[np.ndarray, int, int]:
     """Table of random values for bytes, a base congruent to 3 modulo 4, and the base's inverse."""
-    random = np.random.Generator(np.random.PCG64(0x7A11 + seed))
-    table = random.integers(0, 1 << 64, 256, np.uint64)
-    base = int(random.integers(0, 1 << 62)) * 4 + 3
-    return table, base, pow(base, -1, 1 << 64)
+    if seed not in _BASES:
+        random = np.random.Generator(np.random.PCG64(0x7A11 + seed))
+        table = random.integers(0, 1 << 64, 256, np.uint64)
+        base = int(random.integers(0, 1 << 62)) * 4 + 3
+        _BASES[seed] = table, base, pow(base, -1, 1 << 64)
+    return _BASES[seed]
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    size = 1 << max(20, (n - 1).bit_length())
-    return _power_table(base, size)[:n] if size <= 1 << 21 else _make_powers(base, n)
-
-
-def _make_powers(base: int, n: int) -> np.ndarray:
-    steps = np.full(n, base, np.uint64)
-    steps[:1] = 1
-    return np.multiply.accumulate(steps)
-
-
-@lru_cache(maxsize=16)
-def _power_table(base: int, n: int) -> np.ndarray:
-    return _make_powers(base, n)
+    """The first n powers; only those a usual block needs are kept."""
+    known = _POWERS.get(base)
+    if known is None or len(known) < n:
+        size = max(n, BLOCK + (1 << 16))
+        steps = np.full(size, base, np.uint64)
+        steps[:1] = 1
+        known = np.multiply.accumulate(steps)
+        if size <= 2 * BLOCK:
+            _POWERS[base] = known
+    return known[:n]
 
 
 def _block_words(data: bytes, seed: int) -> tuple[np.ndarray, np.ndarray]:
