@@ -20,7 +20,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +41,8 @@ class Capacity:
     documents: int = 1024
     attention: int = 1024 * 1024
     weights: tuple[float, float, float] = (1.0, 0.1, 0.1)
-    #: "norm": least norm of the residual; "dot": largest dot product.
-    rule: str = "norm"
+    #: "norm": least norm of the residual; "dot": largest dot product; "best": whichever needs fewer sequences.
+    rule: str = "best"
 
 
 @dataclass(frozen=True)
@@ -138,6 +138,9 @@ class _Bins:
 
 def plan(lengths: dict[int, int], capacity: Capacity = Capacity()) -> list[tuple[int, tuple[tuple[int, int], ...]]]:
     """Pieces by length -> (number of equal sequences, what each holds)."""
+    if capacity.rule == "best":
+        plans = [plan(lengths, replace(capacity, rule=rule)) for rule in ("norm", "dot")]
+        return min(plans, key=lambda p: sum(count for count, _ in p))
     cap = capacity
     weight = [w / c**2 for w, c in zip(cap.weights, (cap.tokens, cap.documents, cap.attention), strict=True)]
     bins: dict[tuple, _Bins] = {}
