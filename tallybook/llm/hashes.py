@@ -110,17 +110,16 @@ def words_of(texts: list[bytes], seed: int = 0) -> Iterator[np.ndarray]:
         yield from flush()
 
 
-def runs(word_hashes: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
-    """The hash of each run of `length` consecutive words; empty if there are fewer words."""
+def stretches(word_hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """The hash of each stretch of words from starts up to ends."""
     n = len(word_hashes)
-    if n < length:
-        return np.zeros(0, np.uint64)
     _, base, inverse = _base(seed)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(word_hashes * _powers(base, n), out=sums[1:])
-    return mix((sums[length:] - sums[:-length]) * _powers(inverse, n)[: n - length + 1])
+    return mix((sums[ends] - sums[starts]) * _powers(inverse, n + 1)[starts])
 
 
-def whole(word_hashes: np.ndarray, seed: int = 0) -> np.ndarray:
-    """One hash of all words in order."""
-    return runs(word_hashes, max(1, len(word_hashes)), seed)
+def runs(word_hashes: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
+    """The hash of each run of `length` consecutive words; empty if there are fewer words."""
+    starts = np.arange(max(0, len(word_hashes) - length + 1))
+    return stretches(word_hashes, starts, starts + length, seed)

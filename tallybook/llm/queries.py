@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import chat, language, oracles, packing, quality, secrets, sharding
+from tallybook.llm import (
+    chat,
+    decontaminate,
+    language,
+    oracles,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    substrings,
+)
 from tallybook.llm.common import read
 from tallybook.session import work_dir
 
@@ -57,6 +67,13 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.parsed(docs).select(
+        "doc.doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256")
+    )
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return quality.judge(docs).select(
@@ -83,15 +100,22 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("row.*", *law)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item that it holds within the edit budget."""
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language,
         op2_packing,
         op3_secrets,
+        op5_substrings,
         op6_quality,
         op7_chat,
         op9_sharding,
+        op10_decontamination,
     )
 }
 SQL: dict[str, str] = oracles.SQL
