@@ -30,7 +30,7 @@ MATCH = "array<struct<item_id: bigint, distance: int, budget: int, from: int, to
 @dataclass(frozen=True)
 class Budget:
     #: Edits per character of an item.
-    error_share: float = 0.05
+    error_share: float = 0.08
     #: Shorter items are not searched.
     min_chars: int = 25
     #: Characters of items searched in one pass over the documents.

@@ -11,6 +11,7 @@ from tallybook.llm import (
     chat,
     decontaminate,
     language,
+    minhash,
     oracles,
     packing,
     quality,
@@ -93,6 +94,12 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns.withColumn("content", chat.text_part(F.col("text")))))
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = minhash.grouped(read(spark, sf_dir, "documents"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return groups.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.sized(read(spark, sf_dir, "documents"))
     placed = sharding.shuffle_to_shards(rows, SHARDS)
@@ -114,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_substrings,
         op6_quality,
         op7_chat,
+        op8_minhash,
         op9_sharding,
         op10_decontamination,
     )
