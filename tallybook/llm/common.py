@@ -58,3 +58,9 @@ def with_results(
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 texts; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
+def joined_small(df: DataFrame, small: DataFrame, keys: list[str], most_rows: int) -> DataFrame:
+    """Inner join with a table that is sent to every task if it has at most so many rows, else with a shuffle."""
+    held = stored(small, "small")
+    return df.join(F.broadcast(held) if held.count() <= most_rows else held, keys)

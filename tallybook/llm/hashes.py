@@ -84,30 +84,33 @@ def words(data: bytes, seed: int = 0) -> np.ndarray:
     return np.concatenate([_block_words(x, seed)[0] for x in _cuts(data)])
 
 
-def words_of(texts: list[bytes], seed: int = 0) -> Iterator[np.ndarray]:
-    """The hashes of the words of each text; short texts are hashed together."""
-    group: list[bytes] = []
-    size = 0
+def flat_words(texts: list[bytes], seed: int = 0) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Short texts hashed together: number of the first text, all word hashes, and where each text's words begin.
 
-    def flush() -> Iterator[np.ndarray]:
+    The last of the places is the number of words.
+    """
+    at = 0
+    while at < len(texts):
+        end, size = at + 1, len(texts[at]) + 1
+        if size > BLOCK:
+            hashes = words(texts[at], seed)
+            yield at, hashes, np.array([0, len(hashes)])
+            at = end
+            continue
+        while end < len(texts) and size + len(texts[end]) < BLOCK:
+            size += len(texts[end]) + 1
+            end += 1
+        group = texts[at:end]
         hashes, starts = _block_words(b" ".join(group), seed)
         first = np.cumsum([0] + [len(x) + 1 for x in group])
-        yield from np.split(hashes, np.searchsorted(starts, first[1:-1]))
-
-    for text in texts:
-        if len(text) > BLOCK:
-            if group:
-                yield from flush()
-                group, size = [], 0
-            yield words(text, seed)
-            continue
-        group.append(text)
-        size += len(text) + 1
-        if size > BLOCK:
-            yield from flush()
-            group, size = [], 0
-    if group:
-        yield from flush()
+        yield at, hashes, np.searchsorted(starts, first)
+        at = end
+
+
+def words_of(texts: list[bytes], seed: int = 0) -> Iterator[np.ndarray]:
+    """The hashes of the words of each text; short texts are hashed together."""
+    for _, hashes, places in flat_words(texts, seed):
+        yield from np.split(hashes, places[1:-1])
 
 
 def stretches(word_hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:

@@ -11,6 +11,7 @@ from tallybook.llm import (
     chat,
     decontaminate,
     language,
+    lines,
     minhash,
     oracles,
     packing,
@@ -39,14 +40,18 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.drop("lang"), model, ("doc_id", "held_out")).select("row.*", *language.PREDICTED)
 
 
-def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digests instead of ids are written, and numbered, before the plan."""
-    pieces = packing.cut(read(spark, sf_dir, "documents"), vocabulary())
+def packed(docs: DataFrame) -> DataFrame:
+    """Pieces of all documents with their places; digests instead of ids are written, and numbered, before the plan."""
+    pieces = packing.cut(docs, vocabulary())
     digests = pieces.select("row", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     placed = packing.place(packing.number(digests)).select("piece_row.*", "sequence_id", "offset")
     return placed.select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(read(spark, sf_dir, "documents"))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scanned with the base rules, then again with more rules: the second scan adds only those."""
     versions = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text")
@@ -68,6 +73,13 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its lines, how many go, and a digest of the text that stays."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256")
+    return lines.deduped(docs).select("doc.doc_id", "n_lines", "n_removed", kept)
+
+
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return substrings.parsed(docs).select(
@@ -118,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_language,
         op2_packing,
         op3_secrets,
+        op4_lines,
         op5_substrings,
         op6_quality,
         op7_chat,
