@@ -22,7 +22,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written once to the shared folder and read from there: survives lost executors, ends the lineage."""
     path = work_dir(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

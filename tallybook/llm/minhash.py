@@ -169,9 +169,9 @@ def postings(classes: DataFrame, how: Signature = Signature()) -> DataFrame:
 RETAINED = {"agreements": T.IntegerType()}
 
 
-def retained(pairs: DataFrame, classes: DataFrame, how: Signature) -> DataFrame:
+def retained(pairs: DataFrame, members: DataFrame, how: Signature) -> DataFrame:
     """pairs (a, b of cid) -> those whose sizes allow a link and whose signatures agree often enough."""
-    own = classes.select("cid", "n_shingles", "signature")
+    own = members.select("cid", "n_shingles", "signature")
     left = own.select(F.col("cid").alias("a"), F.col("n_shingles").alias("n_a"), F.col("signature").alias("s_a"))
     right = own.select(F.col("cid").alias("b"), F.col("n_shingles").alias("n_b"), F.col("signature").alias("s_b"))
     joined = pairs.join(left, "a").join(right, "b")
@@ -190,10 +190,10 @@ def retained(pairs: DataFrame, classes: DataFrame, how: Signature) -> DataFrame:
     return counted.filter(F.col("agreements") >= how.agreements).select("pair.*")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, how: Signature) -> DataFrame:
-    """pairs (a, b) -> those whose full sets are similar enough; texts (cid, text)."""
-    left = texts.select(F.col("cid").alias("a"), F.col("text").alias("t_a"))
-    right = texts.select(F.col("cid").alias("b"), F.col("text").alias("t_b"))
+def confirmed(pairs: DataFrame, members: DataFrame, how: Signature) -> DataFrame:
+    """pairs (a, b) -> those whose full sets are similar enough."""
+    left = members.select(F.col("cid").alias("a"), F.col("text").alias("t_a"))
+    right = members.select(F.col("cid").alias("b"), F.col("text").alias("t_b"))
     rows = pairs.join(left, "a").join(right, "b").select(F.struct("a", "b").alias("pair"), "t_a", "t_b")
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
@@ -214,7 +214,7 @@ def _pairs(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def links(docs: DataFrame, classes: DataFrame, how: Signature = Signature()) -> DataFrame:
     """Confirmed links between classes (a, b), enough to connect every component of the graph of all links."""
-    posted = stored(postings(classes, how), "postings")
+    posted = postings(classes, how)
     lists = posted.groupBy("posting").agg(F.count("*").alias("length")).filter("length > 1")
     met = stored(posted.join(lists, "posting"), "met")
 
@@ -225,12 +225,13 @@ def links(docs: DataFrame, classes: DataFrame, how: Signature = Signature()) ->
     star = met.join(pivots, "posting").filter(F.col("cid") != F.col("pivot"))
     text = text_or_empty(F.col("text"))
     ord_ = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST))
-    wanted = classes.join(weight.select("cid"), "cid").select("sample.ord", "sample.th", "cid")
+    # Only classes that share a posting go on, each with its signature and the text of one document.
+    wanted = classes.join(weight.select("cid"), "cid").select("sample.ord", "sample.th", "cid", "n_shingles", "signature")
     sources = docs.select(ord_.alias("ord"), F.xxhash64(text).alias("th"), text.alias("text"))
     # Equal rows give equal texts: one of them is enough.
-    texts = stored(sources.join(wanted, ["ord", "th"]).select("cid", "text").dropDuplicates(["cid"]), "texts")
+    members = stored(sources.join(wanted, ["ord", "th"]).drop("ord", "th").dropDuplicates(["cid"]), "members")
 
-    first = stored(confirmed(retained(_pairs(star, "cid", "pivot"), classes, how), texts, how), "links")
+    first = stored(confirmed(retained(_pairs(star, "cid", "pivot"), members, how), members, how), "links")
     roots = components(first)
     placed = met.join(roots, F.col("cid") == F.col("node"), "left").select(
         "posting", "cid", F.coalesce("root", "cid").alias("root")
@@ -241,7 +242,7 @@ def links(docs: DataFrame, classes: DataFrame, how: Signature = Signature()) ->
     across = open_.join(other, "posting").filter(F.col("root") < F.col("root_2"))
     tried = _pairs(star, "cid", "pivot")
     rest = _pairs(across, "cid", "cid_2").join(tried, ["a", "b"], "left_anti")
-    second = stored(confirmed(retained(rest, classes, how), texts, how), "links")
+    second = stored(confirmed(retained(rest, members, how), members, how), "links")
     return first.unionByName(second)
 
 
