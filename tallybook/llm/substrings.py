@@ -218,7 +218,7 @@ def parsed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame
         .select(F.col("ord").alias("own_ord"), F.col("th").alias("own_th"), "found")
     )
     key = [F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("ord"), F.xxhash64(text_or_empty(F.col("text"))).alias("th")]
-    rows = docs.select(F.struct("*").alias("doc"), text_or_empty(F.col("text")).alias("text"), *key)
+    rows = docs.select(F.struct("*").alias("doc"), *key)
     rows = rows.join(per_doc, (F.col("ord") == F.col("own_ord")) & (F.col("th") == F.col("own_th")), "left")
     kinds = {
         "factors": T._parse_datatype_string(FACTOR),
@@ -249,4 +249,4 @@ def parsed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame
             "kept_text": pa.array(kept, pa.string()),
         }
 
-    return with_results(rows.select("doc", "text", "found"), "doc", kinds, work)
+    return with_results(rows.select("doc", F.col("doc.text").alias("text"), "found"), "doc", kinds, work)
