@@ -60,7 +60,12 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def joined_small(df: DataFrame, small: DataFrame, keys: list[str], most_rows: int) -> DataFrame:
-    """Inner join with a table that is sent to every task if it has at most so many rows, else with a shuffle."""
+def checked_small(small: DataFrame, most_rows: int) -> DataFrame:
+    """The table, written once, to be sent to every task if it has at most so many rows; else a join shuffles it."""
     held = stored(small, "small")
-    return df.join(F.broadcast(held) if held.count() <= most_rows else held, keys)
+    return F.broadcast(held) if held.count() <= most_rows else held
+
+
+def joined_small(df: DataFrame, small: DataFrame, keys: list[str], most_rows: int) -> DataFrame:
+    """Inner join with a table that is sent to every task if it is small."""
+    return df.join(checked_small(small, most_rows), keys)

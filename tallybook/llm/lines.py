@@ -4,16 +4,22 @@ A line's set holds its distinct words in lower case (A-Z). A line with at least
 earlier line, in order of document and place, has a set of Jaccard similarity percent / 100 or more; lines are judged on
 the input, not on what is left, so the result does not depend on any order of work. Shorter lines always stay.
 
-Equal sets are settled by grouping: all but the first line go, and one copy of each set enters the join. A set is
-posted under the words of its prefix, its n - ceil(t n) + 1 rarest words: two similar sets share one of these. Rarity
-comes from hashed counts over all lines in a table of fixed size; any common order gives the same result. Pairs that meet
-under a word pass a length filter, a positional filter (the words after this one have to suffice for the overlap) and a
-parity filter (64 bits that each word flips one of: sets that differ in d words differ in at most d bits). What is left
-is verified on the full sets.
+Equal sets are settled by grouping: all but the first line go. Sets are then posted under the words of their prefix, the
+n - ceil(t n) + 1 rarest ones: two similar sets share one of these. Rarity comes from hashed counts of all words in a
+table of fixed size; any common order gives the same result. Pairs that meet under a word pass a length filter, a
+positional filter (the words from here on have to suffice for the overlap) and a parity filter (64 bits that each word
+flips one of: sets that differ in d words differ in at most d bits). What is left is verified on the full sets.
+
+A line needs one earlier match, not all of them. So each posting list is read in order, and a set leaves it with the
+first earlier set that passes the filters: thousands of copies of a line, all a little different, give a row each and
+not a row per pair. Sets whose first candidates all fail the verification get all their other candidates in a second
+round, so nothing is missed. A list is held by one task while it is read, with 48 bytes per distinct set; by rarity, a
+list is long only where many lines have no rarer words.
 
 Defined results: null and empty texts have no line and stay as they are; null ids count as larger than any other; rows
-that agree in id and text are one document, and get the same result; an empty table gives an empty table; extra
-columns stay, whatever their names. Words are compared by 64-bit hashes within a verified pair of lines.
+that agree in id and text are one document, and get the same result; rows that share only the id are ordered by place,
+then by a hash of the line's set; an empty table gives an empty table; extra columns stay, whatever their names. Words
+are told apart by 46 bits of a hash, within one line or one verified pair of lines.
 """
 
 from __future__ import annotations
@@ -27,11 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.llm.common import as_bytes, joined_small, stored, text_or_empty, with_results
+from tallybook.llm.common import as_bytes, checked_small, joined_small, stored, text_or_empty, with_results
 from tallybook.llm.hashes import flat_words, mix
 
 LAST = (1 << 63) - 1
-#: Candidate sets are sent to every task up to this number of rows of under 100 bytes; beyond it the join shuffles.
+#: Tables of up to so many rows (of about 100 bytes) are sent to every task; beyond it the join shuffles.
 SMALL_ROWS = 500_000
 
 
@@ -68,27 +74,54 @@ class _Sets:
         if not len(self.line):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         sums = np.add.reduceat(mix(self.tokens + np.uint64(77)), self.starts)
-        bits = np.bitwise_xor.reduceat(np.uint64(1) << (self.tokens >> np.uint64(58)), self.starts)
+        bits = np.bitwise_xor.reduceat(np.uint64(1) << (self.tokens & np.uint64(63)), self.starts)
         return mix(sums + self.sizes.astype(np.uint64)).view(np.int64), bits.view(np.int64)
 
 
+#: Bits of a token; with the number of a line in its block it fits into one number that sorts fast.
+TOKEN_BITS = 46
+_TOKEN = np.uint64((1 << TOKEN_BITS) - 1)
+
+
+def _tokens_of(of: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct (line, token) pairs in order."""
+    if not len(of) or of[-1] < 1 << (64 - TOKEN_BITS):
+        packed = np.unique(of.astype(np.uint64) << np.uint64(TOKEN_BITS) | tokens)
+        return (packed >> np.uint64(TOKEN_BITS)).astype(np.int64), packed & _TOKEN
+    order = np.lexsort((tokens, of))
+    of, tokens = of[order], tokens[order]
+    new = np.r_[True, (of[1:] != of[:-1]) | (tokens[1:] != tokens[:-1])]
+    return of[new], tokens[new]
+
+
+def _tokens(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(64 - TOKEN_BITS)
+
+
 def _sets(lines: list[bytes], min_tokens: int) -> Iterator[_Sets]:
     """The sets of those lines that have enough tokens."""
     for first, hashes, places in flat_words(lines):
         if not len(hashes):
             continue
         of = np.repeat(np.arange(len(places) - 1), np.diff(places))
-        order = np.lexsort((hashes, of))
-        of, hashes = of[order], hashes[order]
-        new = np.r_[True, (of[1:] != of[:-1]) | (hashes[1:] != hashes[:-1])]
-        of, hashes = of[new], hashes[new]
+        of, tokens = _tokens_of(of, _tokens(hashes))
         sizes = np.bincount(of, minlength=len(places) - 1)
         enough = sizes >= min_tokens
-        tokens = hashes[enough[of]]
+        tokens = tokens[enough[of]]
         sizes = sizes[enough]
         yield _Sets(np.flatnonzero(enough) + first, np.cumsum(sizes) - sizes, sizes, tokens)
 
 
+def _by_rarity(sets: _Sets, rare: np.ndarray) -> np.ndarray:
+    """The order of the tokens by line, rarity and token; tokens are in order of line and token."""
+    of, n = sets.of, len(sets.tokens)
+    if n < 1 << 20 and len(sets.line) < 1 << 20:
+        rank = np.minimum(rare, (1 << 24) - 1).astype(np.uint64)
+        packed = of.astype(np.uint64) << np.uint64(44) | rank << np.uint64(20) | np.arange(n, dtype=np.uint64)
+        return (np.sort(packed) & np.uint64((1 << 20) - 1)).astype(np.int64)
+    return np.lexsort((np.minimum(rare, (1 << 24) - 1), of))
+
+
 def _lines(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """The lines of all texts of a batch, the row of each, and its number in its text."""
     split = [x.lower().split(b"\n") for x in as_bytes(batch.column("text"))]
@@ -99,14 +132,14 @@ def _lines(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray]:
 
 
 def rarity(docs: DataFrame, how: Similar) -> np.ndarray:
-    """Number of lines with a word, by hash bucket of the word."""
+    """How often words occur, by hash bucket of the word."""
     schema = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("n", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(how.rarity_buckets, np.int64)
         for batch in batches:
-            for sets in _sets(_lines(batch)[0], how.min_tokens):
-                buckets = (sets.tokens % np.uint64(how.rarity_buckets)).astype(np.int64)
+            for _, hashes, _ in flat_words([x.lower() for x in as_bytes(batch.column("text"))]):
+                buckets = (_tokens(hashes) % np.uint64(how.rarity_buckets)).astype(np.int64)
                 counts += np.bincount(buckets, minlength=how.rarity_buckets)
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], names=schema.names)
@@ -148,6 +181,8 @@ def line_sets(docs: DataFrame, how: Similar) -> DataFrame:
 POSTINGS = T.StructType(
     [
         T.StructField("token", T.LongType()),
+        T.StructField("ord", T.LongType()),
+        T.StructField("line", T.IntegerType()),
         T.StructField("name", T.LongType()),
         T.StructField("parity", T.LongType()),
         T.StructField("size", T.IntegerType()),
@@ -156,15 +191,17 @@ POSTINGS = T.StructType(
 )
 
 
-def postings(docs: DataFrame, how: Similar) -> DataFrame:
-    """The prefixes of all sets; a task sends a set once, however many of its lines have it."""
-    shared = docs.sparkSession.sparkContext.broadcast(rarity(docs, how))
+def postings(docs: DataFrame, how: Similar, counts: np.ndarray) -> DataFrame:
+    """The prefixes of all sets. A task sends a set once, from the first of its lines that has it."""
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         sent: set[tuple[int, int]] = set()
         for batch in batches:
-            for sets in _sets(_lines(batch)[0], how.min_tokens):
+            ords = batch.column("ord").to_numpy()
+            lines, rows, numbers = _lines(batch)
+            for sets in _sets(lines, how.min_tokens):
                 names, parities = sets.names()
                 pairs = list(zip(names.tolist(), parities.tolist(), strict=True))
                 new = np.zeros(len(pairs), bool)
@@ -174,13 +211,16 @@ def postings(docs: DataFrame, how: Similar) -> DataFrame:
                         new[k] = True
                 of = sets.of
                 rare = counts[(sets.tokens % np.uint64(how.rarity_buckets)).astype(np.int64)]
-                order = np.lexsort((sets.tokens, rare, of))
+                order = _by_rarity(sets, rare)
                 at = np.arange(len(of)) - np.repeat(sets.starts, sets.sizes)
                 prefix = sets.sizes - (how.percent * sets.sizes + 99) // 100 + 1
                 chosen = (at < prefix[of]) & new[of]
                 of, at = of[chosen], at[chosen]
+                line = sets.line[of]
                 columns = (
                     sets.tokens[order][chosen].view(np.int64),
+                    ords[rows[line]],
+                    numbers[line].astype(np.int32),
                     names[of],
                     parities[of],
                     sets.sizes[of].astype(np.int32),
@@ -188,26 +228,107 @@ def postings(docs: DataFrame, how: Similar) -> DataFrame:
                 )
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=POSTINGS.names)
 
-    return _keyed(docs).select("text").mapInArrow(run, POSTINGS)
+    # In order, so that the first line of a set in a task is the earliest one there.
+    return _keyed(docs).sortWithinPartitions("ord", "th").select("ord", "text").mapInArrow(run, POSTINGS)
+
+
+def _passes(x: np.ndarray, y: np.ndarray, column: dict[str, np.ndarray], percent: int) -> np.ndarray:
+    """Whether the pairs of rows x, y of posting lists pass the filters."""
+    n, m = column["size"][x].astype(np.int64), column["size"][y].astype(np.int64)
+    overlap = -(-percent * (n + m) // (100 + percent))
+    length = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+    place = np.minimum(n - column["at"][x], m - column["at"][y]) >= overlap
+    parity = column["parity"].view(np.uint64)
+    bits = np.bitwise_count(parity[x] ^ parity[y])
+    return length & place & (bits <= n + m - 2 * overlap)
+
+
+PAIRS = T.StructType(
+    [
+        T.StructField("token", T.LongType()),
+        *(T.StructField(f"{c}_{k}", T.LongType()) for k in (1, 2) for c in ("name", "parity")),
+    ]
+)
+
+
+def _meetings(column: dict[str, np.ndarray], percent: int, every: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows x, y of whole posting lists, in order: y comes before x in its list and passes the filters.
+
+    Without `every`, x gets its first such y. With it, the rows it marks get all of them.
+    """
+    token, name, parity = column["token"], column["name"], column["parity"]
+    starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+    place = np.arange(len(token)) - np.repeat(starts, np.diff(np.r_[starts, len(token)]))
+    left = np.flatnonzero(place > 0) if every is None else np.flatnonzero((place > 0) & every)
+    k = 0
+    # The k-th set of every list against those after it that are still open, all lists at once.
+    while len(left):
+        pivot = left - place[left] + k
+        same = (name[left] == name[pivot]) & (parity[left] == parity[pivot])
+        hit = _passes(left, pivot, column, percent) & ~same
+        if hit.any():
+            yield left[hit], pivot[hit]
+        # The same set again has nothing to add; sets before it were met by its first row.
+        open_ = ~same & (place[left] > k + 1)
+        left = left[open_ & ~hit] if every is None else left[open_]
+        k += 1
+
+
+#: Rows of posting lists handled together.
+LIST_ROWS = 200_000
+
+
+def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """Sorted rows in parts that end with a list."""
+    held: list[dict[str, np.ndarray]] = []
+    rows = 0
+
+    def joined() -> dict[str, np.ndarray]:
+        return {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+
+    for batch in batches:
+        held.append({c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names})
+        rows += batch.num_rows
+        if rows < LIST_ROWS:
+            continue
+        column = joined()
+        cut = int(np.searchsorted(column["token"], column["token"][-1]))
+        if cut:
+            yield {c: v[:cut] for c, v in column.items()}
+        held = [{c: v[cut:] for c, v in column.items()}]
+        # A list longer than that waits until it has grown by half.
+        rows = 0 if cut else -len(column["token"]) // 2
+    if held:
+        column = joined()
+        if len(column["token"]):
+            yield column
+
+
+def _met(lists: DataFrame, how: Similar, marked: bool) -> DataFrame:
+    """Pairs of sets that meet under a token and pass the filters; the second one is the earlier."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for column in _whole_lists(batches):
+            every = column["wanted"].astype(bool) if marked else None
+            for x, y in _meetings(column, how.percent, every):
+                values = [column["token"][x], *(column[c][r] for r in (x, y) for c in ("name", "parity"))]
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], names=PAIRS.names)
+
+    ordered = lists.repartition("token").sortWithinPartitions("token", "ord", "line", "name", "parity")
+    return ordered.mapInArrow(run, PAIRS)
 
 
 def candidates(posted: DataFrame, how: Similar) -> DataFrame:
-    """Pairs of sets (name_1, parity_1, name_2, parity_2) that the filters leave."""
-    once = posted.repartition("token").dropDuplicates(["token", "name", "parity"])
+    """For each token and set its first candidate: token, name_1, parity_1, name_2, parity_2."""
+    return _met(posted, how, marked=False)
 
-    def side(k: int) -> DataFrame:
-        return once.select(*(F.col(c).alias(c if c == "token" else f"{c}_{k}") for c in POSTINGS.names))
 
-    sizes = F.col("size_1") + F.col("size_2")
-    overlap = F.expr(f"({how.percent} * (size_1 + size_2) + {99 + how.percent}) div {100 + how.percent}")
-    first = (F.col("name_1") < F.col("name_2")) | (
-        (F.col("name_1") == F.col("name_2")) & (F.col("parity_1") < F.col("parity_2"))
-    )
-    length = 100 * F.least("size_1", "size_2") >= how.percent * F.greatest("size_1", "size_2")
-    position = F.least(F.col("size_1") - F.col("at_1"), F.col("size_2") - F.col("at_2")) >= overlap
-    parity = F.bit_count(F.col("parity_1").bitwiseXOR(F.col("parity_2"))) <= sizes - 2 * overlap
-    pairs = side(1).join(side(2), "token").filter(first & length & position & parity)
-    return pairs.select("name_1", "parity_1", "name_2", "parity_2").distinct()
+def other_candidates(posted: DataFrame, open_: DataFrame, how: Similar) -> DataFrame:
+    """All candidates of the sets in open_ (token, name, parity) under those tokens."""
+    tokens = joined_small(posted, open_.select("token").distinct(), ["token"], SMALL_ROWS)
+    wanted = open_.select("token", "name", "parity", F.lit(1).alias("wanted")).distinct()
+    lists = tokens.join(wanted, ["token", "name", "parity"], "left").withColumn("wanted", F.coalesce("wanted", F.lit(0)))
+    return _met(lists, how, marked=True)
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -252,32 +373,45 @@ def verified(pairs: DataFrame, sets: DataFrame, how: Similar) -> DataFrame:
     return with_results(rows, "pair", {"similar": T.BooleanType()}, work).filter("similar").select("pair.*")
 
 
+SET = ["name", "parity"]
+
+
+def _ends(pairs: DataFrame, *ends: int) -> DataFrame:
+    """The sets at the given ends of pairs."""
+    sides = [pairs.select(*(F.col(f"{c}_{k}").alias(c) for c in SET)) for k in ends]
+    return sides[0].distinct() if len(sides) == 1 else sides[0].unionByName(sides[1]).distinct()
+
+
+def _similar(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, how: Similar) -> DataFrame:
+    """The first sets of the pairs that are similar."""
+    members = firsts.join(_ends(pairs, 1, 2), SET).select("first.*")
+    sets = stored(_texts_of(docs, members), "line-tokens")
+    return stored(_ends(verified(pairs.drop("token").distinct(), sets, how), 1), "similar-lines")
+
+
+def similar_sets(docs: DataFrame, firsts: DataFrame, how: Similar) -> DataFrame:
+    """name, parity of the sets that are like a set with an earlier first line."""
+    counts = rarity(docs, how)
+    met = stored(candidates(postings(docs, how, counts), how), "line-pairs")
+    found = _similar(met, docs, firsts, how)
+    # What the first candidates did not settle gets all the others.
+    open_ = met.select("token", F.col("name_1").alias("name"), F.col("parity_1").alias("parity")).join(found, SET, "left_anti")
+    open_ = stored(open_, "open-lines")
+    if open_.isEmpty():
+        return found
+    more = other_candidates(postings(docs, how, counts), open_, how)
+    more = stored(more.distinct().join(met, PAIRS.names, "left_anti"), "line-pairs")
+    return found.unionByName(_similar(more, docs, firsts, how)).distinct()
+
+
 def removed_lines(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
     """ord, th, lines: the numbers of the lines that go."""
-    place = ["ord", "th", "line"]
+    place = F.struct("ord", "line", "th")
     lines = stored(line_sets(docs, how), "lines")
-    firsts = lines.groupBy("name", "parity").agg(F.min(F.struct(*place)).alias("first"), F.count("*").alias("n"))
-    pairs = stored(candidates(postings(docs, how), how), "line-pairs")
-    one = pairs.select(F.col("name_1").alias("name"), F.col("parity_1").alias("parity"))
-    two = pairs.select(F.col("name_2").alias("name"), F.col("parity_2").alias("parity"))
-    members = one.unionByName(two).distinct()
-    wanted = stored(firsts.join(members, ["name", "parity"]), "line-members")
-    sets = stored(_texts_of(docs, wanted.select("first.*")), "line-tokens")
-    similar = stored(verified(pairs, sets, how), "similar-lines")
-    mirrored = similar.unionByName(
-        similar.select(
-            F.col("name_2").alias("name_1"), F.col("parity_2").alias("parity_1"), F.col("name_1").alias("name_2"), F.col("parity_1").alias("parity_2")
-        )
-    )
-    partner = wanted.select(F.col("name").alias("name_2"), F.col("parity").alias("parity_2"), F.col("first").alias("theirs"))
-    earliest = mirrored.join(partner, ["name_2", "parity_2"]).groupBy("name_1", "parity_1").agg(F.min("theirs").alias("theirs"))
-    named = earliest.select(F.col("name_1").alias("name"), F.col("parity_1").alias("parity"), "theirs")
-    limits = (
-        firsts.join(named, ["name", "parity"], "left")
-        .filter((F.col("n") > 1) | F.col("theirs").isNotNull())
-        .select("name", "parity", F.least("first", F.coalesce("theirs", "first")).alias("stays"))
-    )
-    gone = lines.join(limits, ["name", "parity"]).filter(F.struct(*place) > F.col("stays"))
+    firsts = lines.groupBy(*SET).agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    similar = similar_sets(docs, firsts, how).withColumn("similar", F.lit(True))
+    limits = firsts.join(similar, SET, "left").filter((F.col("n") > 1) | F.col("similar").isNotNull())
+    gone = lines.join(limits, SET).filter(F.col("similar").isNotNull() | (place > F.col("first")))
     return gone.groupBy("ord", "th").agg(F.collect_set("line").alias("lines"))
 
 
@@ -290,10 +424,11 @@ def deduped(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
     text = text_or_empty(F.col("text"))
     rows = docs.select(
         F.struct("*").alias("doc"),
-        text.alias("text"),
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("ord"),
         F.xxhash64(text).alias("th"),
-    ).join(gone, (F.col("ord") == F.col("own_ord")) & (F.col("th") == F.col("own_th")), "left")
+    )
+    own = (F.col("ord") == F.col("own_ord")) & (F.col("th") == F.col("own_th"))
+    rows = rows.join(checked_small(gone, SMALL_ROWS), own, "left").withColumn("text", F.col("doc.text"))
     kinds = {
         "n_lines": T.LongType(),
         "n_removed": T.LongType(),

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from cases import components, distance, documents, frame, kept_words, long_text, removed_lines, words
 from hypothesis import given as examples
@@ -12,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallybook.llm import decontaminate, lines, minhash, quality, substrings
+from tallybook.llm import decontaminate, hashes, lines, minhash, quality, substrings
 from tallybook.llm import components as graph
 from tallybook.llm.queries import QUERIES
 
@@ -81,6 +82,42 @@ def test_lines_of_awkward_rows(spark):
     assert lines.deduped(docs.limit(0)).count() == 0
 
 
+def test_a_second_round_finds_what_the_first_candidate_hides(spark):
+    """The first candidate agrees in all filters and is not similar; a later one is."""
+    bit = lambda w: int(lines._tokens(hashes.words(w.encode()))[0] & np.uint64(63))
+    pool = [f"k{n}" for n in range(600)]
+    rare, base = ["rare1"], pool[:9]
+    twins = [next(w for w in pool[9:] if bit(w) == bit(b)) for b in base[:3]]
+    last = next(w for w in pool[9:] if w not in twins)
+    false, true, late = rare + twins + base[3:], rare + base[:8] + [last], rare + base
+    filler = [(10 + k, " ".join(pool[k : k + 4])) for k in range(590)] * 3
+    rows = [(0, " ".join(false)), (1, " ".join(true)), (2, " ".join(late)), *filler]
+    gone = removed_lines(rows[:3])
+    assert gone == {0: set(), 1: set(), 2: {0}}
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    how = lines.Similar()
+    met = lines.candidates(lines.postings(docs, how, lines.rarity(docs, how)), how).collect()
+    named = {tuple(int(x[0]) for x in next(lines._sets([" ".join(t).encode()], 5)).names()): k for k, t in enumerate((false, true, late))}
+    assert {(named[r["name_1"], r["parity_1"]], named[r["name_2"], r["parity_2"]]) for r in met} >= {(2, 0)}
+    assert (2, 1) not in {(named[r["name_1"], r["parity_1"]], named[r["name_2"], r["parity_2"]]) for r in met if r["token"] == lines._tokens(hashes.words(b"rare1")).view(np.int64)[0]}
+    assert {r["ord"]: list(r["lines"]) for r in lines.removed_lines(docs).collect()} == {2: [0]}
+
+
+def test_large_groups_of_lines_are_not_paired_out(spark):
+    """400 variants of one line: a row per variant and word of its prefix at most, not one per pair."""
+    rng = random.Random(3)
+    base = [f"w{k}" for k in range(30)]
+    rows = []
+    for k in range(400):
+        own = list(base)
+        own[rng.randrange(30)] = f"x{k}"
+        rows.append((k, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    how = lines.Similar()
+    assert lines.candidates(lines.postings(docs, how, lines.rarity(docs, how)), how).count() <= 400 * 7
+    assert {r["ord"] for r in lines.removed_lines(docs).collect()} == set(range(1, 400))
+
+
 # ---- 5 substrings ----
 
 
