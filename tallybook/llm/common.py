@@ -19,11 +19,24 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Spark's own setting: the shuffle files of a query go when the query ends, and not when the driver collects garbage.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written once to the shared folder and read from there: survives lost executors, ends the lineage."""
-    path = work_dir(df.sparkSession, f"llm-{name}")
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df written once to the shared folder and read from there: survives lost executors, ends the lineage.
+
+    The shuffle files of what led to it are removed, for nothing reads them again.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, f"llm-{name}")
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_or_empty(text: Column) -> Column:
