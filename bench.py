@@ -4,8 +4,9 @@ Each query runs once unmeasured at a small scale, which loads and compiles, and
 times at the real one; the best time counts. Results are written to Spark's noop sink, so
 every row is computed and none is collected.
 
-With BENCH_COPIES=n the line also has "throughput": the delivery log repeated n times under other
-ids, encoded to the wire format, written to files, and ingested, folded and decoded from there.
+"throughput" has rows per second over the delivery log repeated BENCH_COPIES times under other ids,
+encoded to the wire format, written to files, and ingested, folded and decoded from there: once with
+ids that grow with time and once with random ids, and for JSON request bodies. BENCH_COPIES=0 leaves it out.
 """
 
 from __future__ import annotations
@@ -23,19 +24,20 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.ids import dashed, uuid_to_bytes
 from tallybook.functions.wire import encode_posting
-from tallybook.operators import arrivals, balances
+from tallybook.operators import admission, arrivals, balances
 from tallybook.plans import views
 from tallybook.plans.registry import QUERIES
 from tallybook.session import build_session, work_dir
 from tallybook.sources import log, tables
 from tallybook.streaming import fold, ingest
+from tallybook.streaming.opening import seed_book
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 RUNS = int(os.environ.get("BENCH_RUNS", "2"))
-COPIES = int(os.environ.get("BENCH_COPIES", "0"))
+COPIES = int(os.environ.get("BENCH_COPIES", "20"))
 # Queries that set up folders and streams of their own: one run.
-STAGED = {"ledger_append", "log_source", "stream_ingest", "stream_fold", "stepwise_fold", "dedupe_bounded"}
+STAGED = {"ledger_append", "log_source", "stream_ingest", "stream_fold", "stepwise_fold", "dedupe_bounded", "open_accounts"}
 
 
 def drain(df: DataFrame) -> None:
@@ -59,7 +61,7 @@ def query_times(spark: SparkSession) -> dict[str, float]:
     return times
 
 
-def repeated_log(spark: SparkSession, copies: int) -> str:
+def repeated_log(spark: SparkSession, copies: int, ordered: bool) -> str:
     """Every delivery `copies` times as different postings of different accounts, on the wire."""
     step = 10_000_000
     rows = views.deliveries(spark, SF_DIR).repartition(4 * CPUS)
@@ -71,10 +73,10 @@ def repeated_log(spark: SparkSession, copies: int) -> str:
             "account_id": F.col("account_id") + F.col("copy") * 192,
         }
     )
-    # Ids that grow with time, as clients of the system send them.
+    # Ids that grow with time, as clients of the system send them, or have no order at all.
     millis = F.lpad(F.lower(F.hex(F.unix_millis("created_at"))), 12, "0")
     timed = dashed(F.concat(millis, F.substring(F.md5(F.col("id").cast("string")), 1, 20)))
-    rows = rows.withColumns({"id": timed, "account_id": views.uuid_for("a", F.col("account_id"))})
+    rows = rows.withColumns({"id": timed if ordered else views.uuid_for("t", F.col("id")), "account_id": views.uuid_for("a", F.col("account_id"))})
     records = rows.select(
         uuid_to_bytes(F.col("account_id")).alias("key"),
         encode_posting(F.col("id"), F.col("account_id"), F.col("amount")).alias("value"),
@@ -88,9 +90,20 @@ def repeated_log(spark: SparkSession, copies: int) -> str:
     return path
 
 
-def throughput(spark: SparkSession) -> dict[str, float]:
-    """Rows per second of each stage over the repeated log; a first small round warms up."""
-    records = spark.read.parquet(repeated_log(spark, COPIES))
+def json_rate(spark: SparkSession, copies: int) -> dict[str, float]:
+    """Rows per second out of JSON bodies, each judged and decoded."""
+    bodies = views.json_requests(spark, SF_DIR).repartition(4 * CPUS)
+    bodies = bodies.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).drop("copy")
+    path = work_dir(spark, "bench_json")
+    bodies.write.parquet(path)
+    rows = admission.decode_json_batches(spark.read.parquet(path))
+    drain(rows)
+    return {"json_rows_per_sec": round(rows.count() / seconds(lambda: drain(rows)))}
+
+
+def throughput(spark: SparkSession, ordered: bool) -> dict[str, float]:
+    """Rows per second of each stage over the repeated log; a first round warms up."""
+    records = spark.read.parquet(repeated_log(spark, COPIES, ordered))
     rates: dict[str, float] = {}
     for _ in range(2):
         book = tables.Book(work_dir(spark, "bench_book"))
@@ -103,7 +116,7 @@ def throughput(spark: SparkSession) -> dict[str, float]:
         ledger = tables.read_ledger(spark, book)
         owners = ledger.select(F.col("account_id").alias("id")).distinct()
         accounts = owners.select("id", F.lit(0).cast("bigint").alias("balance"), F.current_timestamp().alias("created_at"))
-        tables.seed_book(spark, book, accounts)
+        seed_book(spark, book, accounts)
         stored = ledger.count()
         postings = log.good_postings(log.decode_log(records))
         rates = {
@@ -119,7 +132,7 @@ def throughput(spark: SparkSession) -> dict[str, float]:
 
 
 def main() -> None:
-    spark = build_session(f"local[{CPUS}]", CPUS, os.environ.get("BENCH_MEMORY", "16g"))
+    spark = build_session(f"local[{CPUS}]", CPUS, os.environ.get("BENCH_MEMORY", "16g"), os.environ.get("BENCH_SHARED"))
     spark.sparkContext.setLogLevel("ERROR")
     times = query_times(spark)
     line = {
@@ -131,7 +144,11 @@ def main() -> None:
         "cpus": CPUS,
     }
     if COPIES:
-        line["throughput"] = throughput(spark)
+        line["throughput"] = {
+            "ordered_ids": throughput(spark, True),
+            "random_ids": throughput(spark, False),
+            **json_rate(spark, COPIES),
+        }
     spark.stop()
     print(json.dumps(line))
 

@@ -48,3 +48,8 @@ def txn_counts(accounts: DataFrame, ledger: DataFrame) -> DataFrame:
     rows = accounts.select("id").join(counts, "id", "left")
     return rows.select(F.col("id").alias("account_id"), F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
 
+
+
+def repeated_ids(ledger: DataFrame) -> DataFrame:
+    """Ids the ledger holds more than once, with their number: none, unless ingest ran with a horizon."""
+    return ledger.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1")

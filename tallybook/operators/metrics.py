@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from tallybook.schemas import NO_OFFSET
+
 
 def request_counts(requests: DataFrame) -> DataFrame:
     return requests.groupBy("path", "method", "status").agg(F.count("*").alias("requests"))
@@ -17,6 +22,11 @@ def rows_staged(commits: DataFrame) -> DataFrame:
     return commits.agg(F.coalesce(F.sum("rows_delivered"), F.lit(0)).cast("bigint").alias("rows_staged"))
 
 
+def messages_produced(responses: DataFrame) -> DataFrame:
+    """Rows of accepted requests, each of which became one message of the log."""
+    return responses.agg(F.coalesce(F.sum("created_count"), F.lit(0)).cast("bigint").alias("messages_produced"))
+
+
 def histogram(
     df: DataFrame, value: Column, labels: Sequence[str], bounds: Sequence[float], scale: int = 1
 ) -> DataFrame:
@@ -44,13 +54,21 @@ def latest_gauge(samples: DataFrame, labels: Sequence[str], value: str, order: s
 
 
 def consumer_lag(dispatched: DataFrame, committed: DataFrame) -> DataFrame:
-    """Per partition: last offset handed out, last offset committed, and the difference."""
+    """Per partition: last offset handed out, last offset committed, and the difference.
+
+    A partition that never committed lags by all it has been given.
+    """
     out = dispatched.select("partition_id", F.col("last_offset").alias("dispatched"))
     done = committed.select("partition_id", F.col("last_offset").alias("committed"))
-    return out.join(done, "partition_id").withColumn("lag", F.col("dispatched") - F.col("committed"))
+    rows = out.join(done, "partition_id", "left")
+    committed_to = F.coalesce("committed", F.lit(NO_OFFSET).cast("bigint"))
+    return rows.select("partition_id", "dispatched", committed_to.alias("committed")).withColumn(
+        "lag", F.col("dispatched") - F.col("committed")
+    )
 
 
 BINS_PER_OCTAVE = 4096
+CELLS = 4096
 
 
 def _bin(x: Column) -> Column:
@@ -59,70 +77,132 @@ def _bin(x: Column) -> Column:
     return F.when(x == 0, F.lit(0).cast("bigint")).when(x > 0, size).otherwise(-size)
 
 
+@dataclass
+class Rank:
+    """A wanted place in the order of the values, and the stretch of values known to hold it."""
+
+    fraction: float
+    weight: float
+    #: Place among the values of the stretch, from 0.
+    place: int
+    low: float
+    high: float
+
+
+def _ranks(bins: list[Row], fractions: Sequence[float]) -> list[Rank]:
+    """Where the neighbours of each percentile lie, by the bins in order."""
+    total = sum(b["n"] for b in bins)
+    out = []
+    for p in fractions if total else ():
+        at = p * (total - 1)
+        low, share = math.floor(at), at - math.floor(at)
+        for place, weight in ((low, 1 - share), (min(low + 1, total - 1), share)):
+            for b in bins:
+                if place < b["n"]:
+                    out.append(Rank(p, weight, place, b["low"], b["high"]))
+                    break
+                place -= b["n"]
+    return out
+
+
+def _narrow(values: DataFrame, ranks: list[Rank]) -> None:
+    """One scan: every stretch that is not a single value yet is cut into cells, and its rank placed in one.
+
+    At most CELLS + 1 rows per stretch come back, whatever the number of values.
+    """
+    open_ = sorted({(r.low, r.high) for r in ranks if r.low < r.high})
+    x = F.col("x")
+    inside = [x.between(F.lit(a), F.lit(b)) for a, b in open_]
+    cells = [
+        F.when(inside[k], F.struct(F.lit(k).alias("k"), F.floor((x - a) / (b - a) * CELLS).alias("cell")))
+        for k, (a, b) in enumerate(open_)
+    ]
+    near = values.filter(reduce(lambda a, b: a | b, inside))
+    # Stretches may touch, so a value can count in more than one.
+    counted = near.select("x", F.inline(F.array_compact(F.array(*cells)))).groupBy("k", "cell")
+    rows = counted.agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")).collect()
+    by_stretch: dict[int, list[Row]] = {}
+    for row in sorted(rows, key=lambda r: (r["k"], r["cell"])):
+        by_stretch.setdefault(row["k"], []).append(row)
+    for r in ranks:
+        if r.low < r.high:
+            for row in by_stretch[open_.index((r.low, r.high))]:
+                if r.place < row["n"]:
+                    r.low, r.high = row["low"], row["high"]
+                    break
+                r.place -= row["n"]
+
+
+def _percentiles(values: DataFrame, bins: list[Row], fractions: Sequence[float]) -> dict[float, float]:
+    ranks = _ranks(bins, fractions)
+    while any(r.low < r.high for r in ranks):
+        _narrow(values, ranks)
+    out: dict[float, float] = {}
+    for r in ranks:
+        out[r.fraction] = out.get(r.fraction, 0.0) + r.low * r.weight
+    return out
+
+
+def _binned(values: DataFrame, *more: Column) -> list[Row]:
+    """Values counted per bin, in order. The number of bins follows from the range of the values alone."""
+    by_bin = values.groupBy(_bin(F.col("x")).alias("bin"))
+    known = by_bin.agg(F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"), *more)
+    return sorted(known.collect(), key=lambda r: (r["bin"] is not None, r["bin"]))
+
+
 def exact_percentiles(df: DataFrame, value: Column, fractions: Sequence[float]) -> DataFrame:
-    """Interpolated percentiles (fraction, value) without gathering the values in one task.
+    """Interpolated percentiles (fraction, value) without gathering the values anywhere.
 
-    A first pass counts rows per bin; the number of bins depends on the range of the values,
-    not on the number of rows. The bins that hold the wanted ranks, at most two per fraction,
-    are read again, equal values collapsed, and the ranks picked inside them.
+    Values are counted per bin, then the stretches that hold the wanted ranks are cut finer, scan
+    by scan, until each is a single value; whole numbers take two scans, any doubles at most six.
     """
     values = df.select(value.cast("double").alias("x")).filter(F.col("x").isNotNull())
-    values = values.withColumn("bin", _bin(F.col("x")))
-    counts = values.groupBy("bin").agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
-    total = F.sum("n").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    ranked = counts.select("bin", "n", upto.alias("upto"), total.alias("total"))
-    wanted = []
-    for p in fractions:
-        at = F.lit(float(p)) * (F.col("total") - 1)
-        low, share = F.floor(at), at - F.floor(at)
-        for rank, weight in ((low, 1 - share), (low + 1, share)):
-            wanted.append(
-                F.struct(
-                    F.lit(float(p)).alias("fraction"),
-                    F.least(rank, F.col("total") - 1).alias("rank"),
-                    weight.alias("weight"),
-                )
-            )
-    targets = ranked.select("bin", "n", "upto", F.explode(F.array(*wanted)).alias("w"))
-    targets = targets.filter((F.col("w.rank") >= F.col("upto") - F.col("n")) & (F.col("w.rank") < F.col("upto")))
-    targets = targets.select("bin", "w.fraction", "w.weight", (F.col("w.rank") - (F.col("upto") - F.col("n"))).alias("rank"))
-    # Two rows per fraction at most, whatever the data.
-    bins = F.broadcast(targets.select("bin").distinct())
-    near = values.join(bins, "bin", "left_semi").groupBy("bin", "x").agg(F.count("*").alias("n"))
-    inside = F.sum("n").over(Window.partitionBy("bin").orderBy("x").rowsBetween(Window.unboundedPreceding, 0))
-    near = near.withColumn("upto", inside)
-    picked = near.join(F.broadcast(targets), "bin").filter(
-        (F.col("rank") >= F.col("upto") - F.col("n")) & (F.col("rank") < F.col("upto"))
-    )
-    return picked.groupBy("fraction").agg(F.sum(F.col("x") * F.col("weight")).alias("value"))
+    found = _percentiles(values, _binned(values), fractions)
+    return df.sparkSession.createDataFrame(list(found.items()), "fraction DOUBLE, value DOUBLE")
 
 
 def load_report(requests: DataFrame, rows_per_request: int) -> DataFrame:
     """The load test's summary as (metric, value) rows.
 
     requests has ts, status and latency_us. Throughput counts successful requests from the
-    first send to the last answer.
+    first send to the last answer. One scan counts, sums and bins; the next finds the percentiles.
     """
     us = F.col("latency_us")
-    ended = F.unix_micros("ts") + us
-    ok = F.col("status").between(200, 399)
-    totals = requests.agg(
-        F.count("*").cast("double").alias("requests"),
-        F.count_if(ok).cast("double").alias("ok"),
-        ((F.max(ended) - F.min(F.unix_micros("ts"))) / F.lit(1e6)).alias("seconds"),
-        (F.sum(us) / F.count(us) / F.lit(1e6)).alias("mean_s"),
-        (F.max(us) / F.lit(1e6)).alias("max_s"),
+    values = requests.select(
+        (us / F.lit(1e6)).alias("x"),
+        us.alias("us"),
+        F.unix_micros("ts").alias("began"),
+        F.col("status").between(200, 399).alias("ok"),
+    )
+    bins = _binned(
+        values,
+        F.count("*").alias("requests"),
+        F.count_if("ok").alias("ok"),
+        F.sum("us").alias("us"),
+        F.max("us").alias("top"),
+        F.min("began").alias("began"),
+        F.max(F.col("began") + F.col("us")).alias("ended"),
     )
+
+    def whole(column: str, fold: Callable) -> float | None:
+        known = [b[column] for b in bins if b[column] is not None]
+        return fold(known) if known else None
+
+    def ratio(a: float | None, b: float | None) -> float | None:
+        return a / b if a is not None and b else None
+
+    requests_, ok = whole("requests", sum) or 0, whole("ok", sum) or 0
+    began, ended = whole("began", min), whole("ended", max)
+    seconds = None if began is None or ended is None else (ended - began) / 1e6
+    top = whole("top", max)
     facts = {
-        "requests": F.col("requests"),
-        "rows_per_second": F.try_divide(F.col("ok") * rows_per_request, F.col("seconds")),
-        "success_percent": F.try_divide(F.col("ok") * 100, F.col("requests")),
-        "latency_mean_s": F.col("mean_s"),
-        "latency_max_s": F.col("max_s"),
+        "requests": float(requests_),
+        "rows_per_second": ratio(ok * rows_per_request, seconds),
+        "success_percent": ratio(ok * 100, requests_),
+        "latency_mean_s": ratio(ratio(whole("us", sum), whole("n", sum)), 1e6),
+        "latency_max_s": None if top is None else top / 1e6,
     }
-    pairs = [F.struct(F.lit(k).alias("metric"), v.cast("double").alias("value")) for k, v in facts.items()]
-    simple = totals.select(F.inline(F.array(*pairs)))
-    name = F.concat(F.lit("latency_p"), (F.col("fraction") * 100).cast("int").cast("string"), F.lit("_s"))
-    tail = exact_percentiles(requests, us / F.lit(1e6), (0.95, 0.99))
-    return simple.unionByName(tail.select(name.alias("metric"), "value"))
+    measured = [b for b in bins if b["n"]]
+    for p, found in _percentiles(values.filter(F.col("x").isNotNull()), measured, (0.95, 0.99)).items():
+        facts[f"latency_p{round(p * 100)}_s"] = found
+    return requests.sparkSession.createDataFrame(list(facts.items()), "metric STRING, value DOUBLE")

@@ -37,16 +37,17 @@ def all_partitions(spark: SparkSession, low: int = 0, high: int = PARTITIONS - 1
     return spark.range(low, high + 1).select(F.col("id").cast("int").alias("partition_id"))
 
 
-def committed_offsets(commits: DataFrame) -> DataFrame:
+def committed_offsets(commits: DataFrame, partitions: int = PARTITIONS) -> DataFrame:
     """Per partition the highest committed offset and when it was committed.
 
-    commits is the per-batch summary: at most one row per partition and batch.
+    commits is the per-batch summary: at most one row per partition and batch. Partitions of the
+    log that never committed get NO_OFFSET; a stored offset is kept whatever its partition.
     """
     latest = commits.groupBy("partition_id").agg(
         F.max("last_offset").alias("last_offset"),
         F.max_by("committed_at", "last_offset").alias("updated_at"),
     )
-    rows = all_partitions(commits.sparkSession).join(latest, "partition_id", "left")
+    rows = all_partitions(commits.sparkSession, 0, partitions - 1).join(latest, "partition_id", "full")
     return rows.select(
         "partition_id",
         F.coalesce("last_offset", F.lit(NO_OFFSET).cast("bigint")).alias("last_offset"),
@@ -54,9 +55,9 @@ def committed_offsets(commits: DataFrame) -> DataFrame:
     )
 
 
-def init_offsets(existing: DataFrame) -> DataFrame:
-    """Offsets with a row for every partition; rows that exist stay as they are."""
-    missing = all_partitions(existing.sparkSession).join(existing, "partition_id", "left_anti")
+def init_offsets(existing: DataFrame, partitions: int = PARTITIONS) -> DataFrame:
+    """Offsets with a row for every partition of the log; rows that exist stay as they are."""
+    missing = all_partitions(existing.sparkSession, 0, partitions - 1).join(existing, "partition_id", "left_anti")
     fresh = missing.select("partition_id", F.lit(NO_OFFSET).cast("bigint").alias("last_offset"))
     return existing.select("partition_id", "last_offset").unionByName(fresh)
 

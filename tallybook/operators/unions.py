@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.functions.ids import shard_of
-from tallybook.operators.offsets import parse_partition_range
+from tallybook.operators.offsets import in_partition_range
 
 
 def union_tables(tables: list[DataFrame]) -> DataFrame:
@@ -20,11 +20,16 @@ def union_tables(tables: list[DataFrame]) -> DataFrame:
 
 
 def read_partition_tables(
-    spark: SparkSession, path: str, schema: T.StructType, partitions: str = "0-63"
+    spark: SparkSession, path: str, schema: T.StructType, partitions: str | None = None
 ) -> DataFrame:
-    """All partition tables under path (partition_id=N folders) as one scan, pruned to a range."""
-    low, high = parse_partition_range(partitions)
-    return spark.read.schema(schema).parquet(path).filter(F.col("partition_id").between(low, high))
+    """All partition tables under path (partition_id=N folders) as one scan, or those of a range."""
+    rows = spark.read.schema(schema).parquet(path)
+    return rows if partitions is None else in_partition_range(rows, partitions)
+
+
+def write_partition_tables(rows: DataFrame, path: str) -> None:
+    """One folder per log partition; a partition's rows are brought together first, large ones split."""
+    rows.hint("rebalance", "partition_id").write.partitionBy("partition_id").parquet(path)
 
 
 def with_shard(df: DataFrame, shards: int, id_column: str = "id") -> DataFrame:

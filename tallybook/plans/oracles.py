@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tallybook.plans.registry import ROWS_PER_REQUEST, SMALL_BATCH, SMALL_BODY
+from tallybook.plans.registry import ASKED, NEVER, ROWS_PER_REQUEST, SMALL_BATCH, SMALL_BODY, WIDE
 from tallybook.plans.views import COPY_STEP, FIRST_COMMIT, HALF, ORPHAN_STEP, REQUEST_ROWS, SEEDED
-from tallybook.schemas import EARLIEST, NO_OFFSET, PARTITIONS, REQUEST_BOUNDS, TOPIC
+from tallybook.schemas import EARLIEST, NO_OFFSET, PARTITIONS, REQUEST_BOUNDS, STAGE_BOUNDS, TOPIC
 
 
 def _dashed(h: str) -> str:
@@ -43,9 +43,11 @@ kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ba
 COMMITS = f"""commits AS (SELECT partition_id, batch_id, max(log_offset) AS last_offset, count(*) AS rows_delivered,
   TIMESTAMP '{FIRST_COMMIT}' + CAST(batch_id AS INTEGER) * INTERVAL 1 DAY AS committed_at
   FROM deliveries GROUP BY partition_id, batch_id)"""
-ALL_PARTITIONS = f"parts AS (SELECT CAST(p AS INTEGER) AS partition_id FROM range({PARTITIONS}) t(p))"
-BEGUN = """begun AS (SELECT partition_id, max(log_offset) AS last_offset FROM deliveries
-  WHERE created_at < TIMESTAMP '2024-01-01 03:00:00' GROUP BY partition_id)"""
+ALL_PARTITIONS = f"parts AS (SELECT CAST(p AS INTEGER) AS partition_id FROM range({WIDE}) t(p))"
+DELIVERIES_WIDE = DELIVERIES.replace(f"account_id % {PARTITIONS} ", f"account_id % {WIDE} ")
+COMMITS_WIDE = COMMITS.replace("FROM deliveries", f"FROM deliveries WHERE partition_id <> {NEVER}")
+SOME = """remaining AS (SELECT partition_id, max(log_offset) AS last_offset FROM deliveries
+  WHERE partition_id % 7 <> 3 GROUP BY partition_id)"""
 ITEMS = f"""{POSTINGS},
 items AS (SELECT *, id // {REQUEST_ROWS} AS batch_id, copy * {REQUEST_ROWS} + id % {REQUEST_ROWS} AS seat FROM (
   SELECT *, 0 AS copy FROM postings
@@ -111,6 +113,7 @@ _UUID_PLACED = (
 )
 _UUID_ACCOUNTS = f"(SELECT {_uuid('a', 'id')} AS id, balance, created_at FROM accounts)"
 
+_STAGES = ", ".join(f"('{b:g}', {round(b * 1_000_000)})" for b in STAGE_BOUNDS)
 _BOUNDS = ", ".join(f"('{b:g}', {round(b * 1_000_000)})" for b in REQUEST_BOUNDS)
 
 SQL: dict[str, str] = {
@@ -133,17 +136,17 @@ SQL: dict[str, str] = {
         WHERE NOT EXISTS (SELECT 1 FROM accounts a WHERE a.id = f.account_id) GROUP BY account_id""",
     "batch_offsets": f"""WITH {DELIVERIES} SELECT partition_id, max(log_offset) AS last_offset,
         count(*) AS rows_delivered FROM deliveries GROUP BY partition_id""",
-    "committed_offsets": f"""WITH {DELIVERIES}, {COMMITS}, {ALL_PARTITIONS},
+    "committed_offsets": f"""WITH {DELIVERIES_WIDE}, {COMMITS_WIDE}, {ALL_PARTITIONS},
         latest AS (SELECT partition_id, max(last_offset) AS last_offset, arg_max(committed_at, last_offset)
           AS updated_at FROM commits GROUP BY partition_id)
         SELECT partition_id, coalesce(last_offset, {NO_OFFSET}) AS last_offset, updated_at
         FROM parts LEFT JOIN latest USING (partition_id)""",
-    "start_offsets": f"""WITH {DELIVERIES}, {BEGUN}, {ALL_PARTITIONS}
+    "start_offsets": f"""WITH {DELIVERIES_WIDE}, {SOME}, {ALL_PARTITIONS}
         SELECT partition_id, coalesce(last_offset + 1, {EARLIEST}) AS start_offset
-        FROM parts LEFT JOIN begun USING (partition_id)""",
-    "init_offsets": f"""WITH {DELIVERIES}, {BEGUN}, {ALL_PARTITIONS}
+        FROM parts LEFT JOIN remaining USING (partition_id)""",
+    "init_offsets": f"""WITH {DELIVERIES_WIDE}, {SOME}, {ALL_PARTITIONS}
         SELECT partition_id, coalesce(last_offset, {NO_OFFSET}) AS last_offset
-        FROM parts LEFT JOIN begun USING (partition_id)""",
+        FROM parts LEFT JOIN remaining USING (partition_id)""",
     "partition_range": f"WITH {DELIVERIES} SELECT {_PLACED} FROM deliveries WHERE partition_id BETWEEN 0 AND 31",
     "partitions_with_work": f"""WITH {DELIVERIES} SELECT partition_id, count(*) AS pending FROM deliveries
         WHERE batch_id > 1 GROUP BY partition_id""",
@@ -195,6 +198,8 @@ SQL: dict[str, str] = {
           FROM deliveries)
         SELECT request_id, CAST(CASE WHEN a.id IS NULL THEN 400 WHEN k.id IS NULL THEN 404 ELSE 200 END AS INTEGER)
         AS status, a.id, account_id, amount, created_at FROM asked a LEFT JOIN known k ON a.id = k.id""",
+    "account_by_id": f"WITH {ACCOUNTS} SELECT id, balance, created_at FROM accounts WHERE id = {ASKED}",
+    "transaction_by_id": f"WITH {TRANSACTIONS} SELECT {_POSTING} FROM transactions WHERE id = {ASKED}",
     "account_txn_count": f"""WITH {ACCOUNTS}, {TRANSACTIONS} SELECT a.id AS account_id, count(t.id) AS n
         FROM accounts a LEFT JOIN transactions t ON t.account_id = a.id GROUP BY a.id""",
     "uuid_validate": f"""WITH {POSTINGS}, u AS (SELECT id, {_uuid('a', 'account_id')} AS t FROM postings)
@@ -209,7 +214,7 @@ SQL: dict[str, str] = {
     "seed_accounts": f"""WITH {ACCOUNTS}, u AS {_UUID_ACCOUNTS}
         SELECT id, CAST(1000 AS BIGINT) AS balance, created_at, {_shard('id', 2)} AS shard FROM u""",
     "account_ids_csv": f"WITH {ACCOUNTS}, u AS {_UUID_ACCOUNTS} SELECT id AS account_id FROM u",
-    "union_partitions": f"""WITH {DELIVERIES} SELECT {_uuid('t', 'id')} AS id, {_uuid('a', 'account_id')} AS account_id,
+    "union_partitions": f"""WITH {DELIVERIES_WIDE} SELECT {_uuid('t', 'id')} AS id, {_uuid('a', 'account_id')} AS account_id,
         amount, created_at, partition_id FROM deliveries""",
     "union_shards": f"""WITH {ACCOUNTS}, u AS {_UUID_ACCOUNTS}
         SELECT id, balance, created_at, {_shard('id', 2)} AS shard FROM u""",
@@ -225,9 +230,17 @@ SQL: dict[str, str] = {
         SELECT t.path, 'POST' AS method, t.status, b.le,
           (SELECT count(*) FROM r WHERE r.path = t.path AND r.us <= b.bound) AS bucket_count, total, total_value
         FROM t, b""",
+    "messages_produced": f"""WITH {JUDGED} SELECT CAST(sum(CASE WHEN batch_id % 12 = 10 THEN 0 ELSE n_items END) AS BIGINT)
+        AS messages_produced FROM judged WHERE reason IS NULL""",
+    "stage_histogram": f"""WITH b(le, bound) AS (VALUES {_STAGES}, ('+Inf', 9223372036854775807)),
+        e AS (SELECT event_type AS path, CAST(round(value*1000) AS BIGINT) AS us FROM events),
+        r AS (SELECT path, path AS label, us FROM e UNION ALL SELECT path, NULL, us FROM e),
+        t AS (SELECT label, count(*) AS total, CAST(sum(us) AS BIGINT) AS total_value FROM r GROUP BY label)
+        SELECT t.label AS path, b.le, (SELECT count(*) FROM r WHERE r.label IS NOT DISTINCT FROM t.label
+          AND r.us <= b.bound) AS bucket_count, total, total_value FROM t, b""",
     "latest_gauge": """SELECT event_type AS path, CAST(round(arg_max(value, event_id)*1000) AS BIGINT) AS latency_us
         FROM events GROUP BY event_type""",
-    "consumer_lag": f"""WITH {DELIVERIES}, {COMMITS},
+    "consumer_lag": f"""WITH {DELIVERIES_WIDE}, {COMMITS_WIDE},
         d AS (SELECT partition_id, max(log_offset) AS dispatched FROM deliveries GROUP BY partition_id),
         c AS (SELECT partition_id, max(last_offset) AS committed FROM commits WHERE batch_id < 2 GROUP BY partition_id)
         SELECT partition_id, dispatched, coalesce(committed, {NO_OFFSET}) AS committed,
@@ -256,6 +269,13 @@ SQL: dict[str, str] = {
         net AS (SELECT account_id, sum(amount) AS net_change FROM firsts GROUP BY account_id)
         SELECT id, CAST(balance + coalesce(net_change, 0) AS BIGINT) AS balance
         FROM accounts LEFT JOIN net ON id = account_id""",
+    "open_accounts": f"""WITH {ACCOUNTS}, {DELIVERIES}, {FIRSTS},
+        all_net AS (SELECT account_id, sum(amount) AS net_change FROM firsts GROUP BY account_id),
+        late_net AS (SELECT account_id, sum(amount) AS net_change FROM firsts WHERE batch_id > 0 GROUP BY account_id)
+        SELECT id, CAST(balance + coalesce(CASE WHEN id % 3 <> 0 THEN a.net_change ELSE l.net_change END, 0) AS BIGINT)
+          AS balance
+        FROM accounts LEFT JOIN all_net a ON id = a.account_id LEFT JOIN late_net l ON id = l.account_id
+        WHERE id % 3 <> 0 OR id % 2 = 0""",
     "dedupe_bounded": f"""WITH {DELIVERIES}, {GOOD}
         SELECT {_uuid('t', 'id')} AS id, {_uuid('a', 'account_id')} AS account_id, partition_id FROM kept""",
 }

@@ -24,12 +24,14 @@ from tallybook.operators import (
     unions,
 )
 from tallybook.plans import views
-from tallybook.schemas import REQUEST_BOUNDS, posting_schema
+from tallybook.schemas import REQUEST_BOUNDS, STAGE_BOUNDS, posting_schema
 from tallybook.session import work_dir
 from tallybook.sources import account_ids, log, tables
 from tallybook.streaming.bounded import drop_recent_duplicates
 from tallybook.streaming.fold import fold_once, start_fold
 from tallybook.streaming.ingest import append_postings, commit_batch, start_ingest
+from tallybook.streaming.opening import open_accounts as add_accounts
+from tallybook.streaming.opening import seed_book
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +41,10 @@ ROWS_PER_REQUEST = 5000
 SMALL_BODY = 18_000
 SMALL_BATCH = 105
 FILES_PER_TRIGGER = 16
+# A log wider than usual, and its partition without a commit.
+WIDE = 128
+NEVER = 77
+ASKED = 42
 
 
 def _postings(df: DataFrame) -> DataFrame:
@@ -96,14 +102,19 @@ def ledger_append(spark: SparkSession, sf: str) -> DataFrame:
     """The log appended batch by batch, the last batch twice."""
     book = tables.Book(work_dir(spark, "ledger_append"), key="bigint")
     tables.init_tables(spark, book)
-    rows = views.deliveries(spark, sf)
+    rows = views.deliveries(spark, sf).persist()
     for batch in (0, 1, 2, 3, 3):
-        part = rows.filter(F.col("batch_id") == batch).drop("batch_id")
-        append_postings(spark, book, part, (0, batch))
-        commit_batch(book, offsets.batch_offsets(part), (0, batch))
+        _append(spark, book, rows, batch)
+    rows.unpersist()
     return _placed(tables.read_ledger(spark, book))
 
 
+def _append(spark: SparkSession, book: tables.Book, rows: DataFrame, batch: int) -> None:
+    part = rows.filter(F.col("batch_id") == batch).drop("batch_id")
+    append_postings(spark, book, part, (0, batch))
+    commit_batch(book, offsets.batch_offsets(part), (0, batch))
+
+
 def history_archive(spark: SparkSession, sf: str) -> DataFrame:
     rows = views.deliveries(spark, sf)
     return _postings(arrivals.archive(rows, rows.filter("batch_id = 0")))
@@ -117,6 +128,24 @@ def seed_accounts(spark: SparkSession, sf: str) -> DataFrame:
 # ---- projections and admission ----
 
 
+def open_accounts(spark: SparkSession, sf: str) -> DataFrame:
+    """Accounts opened on a book that has folded part of the log, some of them known already; then the rest."""
+    book = tables.Book(work_dir(spark, "open_accounts"), key="bigint", buckets=16, apply_every=3)
+    tables.init_tables(spark, book)
+    accounts = views.accounts(spark, sf)
+    seed_book(spark, book, accounts.filter("id % 3 <> 0"))
+    rows = views.deliveries(spark, sf).persist()
+    for batch in range(4):
+        _append(spark, book, rows, batch)
+        fold_once(spark, book)
+        if batch == 0:
+            # Known ones keep their balance.
+            late = accounts.withColumn("balance", F.col("balance") + F.when(F.col("id") % 3 != 0, 5).otherwise(0))
+            add_accounts(spark, book, late.filter("id % 2 = 0"))
+    rows.unpersist()
+    return tables.read_accounts(spark, book).select("id", "balance")
+
+
 def batch_explode(spark: SparkSession, sf: str) -> DataFrame:
     """Accepted and rejected requests alike: every parsed item with its position."""
     parsed = admission.judge_json_batches(views.json_requests(spark, sf))
@@ -199,6 +228,14 @@ def transaction_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return views.plain(lookups.answer_lookups(asked, known, lookups.POSTING_COLUMNS))
 
 
+def account_by_id(spark: SparkSession, sf: str) -> DataFrame:
+    return views.plain(lookups.account_by_id(views.accounts(spark, sf), ASKED))
+
+
+def transaction_by_id(spark: SparkSession, sf: str) -> DataFrame:
+    return views.plain(lookups.posting_by_id(views.transactions(spark, sf), ASKED))
+
+
 def account_txn_count(spark: SparkSession, sf: str) -> DataFrame:
     return lookups.txn_counts(views.accounts(spark, sf), views.transactions(spark, sf))
 
@@ -256,21 +293,25 @@ def batch_offsets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def committed_offsets(spark: SparkSession, sf: str) -> DataFrame:
-    return views.plain(offsets.committed_offsets(views.commits(spark, sf)))
+    """A log of 128 partitions, one of which never committed."""
+    return views.plain(offsets.committed_offsets(_wide_commits(spark, sf), WIDE))
+
 
+def _wide_commits(spark: SparkSession, sf: str) -> DataFrame:
+    return views.commits(spark, sf, WIDE).filter(F.col("partition_id") != NEVER)
 
-def _first_hours(spark: SparkSession, sf: str) -> DataFrame:
-    """Offsets of a log that has only just begun: some partitions have none yet."""
-    begun = views.deliveries(spark, sf).filter(F.col("created_at") < F.lit("2024-01-01 03:00:00").cast("timestamp"))
-    return offsets.batch_offsets(begun)
+
+def _some_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """Offsets of the whole log, of which every seventh partition has lost its own."""
+    return offsets.batch_offsets(views.deliveries(spark, sf, WIDE)).filter(F.col("partition_id") % 7 != 3)
 
 
 def start_offsets(spark: SparkSession, sf: str) -> DataFrame:
-    return offsets.start_offsets(_first_hours(spark, sf), "0-63")
+    return offsets.start_offsets(_some_offsets(spark, sf), f"0-{WIDE - 1}")
 
 
 def init_offsets(spark: SparkSession, sf: str) -> DataFrame:
-    return offsets.init_offsets(_first_hours(spark, sf))
+    return offsets.init_offsets(_some_offsets(spark, sf), WIDE)
 
 
 # ---- metrics ----
@@ -291,13 +332,26 @@ def latency_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.histogram(requests, F.col("latency_us"), labels, REQUEST_BOUNDS, scale=1_000_000)
 
 
+def messages_produced(spark: SparkSession, sf: str) -> DataFrame:
+    return metrics.messages_produced(created_counts(spark, sf))
+
+
+def stage_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    """Durations between 1 ms and 5 s, per endpoint and, without a path, of all."""
+    requests = views.request_log(spark, sf)
+    per_path = metrics.histogram(requests, F.col("latency_us"), ["path"], STAGE_BOUNDS, scale=1_000_000)
+    overall = metrics.histogram(requests, F.col("latency_us"), [], STAGE_BOUNDS, scale=1_000_000)
+    return per_path.unionByName(overall.withColumn("path", F.lit(None).cast("string")))
+
+
 def latest_gauge(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.latest_gauge(views.request_log(spark, sf), ["path"], "latency_us", "event_id")
 
 
 def consumer_lag(spark: SparkSession, sf: str) -> DataFrame:
-    done = views.commits(spark, sf).filter("batch_id < 2")
-    return metrics.consumer_lag(offsets.batch_offsets(views.deliveries(spark, sf)), offsets.committed_offsets(done))
+    """Lag of 128 partitions behind the first two batches; one has committed nothing."""
+    done = _wide_commits(spark, sf).filter("batch_id < 2").groupBy("partition_id").agg(F.max("last_offset").alias("last_offset"))
+    return metrics.consumer_lag(offsets.batch_offsets(views.deliveries(spark, sf, WIDE)), done)
 
 
 def load_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -311,8 +365,8 @@ def load_report(spark: SparkSession, sf: str) -> DataFrame:
 def union_partitions(spark: SparkSession, sf: str) -> DataFrame:
     """One folder per log partition, read back as one table."""
     path = work_dir(spark, "partitions")
-    rows = views.as_uuids(views.deliveries(spark, sf)).select(*POSTING, "partition_id")
-    rows.write.partitionBy("partition_id").parquet(path)
+    rows = views.as_uuids(views.deliveries(spark, sf, WIDE)).select(*POSTING, "partition_id")
+    unions.write_partition_tables(rows, path)
     schema = posting_schema().add("partition_id", "integer")
     return views.plain(unions.read_partition_tables(spark, path, schema))
 
@@ -348,7 +402,7 @@ def shard_of(spark: SparkSession, sf: str) -> DataFrame:
 def _seeded_book(spark: SparkSession, sf: str, name: str) -> tables.Book:
     book = tables.Book(work_dir(spark, name))
     tables.init_tables(spark, book)
-    tables.seed_book(spark, book, views.uuid_accounts(spark, sf))
+    seed_book(spark, book, views.uuid_accounts(spark, sf))
     return book
 
 
@@ -375,23 +429,22 @@ def stream_fold(spark: SparkSession, sf: str) -> DataFrame:
 
 def stepwise_fold(spark: SparkSession, sf: str) -> DataFrame:
     """Append and fold in turn, batch by batch, over numeric keys."""
-    book = tables.Book(work_dir(spark, "stepwise_fold"), key="bigint", buckets=16)
+    book = tables.Book(work_dir(spark, "stepwise_fold"), key="bigint", buckets=16, apply_every=3)
     tables.init_tables(spark, book)
-    tables.seed_book(spark, book, views.accounts(spark, sf))
-    rows = views.deliveries(spark, sf)
+    seed_book(spark, book, views.accounts(spark, sf))
+    rows = views.deliveries(spark, sf).persist()
     for batch in range(4):
-        part = rows.filter(F.col("batch_id") == batch).drop("batch_id")
-        append_postings(spark, book, part, (0, batch))
-        commit_batch(book, offsets.batch_offsets(part), (0, batch))
+        _append(spark, book, rows, batch)
         fold_once(spark, book)
+    rows.unpersist()
     return tables.read_accounts(spark, book).select("id", "balance")
 
 
 def dedupe_bounded(spark: SparkSession, sf: str) -> DataFrame:
-    """Built-in duplicate rejection over the stream; which copy survives is open, ids are not."""
+    """Built-in duplicate rejection with a memory far shorter than the data; which copy survives is open, ids are not."""
     records = log.read_log_files(spark, _write_log(spark, sf), files_per_trigger=FILES_PER_TRIGGER)
     rows = log.good_postings(log.decode_log(records))
-    few = drop_recent_duplicates(rows, "60 days")
+    few = drop_recent_duplicates(rows, "3 days")
     out = work_dir(spark, "dedupe_bounded")
     query = few.writeStream.format("parquet").option("path", f"{out}/rows")
     query = query.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start()
@@ -426,18 +479,23 @@ QUERIES: dict[str, Query] = {
         quarantine,
         account_lookup,
         transaction_lookup,
+        account_by_id,
+        transaction_by_id,
         account_txn_count,
         uuid_validate,
         uuid_roundtrip,
         shard_of,
         pg_epoch,
         seed_accounts,
+        open_accounts,
         account_ids_csv,
         union_partitions,
         union_shards,
         request_counts,
         rows_staged,
+        messages_produced,
         latency_histogram,
+        stage_histogram,
         latest_gauge,
         consumer_lag,
         load_report,

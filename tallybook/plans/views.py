@@ -68,7 +68,7 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+def deliveries(spark: SparkSession, sf_dir: str, partitions: int = PARTITIONS) -> DataFrame:
     """The whole log: originals and redeliveries, with partition, offset and ingest batch."""
     again = F.array(
         F.lit(0),
@@ -82,7 +82,7 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         "account_id",
         (F.col("amount") + (F.col("copy") == 2).cast("int")).alias("amount"),
         "created_at",
-        (F.col("account_id") % PARTITIONS).cast("int").alias("partition_id"),
+        (F.col("account_id") % partitions).cast("int").alias("partition_id"),
         (F.col("copy") * F.lit(COPY_STEP) + F.col("id")).alias("log_offset"),
         (F.col("copy") + F.when((F.col("copy") > 0) | late, 1).otherwise(0)).cast("bigint").alias("batch_id"),
     )
@@ -99,9 +99,9 @@ def uuid_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accounts(spark, sf_dir).withColumn("id", uuid_for("a", F.col("id")))
 
 
-def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def commits(spark: SparkSession, sf_dir: str, partitions: int = PARTITIONS) -> DataFrame:
     """Per-batch summary of the log; batch n is committed n days after the first."""
-    grouped = deliveries(spark, sf_dir).groupBy("partition_id", "batch_id").agg(
+    grouped = deliveries(spark, sf_dir, partitions).groupBy("partition_id", "batch_id").agg(
         F.max("log_offset").alias("last_offset"), F.count("*").alias("rows_delivered")
     )
     at = F.timestamp_micros(

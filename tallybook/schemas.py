@@ -11,7 +11,8 @@ OPENING_BALANCE = 1000
 MAX_BODY_BYTES = 12_800_000
 MAX_BATCH_ROWS = 10_000
 MICRO_BATCH_ROWS = 50_000
-FOLD_SECONDS = 2
+FOLD_SECONDS = 60
+INGEST_SECONDS = 60
 TOPIC = "transactions"
 Y2K_MICROS = 946_684_800_000_000
 EARLIEST = -2  # Spark's own code for "earliest" in a startingOffsets document
@@ -76,18 +77,34 @@ COMMITS = T.StructType(
     ]
 )
 
-# One row per account bucket of a published snapshot; data_version names the
-# snapshot folder that holds the bucket.
+# One row per account bucket of a published version: data_version names the folder
+# that holds the bucket, low and high are the least and greatest balance in it, base is
+# the last version whose changes the buckets contain, and run_id and batch_id name the
+# last batch in the version.
 MARKS = T.StructType(
     [
         T.StructField("bucket", T.IntegerType(), False),
         T.StructField("data_version", T.LongType(), False),
+        T.StructField("low", T.LongType(), False),
+        T.StructField("high", T.LongType(), False),
+        T.StructField("base", T.LongType(), False),
         T.StructField("run_id", T.LongType(), False),
         T.StructField("batch_id", T.LongType(), False),
         T.StructField("version", T.LongType(), False),
     ]
 )
 
+# Net changes of one fold that are not in the buckets yet.
+def changes_schema(key: str = "string") -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("account_id", _key_type(key), False),
+            T.StructField("net_change", T.LongType(), False),
+            T.StructField("version", T.LongType(), False),
+        ]
+    )
+
+
 RUNS = T.StructType(
     [
         T.StructField("checkpoint", T.StringType(), False),
@@ -95,14 +112,6 @@ RUNS = T.StructType(
     ]
 )
 
-OFFSETS = T.StructType(
-    [
-        T.StructField("partition_id", T.IntegerType(), False),
-        T.StructField("last_offset", T.LongType(), False),
-        T.StructField("updated_at", T.TimestampType(), True),
-    ]
-)
-
 LOG_RECORD = T.StructType(
     [
         T.StructField("key", T.BinaryType(), True),
@@ -134,13 +143,3 @@ PROTO_BATCH = T.StructType(
         T.StructField("body", T.BinaryType(), True),
     ]
 )
-
-REQUEST_LOG = T.StructType(
-    [
-        T.StructField("ts", T.TimestampType(), False),
-        T.StructField("path", T.StringType(), False),
-        T.StructField("method", T.StringType(), False),
-        T.StructField("status", T.IntegerType(), False),
-        T.StructField("latency_us", T.LongType(), False),
-    ]
-)

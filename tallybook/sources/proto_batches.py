@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,106 +37,6 @@ def split_proto_batches(df: DataFrame, body: str = "body", max_bytes: int = MAX_
     return df.withColumn("frames", F.when(F.col("_whole"), frames)).drop("_frames", "_whole")
 
 
-def _varint(data: bytes, at: int) -> tuple[int, int]:
-    value = shift = 0
-    while True:
-        byte = data[at]
-        at += 1
-        value |= (byte & 0x7F) << shift
-        if byte < 0x80:
-            return value & (2**64 - 1), at
-        shift += 7
-        if shift >= 70:
-            raise ValueError("varint too long")
-
-
-def _fields(data: bytes) -> Iterator[tuple[int, int, object]]:
-    """Field number, wire type and value of each field; raises on a broken message."""
-    at = 0
-    while at < len(data):
-        tag, at = _varint(data, at)
-        number, kind = tag >> 3, tag & 7
-        if number == 0:
-            raise ValueError("field number 0")
-        if kind == 0:
-            value, at = _varint(data, at)
-        elif kind in (1, 2, 5):
-            size = {1: 8, 5: 4}.get(kind)
-            if size is None:
-                size, at = _varint(data, at)
-            if at + size > len(data):
-                raise ValueError("cut short")
-            value, at = data[at : at + size], at + size
-        else:
-            raise ValueError("unsupported wire type")
-        yield number, kind, value
-
-
-# Wire type each known field must have: ids are length-delimited, the amount is a varint.
-_KINDS = {1: 2, 2: 2, 3: 0}
-
-
-def _usual_layout(message: bytes) -> bytes:
-    """The same posting with fields in order, default amount left out, unknown fields dropped."""
-    seen = {1: b"", 2: b"", 3: 0}
-    for number, kind, value in _fields(message):
-        if number in _KINDS:
-            if kind != _KINDS[number]:
-                raise ValueError("wrong wire type")
-            seen[number] = value
-    out = bytearray()
-    for number in (1, 2):
-        if len(seen[number]) != 16:
-            raise ValueError("id is not 16 bytes")
-        out += bytes([number << 3 | 2, 16]) + seen[number]
-    amount = seen[3]
-    if amount:
-        out.append(3 << 3)
-        while amount >= 0x80:
-            out.append(amount & 0x7F | 0x80)
-            amount >>= 7
-        out.append(amount)
-    return bytes(out)
-
-
-def _usual_body(body: bytes | None) -> bytes | None:
-    if body is None:
-        return None
-    out = bytearray()
-    try:
-        for number, kind, value in _fields(body):
-            if number == 1:
-                if kind != 2:
-                    return body
-                frame = _usual_layout(value)
-                out += bytes([0x0A, len(frame)]) + frame
-    except (ValueError, IndexError):
-        return body  # left as it is; the splitter rejects it
-    return bytes(out)
-
-
-def normalise_proto_batches(df: DataFrame, body: str = "body", max_bytes: int = MAX_BODY_BYTES) -> DataFrame:
-    """Rewrite bodies of any valid layout into the one split_proto_batches reads.
-
-    For clients that send unknown fields, other field orders or padded lengths. Arrow batches
-    stream through the tasks; run it only for such clients, the splitter needs no Python.
-    """
-    names = df.columns
-    at = names.index(body)
-
-    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bodies = [
-                b if b is None or len(b) > max_bytes else _usual_body(b)
-                for b in batch.column(at).to_pylist()
-            ]
-            columns = list(batch.columns)
-            columns[at] = pa.array(bodies, pa.binary())
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return df.mapInArrow(rewrite, df.schema)
-
-
 def decode_with_descriptor(df: DataFrame, descriptor_set: bytes, message: str, body: str = "body") -> DataFrame:
     """The same decode by Spark's own protobuf module, for clusters that deploy it (untested here)."""
     from pyspark.sql.protobuf.functions import from_protobuf

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallybook.operators.arrivals import first_arrivals, insert_if_absent, known_keys
 from tallybook.operators.offsets import batch_offsets
+from tallybook.schemas import INGEST_SECONDS
 from tallybook.sources.log import bad_records, decode_log, good_postings
 from tallybook.sources.tables import Batch, Book, before, is_committed, read_ledger, run_of, write_batch
 
@@ -19,8 +20,8 @@ def append_postings(
 
     horizon, an interval such as '7 days', bounds the search for known ids to ledger rows
     received at most that long before the batch's first row; without it the search is exact
-    over the whole ledger. Only earlier batches are searched, so a replayed batch does not
-    find its own rows.
+    over the whole ledger, and repeated_ids counts what a horizon has let in twice. Only earlier
+    batches are searched, so a replayed batch does not find its own rows.
     """
     ledger = read_ledger(spark, book).filter(before(batch))
     if horizon is not None:
@@ -33,7 +34,7 @@ def append_postings(
 
 def commit_batch(book: Book, offsets: DataFrame, batch: Batch) -> None:
     """Record the last offset and rows per partition. Makes the batch count."""
-    summary = offsets.withColumn("committed_at", F.current_timestamp())
+    summary = offsets.withColumn("committed_at", F.current_timestamp())  # one row per log partition
     write_batch(summary.coalesce(1), book, "commits", batch)
 
 
@@ -80,4 +81,4 @@ def start_ingest(
         ingest_batch(batch.sparkSession, book, batch, (run, batch_id), horizon)
 
     query = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return query.trigger(**(trigger or {"processingTime": "1 second"})).start()
+    return query.trigger(**(trigger or {"processingTime": f"{INGEST_SECONDS} seconds"})).start()

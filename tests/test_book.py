@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import uuid
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -12,10 +13,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from test_functions import encode
 
-from tallybook.operators import admission, balances, offsets
+from tallybook.operators import admission, balances, lookups, offsets
 from tallybook.schemas import LOG_RECORD
 from tallybook.sources import log, tables
-from tallybook.streaming import fold, ingest
+from tallybook.streaming import bounded, fold, ingest, opening
 
 START = datetime(2024, 1, 1)
 
@@ -79,7 +80,7 @@ def new_book(spark, folder, name="book", seeded=True, buckets=4):
     tables.init_tables(spark, book)
     if seeded:
         ids = spark.createDataFrame([(str(uid("a", n)), 1000) for n in range(4)], "id STRING, balance BIGINT")
-        tables.seed_book(spark, book, ids.withColumn("created_at", F.lit(START)))
+        opening.seed_book(spark, book, ids.withColumn("created_at", F.lit(START)))
     return book
 
 
@@ -166,6 +167,12 @@ def test_crash_inside_a_batch(spark, folder, monkeypatch, crash):
         patch.setattr(ingest, target, crashing(getattr(ingest, target), crash != "before ledger"))
         with pytest.raises(Crash):
             ingest.ingest_batch(spark, book, frame(spark, second), (0, 1))
+    if crash == "after ledger":
+        # What the batch wrote is there and is not to be seen.
+        assert tables.read_table(spark, book, "ledger").filter("batch_id = 1").count() > 0
+        assert tables.read_ledger(spark, book).filter("batch_id = 1").count() == 0
+        tables.register_views(spark, book)
+        assert spark.sql("SELECT * FROM ledger WHERE batch_id = 1").count() == 0
     fold.fold_once(spark, book)  # folds committed batches only
     ingest.ingest_batch(spark, book, frame(spark, second), (0, 1))
     fold.fold_once(spark, book)
@@ -180,10 +187,10 @@ def test_crash_inside_a_fold(spark, folder, monkeypatch):
     fold.fold_once(spark, book)
     before = state(spark, book)[1]
     ingest.ingest_batch(spark, book, frame(spark, rows[40:]), (0, 1))
-    # The accounts of the next version are written, its marks are not.
+    # The accounts and changes of the next version are written, its marks are not.
     moved = tables.read_accounts(spark, book).withColumn("balance", F.lit(-1).cast("bigint"))
-    moved = moved.withColumn("bucket", tables.bucket_of(F.col("id"), book.buckets))
-    moved.write.partitionBy("bucket").parquet(f"{book.path('accounts')}/version=2")
+    tables.write_accounts(book, moved.withColumn("bucket", tables.bucket_of(F.col("id"), book.buckets)), 2)
+    tables.write_changes(book, moved.select(F.col("id").alias("account_id"), F.lit(7).cast("bigint").alias("net_change")), 2)
     assert state(spark, book)[1] == before
     assert fold.fold_once(spark, book)
     assert state(spark, book) == expected(rows)
@@ -202,9 +209,10 @@ def test_only_touched_buckets_are_written(spark, folder):
     book = new_book(spark, folder, buckets=32)
     ingest.ingest_batch(spark, book, frame(spark, [record(1, 1, 5, 0)]), (0, 0))
     fold.fold_once(spark, book)
-    marks = tables.current_marks(spark, book).collect()
-    moved = [r["bucket"] for r in marks if r["data_version"] == 1]
-    assert len(moved) == 1 and len(marks) == len({r["bucket"] for r in marks}) > 1
+    assert {p.version for p in tables.published(spark, book).places.values()} == {0}
+    fold.apply_pending(spark, book)
+    places = tables.published(spark, book).places
+    assert len(places) > 1 and [p.version for p in places.values() if p.version] == [2]
     assert sorted(state(spark, book)[1].values()) == [1000, 1000, 1000, 1005]
 
 
@@ -223,6 +231,7 @@ def test_horizon_limits_the_search(spark, folder):
     ingest.ingest_batch(spark, book, frame(spark, again), (0, 1), horizon="2 hours")
     ids = sorted(r["id"] for r in tables.read_ledger(spark, book).collect())
     assert ids == sorted([str(uid("t", 1))] * 2 + [str(uid("t", 2))])
+    assert [tuple(r) for r in lookups.repeated_ids(tables.read_ledger(spark, book)).collect()] == [(str(uid("t", 1)), 2)]
 
 
 def write_parts(spark, folder, parts):
@@ -339,3 +348,88 @@ def test_views_and_reset(spark, folder):
     assert tables.read_accounts(spark, book).count() == 4
     tables.init_tables(spark, book)
     assert tables.read_accounts(spark, book).count() == 0
+
+
+def opened(spark, numbers, balance):
+    rows = [(str(uid("a", n)), balance) for n in numbers]
+    return spark.createDataFrame(rows, "id STRING, balance BIGINT").withColumn("created_at", F.lit(START))
+
+
+def test_accounts_on_a_live_book(spark, folder):
+    """Seed, fold, open, fold: no balance is lost, known accounts stay, a new one starts with what comes later."""
+    rows = make_log(random.Random(8), 120)
+    book = new_book(spark, folder, buckets=3)
+    ingest.ingest_batch(spark, book, frame(spark, rows[:60]), (0, 0))
+    fold.fold_once(spark, book)
+    with pytest.raises(ValueError, match="open_accounts"):
+        opening.seed_book(spark, book, opened(spark, [9], 5))
+    before = state(spark, book)[1]
+    opening.open_accounts(spark, book, opened(spark, [0, 1, 4, 9], 7))
+    after = state(spark, book)[1]
+    assert after == before | {str(uid("a", 4)): 7, str(uid("a", 9)): 7}
+    opening.open_accounts(spark, book, opened(spark, [0, 4], 1))
+    assert state(spark, book)[1] == after
+    ingest.ingest_batch(spark, book, frame(spark, rows[60:]), (0, 1))
+    fold.fold_once(spark, book)
+    ledger, balance = state(spark, book)
+    want_ledger, want = expected(rows)
+    assert ledger == want_ledger
+    late = [v for k, v in want_ledger.items() if k not in expected(rows[:60])[0] and v[0] == str(uid("a", 4))]
+    assert balance == want | {str(uid("a", 4)): 7 + sum(a for _, a in late), str(uid("a", 9)): 7}
+
+
+def test_opening_an_unseeded_book(spark, folder):
+    book = new_book(spark, folder, seeded=False)
+    opening.open_accounts(spark, book, opened(spark, [1, 2], 3).unionByName(opened(spark, [2], 9)))
+    assert state(spark, book)[1] == {str(uid("a", 1)): 3, str(uid("a", 2)): 3}
+
+
+def test_folds_cost_the_same_in_the_long_run(spark, folder, monkeypatch):
+    """Neither the files a fold reads nor those a book keeps grow with the number of folds."""
+    book = tables.Book(f"{folder}/book", buckets=4, apply_every=4)
+    tables.init_tables(spark, book)
+    opening.seed_book(spark, book, opened(spark, range(8), 100))
+    files, reads = {}, {}
+    real = tables.read_batches
+
+    def counted(*args):
+        rows = real(*args)
+        reads[args[3][-1][1]] = len(rows.inputFiles())
+        return rows
+
+    monkeypatch.setattr(fold, "read_batches", counted)
+    for n in range(24):
+        part = frame(spark, [record(n, n % 8, 1, n)]).coalesce(1)
+        ingest.ingest_batch(spark, book, part, (0, n))
+        assert fold.fold_once(spark, book)
+        held = [Path(book.path(t)).rglob("*.parquet") for t in ("accounts", "changes", "marks")]
+        files[n] = sum(1 for x in held for _ in x)
+    assert state(spark, book)[1] == {str(uid("a", n)): 103 for n in range(8)}
+    assert max(reads.values()) == reads[0]
+    assert max(files[n] for n in range(16, 24)) <= max(files[n] for n in range(8, 16))
+
+
+def test_bounded_memory_drops_no_late_posting(spark, folder):
+    """Days 0, 40, 41 and 42, then a new id of day 1 and a copy: with 7 days of memory every id comes out once."""
+    days = [(1, 0), (2, 40), (3, 41), (4, 42), (5, 1), (1, 0), (6, 43)]
+    for k, (n, day) in enumerate(days):
+        row = spark.createDataFrame([(n, START + timedelta(days=day), 0, k)], "id INT, created_at TIMESTAMP, partition_id INT, log_offset INT")
+        row.coalesce(1).write.parquet(f"{folder}/in/part={k}")
+    schema = "id INT, created_at TIMESTAMP, partition_id INT, log_offset INT"
+    rows = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    few = bounded.drop_recent_duplicates(rows, "7 days")
+    query = few.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/c")
+    query.trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r["id"] for r in spark.read.schema(schema).parquet(f"{folder}/out").collect()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_ledger_files_serve_lookups(spark, folder):
+    book = new_book(spark, folder)
+    ingest.ingest_batch(spark, book, frame(spark, make_log(random.Random(9), 60)), (0, 0))
+    assert tables.BLOOM == {"parquet.bloom.filter.enabled#id": "true"}
+    for file in Path(book.path("ledger")).rglob("*.parquet"):
+        ids = [r["id"] for r in spark.read.parquet(str(file)).select("id").collect()]
+        assert ids == sorted(ids)
+    one = next(iter(expected(make_log(random.Random(9), 60))[0]))
+    plan = lookups.posting_by_id(tables.read_ledger(spark, book), one)._jdf.queryExecution().executedPlan().toString()
+    assert f"EqualTo(id,{one})" in plan

@@ -10,7 +10,7 @@ from tallybook.plans import registry, views
 from tallybook.sources import log, tables
 
 SF = "/root/testdata/sf0.001"
-STAGED = {"ledger_append", "log_source", "stream_ingest", "stream_fold", "stepwise_fold", "dedupe_bounded"}
+STAGED = {"ledger_append", "log_source", "stream_ingest", "stream_fold", "stepwise_fold", "dedupe_bounded", "open_accounts"}
 
 
 def plan_of(df) -> str:
@@ -31,8 +31,7 @@ def test_no_pairing_of_everything(spark, shuffled, name):
     plan = plan_of(registry.QUERIES[name](spark, SF))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "MapInPandas", "FlatMapGroups"):
         assert word not in plan
-    if name != "load_report":  # its broadcasts hold two rows per percentile
-        assert "BroadcastExchange" not in plan
+    assert "BroadcastExchange" not in plan
 
 
 def test_net_changes_are_summed_before_the_shuffle(spark):
@@ -92,3 +91,22 @@ def test_hot_account_and_hot_id(spark):
     assert once.filter("id = 0").count() == 1
     net = {r["account_id"]: r["net_change"] for r in balances.net_changes(rows).filter("account_id = 7").collect()}
     assert net == {7: 10_000}
+
+
+def test_ledger_ids_are_reduced_before_a_shuffle(spark, folder, shuffled):
+    """Above the broadcast threshold, with random ids: only ids that pass a filter of fixed size are shuffled."""
+    views.as_uuids(views.postings(spark, SF)).select("id").write.parquet(folder)
+    ledger = spark.read.parquet(folder)
+    batch = views.as_uuids(views.transactions(spark, SF))
+    fresh = arrivals.insert_if_absent(arrivals.first_arrivals(batch, order=("created_at",)), arrivals.known_keys(ledger, batch))
+    plan = plan_of(fresh)
+    ledger_side = plan[plan.index("LeftAnti") :].split("Exchange hashpartitioning(id")[-1]
+    assert "_bits" in ledger_side.split("FileScan")[0] and "BroadcastHashJoin" in ledger_side.split("FileScan")[0]
+    known = {r["id"] for r in ledger.join(batch.select("id"), "id", "left_semi").collect()}
+    passed = [r["id"] for r in arrivals.known_keys(ledger, batch).collect()]
+    assert known <= set(passed) and len(passed) <= len(known) + ledger.count() // 50
+
+
+@pytest.mark.parametrize(("name", "column"), [("account_by_id", "c_custkey"), ("transaction_by_id", "o_orderkey")])
+def test_point_lookups_reach_the_scan(spark, name, column):
+    assert f"EqualTo({column},{registry.ASKED})" in plan_of(registry.QUERIES[name](spark, SF))
