@@ -12,9 +12,10 @@ a table of hashed counts of fixed size; any common order gives the same result.
 
 Pairs. In each list every class is first paired with one pivot, the class with the most postings in common with
 others. What is retained is confirmed by the exact similarity of the full sets, and linked classes become components.
-Then every list that still holds classes of several components is joined with itself, between components only: groups
-of thousands of copies are one component by then, so their pairs are not written out, and no link between components is
-lost.
+Then the lists that still hold classes of several components, those with one pivot taken together, are compared class
+by class, between components only, in pairs of blocks of a bounded number of classes: signatures first, and the full sets
+of what is left. Of what is found only links that join components are written, so neither copies nor half-similar
+versions by the thousand give a row per pair, and no link between components is lost.
 
 Defined results: null and empty texts, and texts without words, have an empty set and are linked with nothing; with
 fewer than 5 words the whole sequence is the one shingle; null and repeated ids take part like others (a null id never
@@ -233,17 +234,122 @@ def links(docs: DataFrame, classes: DataFrame, how: Signature = Signature()) ->
 
     first = stored(confirmed(retained(_pairs(star, "cid", "pivot"), members, how), members, how), "links")
     roots = components(first)
-    placed = met.join(roots, F.col("cid") == F.col("node"), "left").select(
-        "posting", "cid", F.coalesce("root", "cid").alias("root")
+    rooted = star.select("pivot", "cid").distinct().join(roots, F.col("cid") == F.col("node"), "left")
+    groups = rooted.select("pivot", "cid", F.coalesce("root", "cid").alias("root"))
+    return first.unionByName(_across(groups, members, how))
+
+
+#: Classes of a group are compared in blocks of about so many.
+BLOCK_CLASSES = 256
+
+
+def _blocked(groups: DataFrame) -> DataFrame:
+    """groups (pivot, cid, root) -> pivot, i, j, own, cid, root: any two classes of a group meet in one (i, j).
+
+    Groups of one component, or of one class beside its pivot, have nothing to compare.
+    """
+    several = F.col("low") < F.col("high")
+    sizes = groups.groupBy("pivot").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    open_ = groups.join(sizes.filter(several), "pivot").withColumn("blocks", F.ceil(F.col("n") / BLOCK_CLASSES))
+    placed = open_.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    return placed.select(
+        "pivot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "root"
     )
-    several = placed.groupBy("posting").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    open_ = stored(placed.join(several.select("posting"), "posting"), "open-lists")
-    other = open_.select("posting", F.col("cid").alias("cid_2"), F.col("root").alias("root_2"))
-    across = open_.join(other, "posting").filter(F.col("root") < F.col("root_2"))
-    tried = _pairs(star, "cid", "pivot")
-    rest = _pairs(across, "cid", "cid_2").join(tried, ["a", "b"], "left_anti")
-    second = stored(confirmed(retained(rest, members, how), members, how), "links")
-    return first.unionByName(second)
+
+
+def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each (pivot, i, j), from batches in that order."""
+    held: list[pa.RecordBatch] = []
+
+    def parts(table: pa.Table, last: bool) -> Iterator[pa.Table]:
+        keys = np.stack([table.column(c).to_numpy() for c in ("pivot", "i", "j")], 1)
+        starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(1)])
+        ends = np.r_[starts[1:], len(keys)]
+        for a, b in zip(starts, ends, strict=True):
+            if b == len(keys) and not last:
+                held.extend(table.slice(a).to_batches())
+            else:
+                yield table.slice(a, b - a)
+
+    for batch in batches:
+        if batch.num_rows:
+            table = pa.Table.from_batches([*held, batch])
+            held.clear()
+            yield from parts(table, False)
+    if held:
+        table = pa.Table.from_batches(held)
+        held.clear()
+        yield from parts(table, True)
+
+
+def _open_pairs(table: pa.Table, how: Signature) -> Iterator[tuple[int, np.ndarray]]:
+    """Row a and the rows b after it that are of another component and agree with it often enough."""
+    signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), "<u4").reshape(-1, how.coordinates)
+    sizes, roots, own = (table.column(c).to_numpy() for c in ("n_shingles", "root", "own"))
+    first, second = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    left = np.flatnonzero(own == first)
+    right = np.flatnonzero(own == second)
+    for k, a in enumerate(left):
+        b = left[k + 1 :] if first == second else right
+        small, large = np.minimum(sizes[b], sizes[a]), np.maximum(sizes[b], sizes[a])
+        b = b[(roots[b] != roots[a]) & (100 * small >= how.percent * large)]
+        if len(b):
+            b = b[(signatures[b] == signatures[a]).sum(1) >= how.agreements]
+        if len(b):
+            yield int(a), b
+
+
+def _compared(blocked: DataFrame, members: DataFrame, *columns: str) -> DataFrame:
+    """The rows of blocks with what is compared, each (pivot, i, j) in one task and in order."""
+    rows = blocked.join(members.select("cid", "n_shingles", "signature", *columns), "cid")
+    keys = ["pivot", "i", "j"]
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "cid")
+
+
+def _across(groups: DataFrame, members: DataFrame, how: Signature) -> DataFrame:
+    """Links (a, b) between components of one group, enough to join all that are linked."""
+    alive = T.StructType([T.StructField("pivot", T.LongType()), T.StructField("cid", T.LongType())])
+    link = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivots, cids = [], []
+        for table in _block_pairs(batches):
+            found = {r for a, b in _open_pairs(table, how) for r in (a, *b.tolist())}
+            if found:
+                pivots += [table.column("pivot")[0].as_py()] * len(found)
+                cids += [table.column("cid")[r].as_py() for r in found]
+        yield pa.RecordBatch.from_arrays([pa.array(pivots, pa.int64()), pa.array(cids, pa.int64())], names=alive.names)
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        links: list[tuple[int, int]] = []
+        for table in _block_pairs(batches):
+            cids, roots = table.column("cid").to_numpy(), table.column("root").to_pylist()
+            texts = [x.lower() for x in as_bytes(table.column("text").combine_chunks())]
+            sets = [shingles(w, how.shingle_words) for w in words_of(texts)]
+            joined = {r: r for r in roots}
+
+            def find(r: int, joined: dict[int, int] = joined) -> int:
+                while joined[r] != r:
+                    r = joined[r]
+                return r
+
+            for a, others in _open_pairs(table, how):
+                for b in others.tolist():
+                    one, two = find(roots[a]), find(roots[b])
+                    if one == two:
+                        continue
+                    both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                    if 100 * both >= how.percent * (len(sets[a]) + len(sets[b]) - both):
+                        joined[one] = two
+                        links.append((int(cids[a]), int(cids[b])))
+        columns = zip(*links, strict=True) if links else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=link.names)
+
+    blocked = _blocked(groups)
+    left = stored(_compared(blocked, members).mapInArrow(agree, alive).distinct(), "agreeing")
+    again = groups.join(left, ["pivot", "cid"])
+    return stored(_compared(_blocked(again), members, "text").mapInArrow(confirm, link), "links")
 
 
 def grouped(docs: DataFrame, how: Signature = Signature()) -> DataFrame:
