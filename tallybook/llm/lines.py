@@ -7,13 +7,13 @@ the input, not on what is left, so the result does not depend on any order of wo
 Equal sets are settled by grouping: all but the first line go. Sets are then posted under the words of their prefix, the
 n - ceil(t n) + 1 rarest ones: two similar sets share one of these. Rarity comes from hashed counts of all words in a
 table of fixed size; any common order gives the same result. Pairs that meet under a word pass a length filter, a
-positional filter (the words from here on have to suffice for the overlap) and a parity filter (64 bits that each word
-flips one of: sets that differ in d words differ in at most d bits). What is left is verified on the full sets.
+positional filter (the words from here on have to suffice for the overlap) and two parity filters (64 bits that each
+word flips one of: sets that differ in d words differ in at most d bits). What is left is verified on the full sets.
 
 A line needs one earlier match, not all of them. So each posting list is read in order, and a set leaves it with the
-first earlier set that passes the filters: thousands of copies of a line, all a little different, give a row each and
-not a row per pair. Sets whose first candidates all fail the verification get all their other candidates in a second
-round, so nothing is missed. A list is held by one task while it is read, with 48 bytes per distinct set; by rarity, a
+first earlier set that passes the filters with `margin` bits to spare; up to there, it takes what just passes as well.
+Thousands of copies of a line, all a little different, give a row each and not a row per pair. Sets that left a list and
+have no similar set among their candidates get all the others in a second round, so nothing is missed. A list is held by one task while it is read, with 56 bytes per distinct set; by rarity, a
 list is long only where many lines have no rarer words.
 
 Defined results: null and empty texts have no line and stay as they are; null ids count as larger than any other; rows
@@ -46,6 +46,8 @@ class Similar:
     percent: int = 80
     min_tokens: int = 5
     rarity_buckets: int = 1 << 18
+    #: Bits below the bound of the parity filters from which on a candidate is taken for similar until verified.
+    margin: int = 2
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -69,6 +71,12 @@ class _Sets:
         """For each token the place of its line."""
         return np.repeat(np.arange(len(self.line)), self.sizes)
 
+    def second_parity(self) -> np.ndarray:
+        """Other 64 bits, each token's place in which does not follow from that in the first."""
+        if not len(self.line):
+            return np.zeros(0, np.int64)
+        return np.bitwise_xor.reduceat(np.uint64(1) << (self.tokens >> np.uint64(6) & np.uint64(63)), self.starts).view(np.int64)
+
     def names(self) -> tuple[np.ndarray, np.ndarray]:
         """A hash of each set, and its parity bits."""
         if not len(self.line):
@@ -185,6 +193,7 @@ POSTINGS = T.StructType(
         T.StructField("line", T.IntegerType()),
         T.StructField("name", T.LongType()),
         T.StructField("parity", T.LongType()),
+        T.StructField("parity_2", T.LongType()),
         T.StructField("size", T.IntegerType()),
         T.StructField("at", T.IntegerType()),
     ]
@@ -202,7 +211,7 @@ def postings(docs: DataFrame, how: Similar, counts: np.ndarray) -> DataFrame:
             ords = batch.column("ord").to_numpy()
             lines, rows, numbers = _lines(batch)
             for sets in _sets(lines, how.min_tokens):
-                names, parities = sets.names()
+                (names, parities), second = sets.names(), sets.second_parity()
                 pairs = list(zip(names.tolist(), parities.tolist(), strict=True))
                 new = np.zeros(len(pairs), bool)
                 for k, pair in enumerate(pairs):
@@ -223,6 +232,7 @@ def postings(docs: DataFrame, how: Similar, counts: np.ndarray) -> DataFrame:
                     numbers[line].astype(np.int32),
                     names[of],
                     parities[of],
+                    second[of],
                     sets.sizes[of].astype(np.int32),
                     at.astype(np.int32),
                 )
@@ -232,29 +242,36 @@ def postings(docs: DataFrame, how: Similar, counts: np.ndarray) -> DataFrame:
     return _keyed(docs).sortWithinPartitions("ord", "th").select("ord", "text").mapInArrow(run, POSTINGS)
 
 
-def _passes(x: np.ndarray, y: np.ndarray, column: dict[str, np.ndarray], percent: int) -> np.ndarray:
-    """Whether the pairs of rows x, y of posting lists pass the filters."""
+def _spare(x: np.ndarray, y: np.ndarray, column: dict[str, np.ndarray], percent: int) -> np.ndarray:
+    """Bits by which pairs of rows x, y of posting lists stay below the parity bound; -1 where they fail a filter."""
     n, m = column["size"][x].astype(np.int64), column["size"][y].astype(np.int64)
     overlap = -(-percent * (n + m) // (100 + percent))
     length = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
     place = np.minimum(n - column["at"][x], m - column["at"][y]) >= overlap
-    parity = column["parity"].view(np.uint64)
-    bits = np.bitwise_count(parity[x] ^ parity[y])
-    return length & place & (bits <= n + m - 2 * overlap)
+    bits = np.zeros(len(x), np.int64)
+    for name in ("parity", "parity_2"):
+        parity = column[name].view(np.uint64)
+        bits = np.maximum(bits, np.bitwise_count(parity[x] ^ parity[y]))
+    return np.where(length & place, np.maximum(n + m - 2 * overlap - bits, -1), -1)
 
 
 PAIRS = T.StructType(
     [
         T.StructField("token", T.LongType()),
         *(T.StructField(f"{c}_{k}", T.LongType()) for k in (1, 2) for c in ("name", "parity")),
+        # The first set left the list with this candidate; it may have others.
+        T.StructField("left", T.BooleanType()),
     ]
 )
 
 
-def _meetings(column: dict[str, np.ndarray], percent: int, every: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows x, y of whole posting lists, in order: y comes before x in its list and passes the filters.
+def _meetings(
+    column: dict[str, np.ndarray], how: Similar, every: np.ndarray | None
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows x, y of whole posting lists, in order, and whether x leaves its list with y.
 
-    Without `every`, x gets its first such y. With it, the rows it marks get all of them.
+    y comes before x in its list and passes the filters. With `every`, the rows it marks get all of them and never
+    leave.
     """
     token, name, parity = column["token"], column["name"], column["parity"]
     starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
@@ -265,12 +282,14 @@ def _meetings(column: dict[str, np.ndarray], percent: int, every: np.ndarray | N
     while len(left):
         pivot = left - place[left] + k
         same = (name[left] == name[pivot]) & (parity[left] == parity[pivot])
-        hit = _passes(left, pivot, column, percent) & ~same
+        spare = _spare(left, pivot, column, how.percent)
+        hit = (spare >= 0) & ~same
+        done = hit & (spare >= how.margin) if every is None else np.zeros(len(left), bool)
         if hit.any():
-            yield left[hit], pivot[hit]
+            yield left[hit], pivot[hit], done[hit]
         # The same set again has nothing to add; sets before it were met by its first row.
         open_ = ~same & (place[left] > k + 1)
-        left = left[open_ & ~hit] if every is None else left[open_]
+        left = left[open_ & ~done]
         k += 1
 
 
@@ -310,8 +329,8 @@ def _met(lists: DataFrame, how: Similar, marked: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for column in _whole_lists(batches):
             every = column["wanted"].astype(bool) if marked else None
-            for x, y in _meetings(column, how.percent, every):
-                values = [column["token"][x], *(column[c][r] for r in (x, y) for c in ("name", "parity"))]
+            for x, y, left in _meetings(column, how, every):
+                values = [column["token"][x], *(column[c][r] for r in (x, y) for c in ("name", "parity")), left]
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], names=PAIRS.names)
 
     ordered = lists.repartition("token").sortWithinPartitions("token", "ord", "line", "name", "parity")
@@ -319,7 +338,7 @@ def _met(lists: DataFrame, how: Similar, marked: bool) -> DataFrame:
 
 
 def candidates(posted: DataFrame, how: Similar) -> DataFrame:
-    """For each token and set its first candidate: token, name_1, parity_1, name_2, parity_2."""
+    """For each token and set its candidates up to the first likely one: PAIRS."""
     return _met(posted, how, marked=False)
 
 
@@ -386,7 +405,7 @@ def _similar(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, how: Similar)
     """The first sets of the pairs that are similar."""
     members = firsts.join(_ends(pairs, 1, 2), SET).select("first.*")
     sets = stored(_texts_of(docs, members), "line-tokens")
-    return stored(_ends(verified(pairs.drop("token").distinct(), sets, how), 1), "similar-lines")
+    return stored(_ends(verified(pairs.drop("token", "left").distinct(), sets, how), 1), "similar-lines")
 
 
 def similar_sets(docs: DataFrame, firsts: DataFrame, how: Similar) -> DataFrame:
@@ -394,13 +413,13 @@ def similar_sets(docs: DataFrame, firsts: DataFrame, how: Similar) -> DataFrame:
     counts = rarity(docs, how)
     met = stored(candidates(postings(docs, how, counts), how), "line-pairs")
     found = _similar(met, docs, firsts, how)
-    # What the first candidates did not settle gets all the others.
-    open_ = met.select("token", F.col("name_1").alias("name"), F.col("parity_1").alias("parity")).join(found, SET, "left_anti")
-    open_ = stored(open_, "open-lines")
+    # Sets that left a list and were not settled get what else is there.
+    gone = met.filter("left").select("token", F.col("name_1").alias("name"), F.col("parity_1").alias("parity"))
+    open_ = stored(gone.join(found, SET, "left_anti"), "open-lines")
     if open_.isEmpty():
         return found
     more = other_candidates(postings(docs, how, counts), open_, how)
-    more = stored(more.distinct().join(met, PAIRS.names, "left_anti"), "line-pairs")
+    more = stored(more.distinct().join(met, PAIRS.names[:-1], "left_anti"), "line-pairs")
     return found.unionByName(_similar(more, docs, firsts, how)).distinct()
 
 

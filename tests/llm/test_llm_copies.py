@@ -84,13 +84,15 @@ def test_lines_of_awkward_rows(spark):
 
 def test_a_second_round_finds_what_the_first_candidate_hides(spark):
     """The first candidate agrees in all filters and is not similar; a later one is."""
-    bit = lambda w: int(lines._tokens(hashes.words(w.encode()))[0] & np.uint64(63))
+    bits = lambda w: int(lines._tokens(hashes.words(w.encode()))[0] & np.uint64(4095))
     pool = [f"k{n}" for n in range(600)]
     rare, base = ["rare1"], pool[:9]
-    twins = [next(w for w in pool[9:] if bit(w) == bit(b)) for b in base[:3]]
-    last = next(w for w in pool[9:] if w not in twins)
+    # Words that flip the same bits as three words of the line.
+    twins = [next(w for w in (f"t{n}" for n in range(200_000)) if bits(w) == bits(b)) for b in base[:3]]
+    last = pool[20]
     false, true, late = rare + twins + base[3:], rare + base[:8] + [last], rare + base
-    filler = [(10 + k, " ".join(pool[k : k + 4])) for k in range(590)] * 3
+    known = pool + twins * 4
+    filler = [(10 + k, " ".join(known[k : k + 4])) for k in range(len(known) - 4)] * 3
     rows = [(0, " ".join(false)), (1, " ".join(true)), (2, " ".join(late)), *filler]
     gone = removed_lines(rows[:3])
     assert gone == {0: set(), 1: set(), 2: {0}}
