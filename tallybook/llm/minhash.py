@@ -229,8 +229,9 @@ def links(docs: DataFrame, classes: DataFrame, how: Signature = Signature()) ->
     # Only classes that share a posting go on, each with its signature and the text of one document.
     wanted = classes.join(weight.select("cid"), "cid").select("sample.ord", "sample.th", "cid", "n_shingles", "signature")
     sources = docs.select(ord_.alias("ord"), F.xxhash64(text).alias("th"), text.alias("text"))
-    # Equal rows give equal texts: one of them is enough.
-    members = stored(sources.join(wanted, ["ord", "th"]).drop("ord", "th").dropDuplicates(["cid"]), "members")
+    # Equal rows give equal texts: one of them is enough. The join has brought them together.
+    once = sources.join(wanted, ["ord", "th"]).dropDuplicates(["ord", "th"])
+    members = stored(once.drop("ord", "th"), "members")
 
     first = stored(confirmed(retained(_pairs(star, "cid", "pivot"), members, how), members, how), "links")
     roots = components(first)
