@@ -129,6 +129,10 @@ SQL: dict[str, str] = {
     "ledger_append": f"""WITH {DELIVERIES}, firsts AS (SELECT *, row_number() OVER (PARTITION BY id
         ORDER BY batch_id, partition_id, log_offset) AS rn FROM deliveries)
         SELECT {_PLACED} FROM firsts WHERE rn = 1""",
+    "clear_table": "SELECT 'ledger' AS \"table\", 0::BIGINT AS n UNION ALL SELECT 'accounts', count(*) FROM customer",
+    "external_tables": f"""WITH {DELIVERIES} SELECT id, account_id, amount, 0::BIGINT AS run_id, 0::BIGINT AS batch_id
+        FROM deliveries WHERE batch_id = 0""",
+    "receipt_time": f"WITH {DELIVERIES} SELECT id, TRUE AS received_after FROM deliveries WHERE batch_id = 0",
     "history_archive": f"""WITH {DELIVERIES}, {FIRSTS} SELECT {_POSTING} FROM firsts f
         WHERE NOT EXISTS (SELECT 1 FROM deliveries d WHERE d.batch_id = 0 AND d.id = f.id)""",
     "orphan_transactions": f"""WITH {ACCOUNTS}, {DELIVERIES}, {FIRSTS}

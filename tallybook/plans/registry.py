@@ -6,6 +6,7 @@ session's shared checkpoint folder.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -115,6 +116,43 @@ def _append(spark: SparkSession, book: tables.Book, rows: DataFrame, batch: int)
     commit_batch(book, offsets.batch_offsets(part), (0, batch))
 
 
+def _small_book(spark: SparkSession, sf: str, name: str) -> tables.Book:
+    """A seeded book with the first batch of the log, which holds no id twice."""
+    book = tables.Book(work_dir(spark, name), key="bigint", buckets=16)
+    tables.init_tables(spark, book)
+    seed_book(spark, book, views.accounts(spark, sf))
+    _append(spark, book, views.deliveries(spark, sf), 0)
+    return book
+
+
+def clear_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The ledger emptied under a book: the number of rows of the ledger, and of the accounts, which stay."""
+    book = _small_book(spark, sf, "clear_table")
+    tables.truncate_table(spark, book, "ledger")
+    left = {"ledger": tables.read_ledger(spark, book), "accounts": tables.read_accounts(spark, book)}
+    counts = [df.agg(F.lit(name).alias("table"), F.count("*").alias("n")) for name, df in left.items()]
+    return unions.union_tables(counts)
+
+
+def external_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Catalog tables over a book's folders, created, queried with SQL and dropped; the folders stay."""
+    book = _small_book(spark, sf, "external_tables")
+    database = f"book_{uuid.uuid4().hex}"
+    tables.create_external_tables(spark, book, database)
+    rows = spark.sql(f"SELECT id, account_id, amount, run_id, batch_id FROM {database}.ledger")
+    out = work_dir(spark, "external_rows")
+    rows.write.parquet(out)  # the tables are read while they exist
+    tables.drop_external_tables(spark, database)
+    spark.sql(f"DROP DATABASE {database}")
+    return spark.read.schema(rows.schema).parquet(out)
+
+
+def receipt_time(spark: SparkSession, sf: str) -> DataFrame:
+    """Every stored posting has the time of its commit, which is not before the one it carries."""
+    ledger = tables.read_ledger(spark, _small_book(spark, sf, "receipt_time"))
+    return ledger.select("id", (F.col("committed_at") >= F.col("created_at")).alias("received_after"))
+
+
 def history_archive(spark: SparkSession, sf: str) -> DataFrame:
     rows = views.deliveries(spark, sf)
     return _postings(arrivals.archive(rows, rows.filter("batch_id = 0")))
@@ -460,6 +498,9 @@ QUERIES: dict[str, Query] = {
         dedupe_first,
         ledger_merge,
         ledger_append,
+        clear_table,
+        external_tables,
+        receipt_time,
         history_archive,
         orphan_transactions,
         batch_offsets,
