@@ -27,6 +27,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct values in order; a plain sort is several times faster here than numpy's own function."""
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
 _BASES: dict[int, tuple[np.ndarray, int, int]] = {}
 _POWERS: dict[int, np.ndarray] = {}
 

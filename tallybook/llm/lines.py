@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.llm.common import as_bytes, checked_small, joined_small, stored, text_or_empty, with_results
-from tallybook.llm.hashes import flat_words, mix
+from tallybook.llm.hashes import distinct, flat_words, mix
 
 LAST = (1 << 63) - 1
 #: Tables of up to so many rows (of about 100 bytes) are sent to every task; beyond it the join shuffles.
@@ -94,7 +94,7 @@ _TOKEN = np.uint64((1 << TOKEN_BITS) - 1)
 def _tokens_of(of: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct (line, token) pairs in order."""
     if not len(of) or of[-1] < 1 << (64 - TOKEN_BITS):
-        packed = np.unique(of.astype(np.uint64) << np.uint64(TOKEN_BITS) | tokens)
+        packed = distinct(of.astype(np.uint64) << np.uint64(TOKEN_BITS) | tokens)
         return (packed >> np.uint64(TOKEN_BITS)).astype(np.int64), packed & _TOKEN
     order = np.lexsort((tokens, of))
     of, tokens = of[order], tokens[order]

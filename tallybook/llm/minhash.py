@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from tallybook.llm.common import as_bytes, stored, text_or_empty, with_results
 from tallybook.llm.components import components
-from tallybook.llm.hashes import mix, runs, words_of
+from tallybook.llm.hashes import distinct, mix, runs, words_of
 
 LAST = (1 << 63) - 1
 
@@ -60,7 +60,7 @@ def shingles(words: np.ndarray, length: int, seed: int = 4) -> np.ndarray:
     """The sorted hashes of the distinct shingles; a short sequence is one shingle."""
     if not len(words):
         return np.zeros(0, np.uint64)
-    return np.unique(runs(words, min(length, len(words)), seed))
+    return distinct(runs(words, min(length, len(words)), seed))
 
 
 def signature(hashes: np.ndarray, how: Signature) -> np.ndarray:
