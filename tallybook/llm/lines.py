@@ -7,8 +7,8 @@ the input, not on what is left, so the result does not depend on any order of wo
 Equal sets are settled by grouping: all but the first line go. Sets are then posted under the words of their prefix, the
 n - ceil(t n) + 1 rarest ones: two similar sets share one of these. Rarity comes from hashed counts of all words in a
 table of fixed size; any common order gives the same result. Pairs that meet under a word pass a length filter, a
-positional filter (the words from here on have to suffice for the overlap) and two parity filters (64 bits that each
-word flips one of: sets that differ in d words differ in at most d bits). What is left is verified on the full sets.
+positional filter (the words from here on have to suffice for the overlap) and a parity filter (128 bits that each word
+flips one of: sets that differ in d words differ in at most d bits). What is left is verified on the full sets.
 
 A line needs one earlier match, not all of them. So each posting list is read in order, and a set leaves it with the
 first earlier set that passes the filters with `margin` bits to spare; up to there, it takes what just passes as well.
@@ -46,7 +46,7 @@ class Similar:
     percent: int = 80
     min_tokens: int = 5
     rarity_buckets: int = 1 << 18
-    #: Bits below the bound of the parity filters from which on a candidate is taken for similar until verified.
+    #: Bits below the bound of the parity filter from which on a candidate is taken for similar until verified.
     margin: int = 2
 
 
@@ -71,19 +71,20 @@ class _Sets:
         """For each token the place of its line."""
         return np.repeat(np.arange(len(self.line)), self.sizes)
 
-    def second_parity(self) -> np.ndarray:
-        """Other 64 bits, each token's place in which does not follow from that in the first."""
+    def parity(self, half: int) -> np.ndarray:
+        """64 of the 128 bits, each of which tells whether the set has an odd number of the tokens that flip it."""
         if not len(self.line):
             return np.zeros(0, np.int64)
-        return np.bitwise_xor.reduceat(np.uint64(1) << (self.tokens >> np.uint64(6) & np.uint64(63)), self.starts).view(np.int64)
+        mine = (self.tokens >> np.uint64(6) & np.uint64(1)) == half
+        bits = np.where(mine, np.uint64(1) << (self.tokens & np.uint64(63)), np.uint64(0))
+        return np.bitwise_xor.reduceat(bits, self.starts).view(np.int64)
 
     def names(self) -> tuple[np.ndarray, np.ndarray]:
-        """A hash of each set, and its parity bits."""
+        """A hash of each set, and the first half of its parity bits."""
         if not len(self.line):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         sums = np.add.reduceat(mix(self.tokens + np.uint64(77)), self.starts)
-        bits = np.bitwise_xor.reduceat(np.uint64(1) << (self.tokens & np.uint64(63)), self.starts)
-        return mix(sums + self.sizes.astype(np.uint64)).view(np.int64), bits.view(np.int64)
+        return mix(sums + self.sizes.astype(np.uint64)).view(np.int64), self.parity(0)
 
 
 #: Bits of a token; with the number of a line in its block it fits into one number that sorts fast.
@@ -211,7 +212,7 @@ def postings(docs: DataFrame, how: Similar, counts: np.ndarray) -> DataFrame:
             ords = batch.column("ord").to_numpy()
             lines, rows, numbers = _lines(batch)
             for sets in _sets(lines, how.min_tokens):
-                (names, parities), second = sets.names(), sets.second_parity()
+                (names, parities), second = sets.names(), sets.parity(1)
                 pairs = list(zip(names.tolist(), parities.tolist(), strict=True))
                 new = np.zeros(len(pairs), bool)
                 for k, pair in enumerate(pairs):
@@ -251,7 +252,7 @@ def _spare(x: np.ndarray, y: np.ndarray, column: dict[str, np.ndarray], percent:
     bits = np.zeros(len(x), np.int64)
     for name in ("parity", "parity_2"):
         parity = column[name].view(np.uint64)
-        bits = np.maximum(bits, np.bitwise_count(parity[x] ^ parity[y]))
+        bits += np.bitwise_count(parity[x] ^ parity[y])
     return np.where(length & place, np.maximum(n + m - 2 * overlap - bits, -1), -1)
 
 
