@@ -39,6 +39,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Stored tables that go when the block ends: what is to outlast them is stored elsewhere before."""
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.append(stored(df, name))
+        return self.tables[-1]
+
+    def drop(self, table: DataFrame) -> None:
+        """Remove one table now."""
+        self.tables = [t for t in self.tables if t is not table]
+        spark = table.sparkSession
+        for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __exit__(self, *error: object) -> None:
+        for table in list(self.tables):
+            self.drop(table)
+
+
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 

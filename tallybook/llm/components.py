@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import stored
+from tallybook.llm.common import Scratch, stored
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -41,7 +41,8 @@ def components(pairs: DataFrame) -> DataFrame:
         large = _edges(_least(both).filter(F.col("b") > F.col("a")), "b", "m").distinct()
         down = _least(large)
         small = _edges(down, "b", "m").unionByName(_edges(down, "a", "m")).distinct()
-        edges = stored(small, "edges")
+        last, edges = edges, stored(small, "edges")
+        Scratch().drop(last)
         before, state = state, _state(edges)
         if state == before:
             break

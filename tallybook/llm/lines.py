@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.llm.common import as_bytes, checked_small, joined_small, stored, text_or_empty, with_results
+from tallybook.llm.common import Scratch, as_bytes, checked_small, joined_small, stored, text_or_empty, with_results
 from tallybook.llm.hashes import distinct, flat_words, mix
 
 LAST = (1 << 63) - 1
@@ -402,34 +402,39 @@ def _ends(pairs: DataFrame, *ends: int) -> DataFrame:
     return sides[0].distinct() if len(sides) == 1 else sides[0].unionByName(sides[1]).distinct()
 
 
-def _similar(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, how: Similar) -> DataFrame:
+def _similar(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, how: Similar, scratch: Scratch) -> DataFrame:
     """The first sets of the pairs that are similar."""
     members = firsts.join(_ends(pairs, 1, 2), SET).select("first.*")
-    sets = stored(_texts_of(docs, members), "line-tokens")
-    return stored(_ends(verified(pairs.drop("token", "left").distinct(), sets, how), 1), "similar-lines")
+    sets = scratch.stored(_texts_of(docs, members), "line-tokens")
+    return scratch.stored(_ends(verified(pairs.drop("token", "left").distinct(), sets, how), 1), "similar-lines")
 
 
-def similar_sets(docs: DataFrame, firsts: DataFrame, how: Similar) -> DataFrame:
+def similar_sets(docs: DataFrame, firsts: DataFrame, how: Similar, scratch: Scratch) -> DataFrame:
     """name, parity of the sets that are like a set with an earlier first line."""
     counts = rarity(docs, how)
-    met = stored(candidates(postings(docs, how, counts), how), "line-pairs")
-    found = _similar(met, docs, firsts, how)
+    met = scratch.stored(candidates(postings(docs, how, counts), how), "line-pairs")
+    found = _similar(met, docs, firsts, how, scratch)
     # Sets that left a list and were not settled get what else is there.
     gone = met.filter("left").select("token", F.col("name_1").alias("name"), F.col("parity_1").alias("parity"))
-    open_ = stored(gone.join(found, SET, "left_anti"), "open-lines")
+    open_ = scratch.stored(gone.join(found, SET, "left_anti"), "open-lines")
     if open_.isEmpty():
         return found
     more = other_candidates(postings(docs, how, counts), open_, how)
-    more = stored(more.distinct().join(met, PAIRS.names[:-1], "left_anti"), "line-pairs")
-    return found.unionByName(_similar(more, docs, firsts, how)).distinct()
+    more = scratch.stored(more.distinct().join(met, PAIRS.names[:-1], "left_anti"), "line-pairs")
+    return found.unionByName(_similar(more, docs, firsts, how, scratch)).distinct()
 
 
 def removed_lines(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
     """ord, th, lines: the numbers of the lines that go."""
+    with Scratch() as scratch:
+        return stored(_removed(docs, how, scratch), "removed-lines")
+
+
+def _removed(docs: DataFrame, how: Similar, scratch: Scratch) -> DataFrame:
     place = F.struct("ord", "line", "th")
-    lines = stored(line_sets(docs, how), "lines")
+    lines = scratch.stored(line_sets(docs, how), "lines")
     firsts = lines.groupBy(*SET).agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    similar = similar_sets(docs, firsts, how).withColumn("similar", F.lit(True))
+    similar = similar_sets(docs, firsts, how, scratch).withColumn("similar", F.lit(True))
     limits = firsts.join(similar, SET, "left").filter((F.col("n") > 1) | F.col("similar").isNotNull())
     gone = lines.join(limits, SET).filter(F.col("similar").isNotNull() | (place > F.col("first")))
     return gone.groupBy("ord", "th").agg(F.collect_set("line").alias("lines"))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.llm.common import as_bytes, stored, text_or_empty, with_results
+from tallybook.llm.common import Scratch, as_bytes, stored, text_or_empty, with_results
 from tallybook.llm.components import components
 from tallybook.llm.hashes import distinct, mix, runs, words_of
 
@@ -107,7 +107,10 @@ def signed(docs: DataFrame, how: Signature = Signature()) -> DataFrame:
 
 
 def classes_of(sets: DataFrame) -> DataFrame:
-    """One row per distinct set: cid, n_shingles, h1, h2, signature, a document to read it from, the least doc_id."""
+    """One row per distinct set: cid, n_shingles, h1, h2, signature, a document to read it from, the least doc_id.
+
+    cid numbers the rows, so the table has to be stored before it is used.
+    """
     sample = F.struct(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("ord"), "th")
     grouped = (
         sets.filter("n_shingles > 0")
@@ -119,7 +122,7 @@ def classes_of(sets: DataFrame) -> DataFrame:
             F.max("signature").alias("signature"),
         )
     )
-    return stored(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    return grouped.withColumn("cid", F.monotonically_increasing_id())
 
 
 def _posting_hashes(signatures: pa.Array, how: Signature) -> np.ndarray:
@@ -213,11 +216,11 @@ def _pairs(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
-def links(docs: DataFrame, classes: DataFrame, how: Signature = Signature()) -> DataFrame:
+def links(docs: DataFrame, classes: DataFrame, how: Signature, scratch: Scratch) -> DataFrame:
     """Confirmed links between classes (a, b), enough to connect every component of the graph of all links."""
     posted = postings(classes, how)
     lists = posted.groupBy("posting").agg(F.count("*").alias("length")).filter("length > 1")
-    met = stored(posted.join(lists, "posting"), "met")
+    met = scratch.stored(posted.join(lists, "posting"), "met")
 
     weight = met.groupBy("cid").agg(F.sum("length").alias("weight"))
     weighed = met.join(weight, "cid")
@@ -231,13 +234,13 @@ def links(docs: DataFrame, classes: DataFrame, how: Signature = Signature()) ->
     sources = docs.select(ord_.alias("ord"), F.xxhash64(text).alias("th"), text.alias("text"))
     # Equal rows give equal texts: one of them is enough. The join has brought them together.
     once = sources.join(wanted, ["ord", "th"]).dropDuplicates(["ord", "th"])
-    members = stored(once.drop("ord", "th"), "members")
+    members = scratch.stored(once.drop("ord", "th"), "members")
 
-    first = stored(confirmed(retained(_pairs(star, "cid", "pivot"), members, how), members, how), "links")
+    first = scratch.stored(confirmed(retained(_pairs(star, "cid", "pivot"), members, how), members, how), "links")
     roots = components(first)
     rooted = star.select("pivot", "cid").distinct().join(roots, F.col("cid") == F.col("node"), "left")
     groups = rooted.select("pivot", "cid", F.coalesce("root", "cid").alias("root"))
-    return first.unionByName(_across(groups, members, how))
+    return first.unionByName(_across(groups, members, how, scratch))
 
 
 #: Classes of a group are compared in blocks of about so many.
@@ -308,7 +311,7 @@ def _compared(blocked: DataFrame, members: DataFrame, *columns: str) -> DataFram
     return rows.repartition(*keys).sortWithinPartitions(*keys, "cid")
 
 
-def _across(groups: DataFrame, members: DataFrame, how: Signature) -> DataFrame:
+def _across(groups: DataFrame, members: DataFrame, how: Signature, scratch: Scratch) -> DataFrame:
     """Links (a, b) between components of one group, enough to join all that are linked."""
     alive = T.StructType([T.StructField("pivot", T.LongType()), T.StructField("cid", T.LongType())])
     link = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
@@ -348,16 +351,21 @@ def _across(groups: DataFrame, members: DataFrame, how: Signature) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=link.names)
 
     blocked = _blocked(groups)
-    left = stored(_compared(blocked, members).mapInArrow(agree, alive).distinct(), "agreeing")
+    left = scratch.stored(_compared(blocked, members).mapInArrow(agree, alive).distinct(), "agreeing")
     again = groups.join(left, ["pivot", "cid"])
-    return stored(_compared(_blocked(again), members, "text").mapInArrow(confirm, link), "links")
+    return scratch.stored(_compared(_blocked(again), members, "text").mapInArrow(confirm, link), "links")
 
 
 def grouped(docs: DataFrame, how: Signature = Signature()) -> DataFrame:
     """docs (doc_id, text) -> doc_id, th, n_shingles, component_id, and the document the component keeps (ord, th)."""
-    sets = stored(signed(docs.select("doc_id", "text"), how), "sets")
-    classes = classes_of(sets)
-    roots = components(links(docs, classes, how))
+    with Scratch() as scratch:
+        return stored(_grouped(docs, how, scratch), "groups")
+
+
+def _grouped(docs: DataFrame, how: Signature, scratch: Scratch) -> DataFrame:
+    sets = scratch.stored(signed(docs.select("doc_id", "text"), how), "sets")
+    classes = scratch.stored(classes_of(sets), "classes")
+    roots = components(links(docs, classes, how, scratch))
     rooted = classes.join(roots, F.col("cid") == F.col("node"), "left").select(
         "h1", "h2", "sample", "least_id", F.coalesce("root", "cid").alias("root")
     )

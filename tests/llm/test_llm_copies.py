@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallybook.llm import decontaminate, hashes, lines, minhash, quality, substrings
+from tallybook.llm import common, decontaminate, hashes, lines, minhash, quality, substrings
 from tallybook.llm import components as graph
 from tallybook.llm.queries import QUERIES
 
@@ -213,8 +213,10 @@ def test_a_large_group_is_not_paired_out(spark):
     docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
     got = {r["doc_id"]: r["component_id"] for r in minhash.grouped(docs).collect()}
     assert got == {k: (0 if k < 1000 else k) for k, _ in rows}
-    classes = minhash.classes_of(minhash.signed(docs))
-    assert minhash.links(docs, classes).count() < 10_000
+    with common.Scratch() as scratch:
+        classes = scratch.stored(minhash.classes_of(minhash.signed(docs)), "classes")
+        assert minhash.links(docs, classes, minhash.Signature(), scratch).count() < 10_000
+    assert not scratch.tables
 
 
 @examples(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=40))
