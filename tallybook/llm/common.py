@@ -94,6 +94,13 @@ def with_results(
     return df.mapInArrow(run, schema)
 
 
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that texts taken apart fit into little memory."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 texts; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

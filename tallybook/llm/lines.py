@@ -33,7 +33,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.llm.common import Scratch, as_bytes, checked_small, joined_small, stored, text_or_empty, with_results
+from tallybook.llm.common import (
+    Scratch,
+    as_bytes,
+    checked_small,
+    joined_small,
+    parts,
+    stored,
+    text_or_empty,
+    with_results,
+)
 from tallybook.llm.hashes import distinct, flat_words, mix
 
 LAST = (1 << 63) - 1
@@ -146,7 +155,7 @@ def rarity(docs: DataFrame, how: Similar) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(how.rarity_buckets, np.int64)
-        for batch in batches:
+        for batch in parts(batches):
             for _, hashes, _ in flat_words([x.lower() for x in as_bytes(batch.column("text"))]):
                 buckets = (_tokens(hashes) % np.uint64(how.rarity_buckets)).astype(np.int64)
                 counts += np.bincount(buckets, minlength=how.rarity_buckets)
@@ -176,7 +185,7 @@ def line_sets(docs: DataFrame, how: Similar) -> DataFrame:
     """One row per line that is compared: where it is, and the name of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             ords, hashes = batch.column("ord").to_numpy(), batch.column("th").to_numpy()
             lines, rows, numbers = _lines(batch)
             for sets in _sets(lines, how.min_tokens):
@@ -208,7 +217,7 @@ def postings(docs: DataFrame, how: Similar, counts: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         sent: set[tuple[int, int]] = set()
-        for batch in batches:
+        for batch in parts(batches):
             ords = batch.column("ord").to_numpy()
             lines, rows, numbers = _lines(batch)
             for sets in _sets(lines, how.min_tokens):
