@@ -23,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines like an earlier one go, and documents left without a line of their own; n_chars follows the text."""
+    """Lines like an earlier one go, and documents that lose their last word with them; n_chars follows the text."""
     left = lines.without_repeats(docs)
     return left.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 

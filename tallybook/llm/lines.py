@@ -450,10 +450,7 @@ def _removed(docs: DataFrame, how: Similar, scratch: Scratch) -> DataFrame:
 
 
 def deduped(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
-    """docs (doc_id, text and others) -> `doc` (the whole row), n_lines, n_removed, n_compared_left and the kept text.
-
-    n_compared_left counts the lines that were compared and stay.
-    """
+    """docs (doc_id, text and others) -> `doc` (the whole row), n_lines, n_removed and the kept text."""
     gone = removed_lines(docs, how).select(F.col("ord").alias("own_ord"), F.col("th").alias("own_th"), "lines")
     text = text_or_empty(F.col("text"))
     rows = docs.select(
@@ -466,23 +463,20 @@ def deduped(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
     kinds = {
         "n_lines": T.LongType(),
         "n_removed": T.LongType(),
-        "n_compared_left": T.LongType(),
         "kept_text": T.StringType(),
     }
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
-        counts, removed, compared, kept = [], [], [], []
+        counts, removed, kept = [], [], []
         for text, numbers in zip(as_bytes(batch.column("text")), batch.column("lines").to_pylist(), strict=True):
             lines, drop = text.split(b"\n") if text else [], set(numbers or ())
             left = [line for k, line in enumerate(lines) if k not in drop]
             counts.append(len(lines))
             removed.append(len(drop))
-            compared.append(sum(len(set(x.lower().split())) >= how.min_tokens for x in left) if drop else 0)
             kept.append(b"\n".join(left).decode())
         return {
             "n_lines": pa.array(counts, pa.int64()),
             "n_removed": pa.array(removed, pa.int64()),
-            "n_compared_left": pa.array(compared, pa.int64()),
             "kept_text": pa.array(kept, pa.string()),
         }
 
@@ -492,8 +486,9 @@ def deduped(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
 def without_repeats(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
     """The documents with the removed lines taken out of their texts.
 
-    A document that loses every line that was compared says nothing of its own and goes.
+    A document that loses lines and has no word left goes.
     """
-    done = deduped(docs, how).filter((F.col("n_removed") == 0) | (F.col("n_compared_left") > 0))
+    has_word = F.col("kept_text").rlike(r"[^\x20\x09-\x0D]")
+    done = deduped(docs, how).filter((F.col("n_removed") == 0) | has_word)
     text = F.when(F.col("n_removed") == 0, F.col("doc.text")).otherwise(F.col("kept_text"))
     return done.withColumn("doc", F.col("doc").withField("text", text)).select("doc.*")
