@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.llm import decontaminate, lines, minhash, quality
+from tallybook.llm import packing as packing_plan
 from tallybook.llm.common import read, stored
-from tallybook.llm.queries import packed
+from tallybook.llm.queries import vocabulary
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -39,8 +40,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
-    return packed(docs)
+    """The pieces of all documents with their token ids, and their places in sequences."""
+    placed = packing_plan.pack(docs, vocabulary())
+    return placed.select("row.doc_id", "piece", "start", "length", "ids", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -1,9 +1,14 @@
 """Results that are to be whole: nothing of a document goes that no other has."""
 
-from cases import frame
+from collections import defaultdict
+
+import numpy as np
+from cases import frame, removed_lines, words
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tallybook.llm import lines
+from tallybook.llm.queries import vocabulary
 
 SHARED = "this licence line stands in very many texts"
 
@@ -25,3 +30,36 @@ def test_unique_short_lines_keep_their_document(spark):
     assert {r["doc_id"]: r["text"] for r in lines.without_repeats(docs).collect()} == want
     out = corpus_pipeline.line_dedup(spark, docs, "").collect()
     assert {r["doc_id"]: r["n_chars"] for r in out} == {k: None if t is None else len(t) for k, t in want.items()}
+
+
+def test_pipeline_gives_sequences_that_can_be_read(spark, sf):
+    """The result alone holds every text that came to the last stage; on the way, only repeats and blanks go."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+        docs = stage(spark, docs, sf)
+        if name == "line dedup":
+            gone, want = removed_lines(list(texts.items())), {}
+            for i, t in texts.items():
+                left = "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone[i])
+                if not gone[i] or words(left):
+                    want[i] = left
+            assert {r["doc_id"]: r["text"] for r in docs.collect()} == want
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    pieces, sequences = defaultdict(dict), defaultdict(dict)
+    for r in corpus_pipeline.run(spark, sf).collect():
+        ids = np.frombuffer(bytes(r["ids"]), "<u4")
+        assert len(ids) == r["length"]
+        pieces[r["doc_id"]][r["start"]] = ids
+        sequences[r["sequence_id"]][r["offset"]] = ids
+    exact = Tokenizer.from_file(vocabulary().definition)
+    for i, text in texts.items():
+        own = np.concatenate([x for _, x in sorted(pieces[i].items())])
+        assert own.tolist() == [*exact.encode(text, add_special_tokens=False).ids, 2]
+    assert pieces.keys() == texts.keys()
+    for parts in sequences.values():
+        at = 0
+        for offset, ids in sorted(parts.items()):
+            assert offset == at
+            at += len(ids)
+        assert at <= 1024
