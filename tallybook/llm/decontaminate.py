@@ -7,13 +7,15 @@ Aho-Corasick automaton); around each hit, overlapping windows merged, Myers' bit
 distance of the item to any stretch of the document. No occurrence within the budget is missed.
 
 The items are the queries: they are read in blocks of bounded size, and each block goes over all documents. Defined
-results: null and empty items, and items of fewer than `min_chars` characters (they occur by chance), match nothing; null
-and empty documents have no match; repeated items and documents are matched each; empty tables give empty tables; extra
+results: null and empty items match nothing; items of fewer than `min_chars` characters are met without an edit and as
+whole words only, with `to` - `from` as their length, so that a caller may leave out what occurs by chance; null and
+empty documents have no match; repeated items and documents are matched each; empty tables give empty tables; extra
 columns of documents stay as they are. Positions are code points of the compared form.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,19 +33,28 @@ MATCH = "array<struct<item_id: bigint, distance: int, budget: int, from: int, to
 class Budget:
     #: Edits per character of an item.
     error_share: float = 0.08
-    #: Shorter items are not searched.
+    #: Shorter items are met exactly, as whole words.
     min_chars: int = 25
     #: Characters of items searched in one pass over the documents.
     block_chars: int = 4_000_000
 
     def edits(self, chars: int) -> int:
-        return int(chars * self.error_share)
+        return int(chars * self.error_share) if chars >= self.min_chars else 0
 
 
 def compared(text: str | None) -> str:
     return " ".join((text or "").lower().split())
 
 
+#: A letter or digit of a script that parts its words.
+_JOINS = re.compile(r"[^\W_\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
+def whole_words(text: str, start: int, end: int) -> bool:
+    """Whether text[start:end] neither begins nor ends inside a word."""
+    return not any(0 < k < len(text) and _JOINS.match(text[k - 1]) and _JOINS.match(text[k]) for k in (start, end))
+
+
 def pieces(item: str, edits: int) -> list[tuple[int, str]]:
     """The item cut into edits + 1 pieces of nearly equal length, with their places."""
     cuts = [len(item) * k // (edits + 1) for k in range(edits + 2)]
@@ -89,6 +100,7 @@ class Matcher:
         import ahocorasick
 
         self.items = [(i, text, budget.edits(len(text)), masks(text)) for i, text in items]
+        self.short = [len(text) < budget.min_chars for _, text in items]
         places: dict[str, list[tuple[int, int]]] = {}
         for nr, (_, text, edits, _) in enumerate(self.items):
             for at, piece in pieces(text, edits):
@@ -103,7 +115,8 @@ class Matcher:
         starts: dict[int, list[int]] = {}
         for last, (size, where) in self.automaton.iter(text):
             for nr, at in where:
-                starts.setdefault(nr, []).append(last + 1 - size - at)
+                if not self.short[nr] or whole_words(text, last + 1 - size, last + 1):
+                    starts.setdefault(nr, []).append(last + 1 - size - at)
         for nr, found in starts.items():
             _, item, edits, _ = self.items[nr]
             low = high = None
@@ -140,7 +153,7 @@ def _blocks(items: DataFrame, budget: Budget) -> Iterator[list[tuple[int, str]]]
     size = 0
     for item_id, text in items.select("item_id", "text").toLocalIterator():
         form = compared(text)
-        if len(form) < budget.min_chars:
+        if not form:
             continue
         block.append((item_id, form))
         size += len(form)

@@ -7,7 +7,7 @@ from cases import frame, removed_lines, words
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tallybook.llm import lines
+from tallybook.llm import decontaminate, lines
 from tallybook.llm.queries import vocabulary
 
 SHARED = "this licence line stands in very many texts"
@@ -63,3 +63,27 @@ def test_pipeline_gives_sequences_that_can_be_read(spark, sf):
             assert offset == at
             at += len(ids)
         assert at <= 1024
+
+
+def test_short_items_are_met_as_whole_words(spark):
+    items = [(1, "Who was Ada?"), (2, "pi"), (3, "水的化学式是什么"), (4, " "), (5, None)]
+    rows = [
+        (0, "spin, Pi."),
+        (1, "spin pie api"),
+        (2, "so who  was\nADA? nobody"),
+        (3, "who was ida?"),
+        (4, "请问水的化学式是什么呢"),
+        (5, "pi"),
+        (6, ""),
+        (7, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    benchmark = spark.createDataFrame(items, "item_id BIGINT, text STRING")
+    found = decontaminate.contaminated(docs, benchmark).collect()
+    assert {(r["doc_id"], r["item_id"], r["distance"], r["from"], r["to"]) for r in found} == {
+        (0, 2, 0, 6, 8),
+        (2, 1, 0, 3, 15),
+        (4, 3, 0, 2, 10),
+        (5, 2, 0, 0, 2),
+    }
+    assert {r["doc_id"] for r in decontaminate.clean(docs, benchmark).collect()} == {1, 3, 6, 7}
