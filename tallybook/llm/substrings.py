@@ -1,8 +1,9 @@
-"""Substring dedup by relative Lempel-Ziv parsing against an index of all earlier documents.
+"""Substring dedup by grouping windows of all documents by content.
 
-A document is parsed greedily into factors: stretches of words that some document with a smaller id has as well. Factors
-of at least `window` words are duplicate spans. They are found by their windows (runs of exactly `window` words), so a
-stretch that crosses the boundary of two factors is found too if some earlier document has it as a whole.
+A window is a run of exactly `window` words; one that some document with a smaller id has as well is duplicate, and its
+words go. This takes the place of a Lempel-Ziv parse: every longer stretch that an earlier document has consists of such
+windows, so no longest match is sought. Factors join windows with one first document for the listing; each window occurs
+in it, the whole factor need not.
 
 The index. Each window has an anchor, the least hash of its `gram`-word runs; equal windows have equal anchors.
 Consecutive windows with one anchor form a block, so a block stands for many windows and copies have the same blocks:
