@@ -106,12 +106,21 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def checked_small(small: DataFrame, most_rows: int) -> DataFrame:
-    """The table, written once, to be sent to every task if it has at most so many rows; else a join shuffles it."""
+#: Numbers in an array that take as much memory as a row of about 100 bytes.
+NUMBERS_A_ROW = 25
+
+
+def checked_small(small: DataFrame, most_rows: int, lists: str | None = None) -> DataFrame:
+    """The table, written once, to be sent to every task if it has at most so many rows; else a join shuffles it.
+
+    The numbers in the array column `lists` count as rows by their memory.
+    """
     held = stored(small, "small")
-    return F.broadcast(held) if held.count() <= most_rows else held
+    numbers = F.coalesce(F.sum(F.size(lists)), F.lit(0)) if lists else F.lit(0)
+    rows = held.agg(F.count("*") + numbers / NUMBERS_A_ROW).first()[0]
+    return F.broadcast(held) if rows <= most_rows else held
 
 
-def joined_small(df: DataFrame, small: DataFrame, keys: list[str], most_rows: int) -> DataFrame:
+def joined_small(df: DataFrame, small: DataFrame, keys: list[str], most_rows: int, lists: str | None = None) -> DataFrame:
     """Inner join with a table that is sent to every task if it is small."""
-    return df.join(checked_small(small, most_rows), keys)
+    return df.join(checked_small(small, most_rows, lists), keys)

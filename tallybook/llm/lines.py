@@ -363,7 +363,7 @@ def other_candidates(posted: DataFrame, open_: DataFrame, how: Similar) -> DataF
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """name, parity and the tokens of the wanted sets, each read from one of its lines (ord, th, line)."""
     per_doc = wanted.groupBy("ord", "th").agg(F.collect_set("line").alias("lines"))
-    rows = joined_small(_keyed(docs), per_doc, ["ord", "th"], SMALL_ROWS).select("text", "lines")
+    rows = joined_small(_keyed(docs), per_doc, ["ord", "th"], SMALL_ROWS, "lines").select("text", "lines")
     schema = T.StructType([*LINES.fields[3:], T.StructField("tokens", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -459,7 +459,7 @@ def deduped(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
         F.xxhash64(text).alias("th"),
     )
     own = (F.col("ord") == F.col("own_ord")) & (F.col("th") == F.col("own_th"))
-    rows = rows.join(checked_small(gone, SMALL_ROWS), own, "left").withColumn("text", F.col("doc.text"))
+    rows = rows.join(checked_small(gone, SMALL_ROWS, "lines"), own, "left").withColumn("text", F.col("doc.text"))
     kinds = {
         "n_lines": T.LongType(),
         "n_removed": T.LongType(),

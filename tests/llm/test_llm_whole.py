@@ -32,6 +32,16 @@ def test_unique_short_lines_keep_their_document(spark):
     assert {r["doc_id"]: r["n_chars"] for r in out} == {k: None if t is None else len(t) for k, t in want.items()}
 
 
+def test_long_lists_of_lines_are_not_broadcast(spark, monkeypatch):
+    """Few rows with very many line numbers are joined by a shuffle."""
+    monkeypatch.setattr(lines, "SMALL_ROWS", 10)
+    for count, sent in ((3, True), (600, False)):
+        text = "\n".join(f"a{k} b{k} c{k} d{k} e{k}" for k in range(count))
+        out = lines.deduped(frame(spark, [(k, text, "en", "a", 1) for k in range(2)]))
+        assert ("strategy=broadcast" in out._jdf.queryExecution().analyzed().toString()) == sent
+        assert {r["doc"]["doc_id"]: r["n_removed"] for r in out.collect()} == {0: 0, 1: count}
+
+
 def test_pipeline_gives_sequences_that_can_be_read(spark, sf):
     """The result alone holds every text that came to the last stage; on the way, only repeats and blanks go."""
     docs = spark.read.parquet(f"{sf}/documents.parquet")
