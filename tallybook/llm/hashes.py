@@ -73,7 +73,7 @@ def _block_words(data: bytes, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return mix((sums[ends] - sums[starts]) * _powers(inverse, len(a) + 1)[starts]), starts
 
 
-def _cuts(data: bytes) -> Iterator[bytes]:
+def cuts(data: bytes) -> Iterator[bytes]:
     """data in blocks that end before a white space."""
     at = 0
     while len(data) - at > BLOCK:
@@ -87,7 +87,7 @@ def _cuts(data: bytes) -> Iterator[bytes]:
 
 def words(data: bytes, seed: int = 0) -> np.ndarray:
     """The hashes of the words of one text, in order."""
-    return np.concatenate([_block_words(x, seed)[0] for x in _cuts(data)])
+    return np.concatenate([_block_words(x, seed)[0] for x in cuts(data)])
 
 
 def flat_words(texts: list[bytes], seed: int = 0) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

@@ -1,13 +1,14 @@
 """The queries that SQL can express, for DuckDB over the same tables.
 
 Not among them: op1 (a trained model), op2 (a tokenizer), op4 (its all-pairs form is too slow on whole tables), op9 (any
-uniform shuffle is right), op10 (edit distance to any stretch of a text) and the pipeline. Tests hold those against
-brute force, round trips and held-out accuracy.
+uniform shuffle is right), op10 (edit distance to any stretch of a text), op11 (a trained model), op13 (eigenvectors) and
+the pipeline. Tests hold those against brute force, round trips and held-out accuracy.
 """
 
 from __future__ import annotations
 
 from tallybook.llm.chat import BODY, END, LOSS_ROLE, TURN
+from tallybook.llm.divergence import TERM, Audit
 from tallybook.llm.minhash import Signature
 from tallybook.llm.quality import FEATURES, Rules
 from tallybook.llm.secrets import ADDED, BASE, Rule
@@ -158,7 +159,40 @@ def _minhash() -> str:
       FROM w LEFT JOIN sizes ON sizes.doc_id = w.doc_id LEFT JOIN least ON least.a = w.doc_id"""
 
 
+def _divergence() -> str:
+    how = Audit()
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+    def share(n: str, total: str) -> str:
+        return f"1 + ({how.scale} * (CAST({n} AS HUGEINT) + {how.prior})) // ({total} + {how.prior} * v)"
+
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        translate(coalesce(text, ''), '{upper}', '{lower}') AS t FROM documents),
+      w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '{TERM}')) AS term FROM d),
+      kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY ALL HAVING count(DISTINCT r) >= {how.min_docs}),
+      langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+      g AS (SELECT DISTINCT lang, source FROM d),
+      c AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN kept ON w.lang = kept.lang AND w.term = kept.term
+        GROUP BY ALL),
+      sizes AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+      full_rows AS (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+          {share("coalesce(c.n, 0)", "coalesce(sizes.total, 0)")} AS p, {share("kept.n", "langs.total")} AS q
+        FROM g JOIN kept ON g.lang = kept.lang JOIN langs ON langs.lang = g.lang
+        LEFT JOIN sizes ON sizes.lang = g.lang AND sizes.source = g.source
+        LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+      sums AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+        FROM full_rows a JOIN full_rows b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+      results AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+        FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+        UNION ALL SELECT lang, source, 'term', term, p - q FROM full_rows WHERE n > 0 AND p > q),
+      ranked AS (SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (
+        PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM results)
+      SELECT * FROM ranked WHERE part = 'pair' OR rank <= {how.top_terms}"""
+
+
 SQL: dict[str, str] = {
+    "op12_divergence": _divergence(),
     "op3_secrets": _secrets(),
     "op5_substrings": _substrings(),
     "op6_quality": _quality(),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallybook.llm import (
     chat,
     decontaminate,
+    divergence,
     language,
     lines,
     minhash,
@@ -19,6 +20,8 @@ from tallybook.llm import (
     secrets,
     sharding,
     substrings,
+    toxicity,
+    whitening,
 )
 from tallybook.llm.common import read
 from tallybook.session import work_dir
@@ -33,9 +36,13 @@ def vocabulary() -> packing.Tokens:
     return packing.Tokens(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def held_out() -> Column:
+    """Whether a row is held back from learning."""
+    return F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 4 == 2, F.lit(False)).alias("held_out")
+
+
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 4 == 2
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out())
     model = language.train(docs.filter(~F.col("held_out")).select("text", "lang"))
     return language.predict(docs.drop("lang"), model, ("doc_id", "held_out")).select("row.*", *language.PREDICTED)
 
@@ -124,6 +131,23 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", held_out())
+    labels = read(spark, sf_dir, "labels").filter(~held_out()).select("doc_id", "toxic")
+    scored = toxicity.score(docs, toxicity.train(docs, labels), ("doc_id", "held_out"))
+    return scored.select("row.*", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = whitening.components_of(read(spark, sf_dir, "embeddings"))
+    deviation = F.col("deviation").cast("bigint").alias("deviation")
+    return done.select("row.vec_id", "component", "n", deviation, "whitened", "explained", "identity_error")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -137,6 +161,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_minhash,
         op9_sharding,
         op10_decontamination,
+        op11_toxicity,
+        op12_divergence,
+        op13_whitening,
     )
 }
 SQL: dict[str, str] = oracles.SQL

@@ -1,0 +1,323 @@
+"""Toxicity, source divergence and whitening, against plain versions and held-out accuracy."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from cases import documents, frame, lower
+from hypothesis import given as examples
+from hypothesis import settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tallybook.llm import divergence, toxicity, whitening
+from tallybook.llm.queries import QUERIES
+
+# ---- 11 toxicity ----
+
+INSULTS = ["dunce", "oaf", "twit"]
+
+
+def said(count=800, seed=3):
+    """(doc_id, text, toxic): one text in four has an insult somewhere."""
+    rng = random.Random(seed)
+    rows = []
+    for k in range(count):
+        text = [f"w{int(3000 * rng.random() ** 2)}" for _ in range(rng.randrange(5, 400))]
+        if k % 4 == 0:
+            text.insert(rng.randrange(len(text)), rng.choice(INSULTS).upper() + "!")
+        rows.append((k, " ".join(text), int(k % 4 == 0)))
+    return rows
+
+
+def test_learner_by_its_formulas():
+    """The vectors hold what the formulas give, coordinate by coordinate."""
+    how = toxicity.Ftrl(bits=6, l1=0.4, l2=0.3)
+    learner, z, n = toxicity.Learner(how), defaultdict(float), defaultdict(float)
+    rng = random.Random(1)
+
+    def weight(k):
+        l1, l2 = (0, 0) if k == 64 else (how.l1, how.l2)
+        if abs(z[k]) <= l1:
+            return 0.0
+        return -(z[k] - math.copysign(l1, z[k])) / ((how.beta + math.sqrt(n[k])) / how.rate + l2)
+
+    for _ in range(200):
+        own, toxic = [*rng.sample(range(64), rng.randrange(9)), 64], rng.random() < 0.3
+        learner.learn(np.array(own), toxic)
+        weights = {k: weight(k) for k in own}
+        g = 1 / (1 + math.exp(-sum(weights.values()))) - toxic
+        for k in own:
+            z[k] += g - (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / how.rate * weights[k]
+            n[k] += g * g
+    got = learner.weights(np.arange(65))
+    assert np.allclose(got, [weight(k) for k in range(65)], atol=1e-12)
+    assert (got[:64] == 0).any() and (got != 0).any()
+
+
+def test_features_are_words_pairs_and_skips():
+    how = toxicity.Ftrl()
+
+    def of(text):
+        rows = [(k, b) for _, _, own, found in toxicity.features([text], how) for k, b in zip(own, found, strict=True)]
+        return {b for _, b in rows}
+
+    one, two, four = of(b"a"), of(b"a b"), of(b"a b c d e")
+    assert (len(one), len(two), len(four)) == (1, 3, 5 + 4 + 3 + 2)
+    assert one < two < four
+    assert of(b"a x b") & of(b"a y b") >= of(b"a") | of(b"b") and len(of(b"a x b") & of(b"a y b")) == 3  # the skip
+    together = [set(), set()]
+    for first, _, own, found in toxicity.features([b"a b", b"c d e"], how):
+        for k, b in zip(own, found, strict=True):
+            together[first + k].add(b)
+    assert together == [of(b"a b"), of(b"c d e")]
+
+
+def test_insults_are_learned_and_little_else(spark):
+    rows = said()
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id BIGINT, text STRING")
+    labels = spark.createDataFrame([(k, t) for k, _, t in rows if k < 600], "doc_id BIGINT, toxic INT")
+    model = toxicity.train(docs, labels)
+    assert len(model.buckets) < 200  # of some 100,000 features
+    again = toxicity.train(docs.repartition(5), labels.repartition(3))
+    assert model.bias == again.bias and model.buckets.tolist() == again.buckets.tolist()
+    assert model.weights.tolist() == again.weights.tolist()
+    scores = {r["row"]["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    wrong = [(t, scores[k]) for k, _, t in rows if k >= 600 and (scores[k] >= 0.3) != bool(t)]
+    assert len(wrong) <= 6, wrong
+
+
+def test_the_sample_is_bounded(spark):
+    rows = said(60)
+    docs = spark.createDataFrame([r[:2] for r in rows] * 3, "doc_id BIGINT, text STRING")
+    labels = spark.createDataFrame([(k, t) for k, _, t in rows], "doc_id BIGINT, toxic INT")
+    how = toxicity.Ftrl(max_examples=20)
+    first = toxicity.examples(docs, labels, how).collect()
+    assert len(first) == 20 and len({r["doc_id"] for r in first}) == 20
+    few = toxicity.train(docs, labels, toxicity.Ftrl(max_features=1))
+    assert few.bias is None
+
+
+def test_toxicity_of_awkward_rows(spark):
+    docs = frame(spark).withColumns({"row": F.lit("x"), "score": F.lit("y"), "toxic": F.lit("z")})
+    none = frame(spark).select("doc_id", F.lit(None).cast("int").alias("toxic"))
+    model = toxicity.train(docs, none)
+    assert model.bias is None
+    assert {r["score"] for r in toxicity.score(docs, model, ("doc_id", "row")).collect()} == {0.0}
+    labels = spark.createDataFrame([(0, 1), (0, 0), (None, 1), (3, 0), (5, 0), (6, None), (99, 1), (13, 0)], "doc_id BIGINT, toxic INT")
+    assert {(r["doc_id"], r["toxic"]) for r in toxicity.examples(docs, labels, toxicity.Ftrl()).collect()} == {
+        (0, True), (3, False), (5, False), (13, False),
+    }
+    model = toxicity.train(docs, labels)
+    out = toxicity.score(docs, model, ("doc_id", "score")).collect()
+    assert Counter(r["row"]["doc_id"] for r in out) == Counter(r[0] for r in documents())
+    bare = 1 / (1 + math.exp(-model.bias))
+    assert all(r["score"] == pytest.approx(bare) for r in out if r["row"]["doc_id"] in (5, 6, 7))
+    assert toxicity.score(docs.limit(0), model).count() == 0
+    assert toxicity.train(docs.limit(0), labels).bias is None
+
+
+def test_held_out_documents_are_told(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = dict(duckdb.execute(f"SELECT doc_id, toxic FROM '{sf}/labels.parquet'").fetchall())
+    out = QUERIES["op11_toxicity"](spark, sf).collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in out)
+    rows = [(r["score"], r["predicted"], labels[r["doc_id"]]) for r in out if r["held_out"] and r["doc_id"] in labels]
+    toxic, clean = [r for r in rows if r[2]], [r for r in rows if not r[2]]
+    assert sum(r[1] for r in toxic) >= 0.75 * len(toxic)
+    assert sum(r[1] for r in clean) <= 0.01 * len(clean)
+    above = sum((a[0] > b[0]) + (a[0] == b[0]) / 2 for a in toxic for b in clean)
+    assert above / (len(toxic) * len(clean)) > 0.95
+
+
+# ---- 12 divergence ----
+
+
+def plain_audit(rows, how):
+    """rows of (text, lang, source) -> the result by its definition."""
+    counts, having, groups = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
+    for text, lang, source in rows:
+        terms = re.findall(divergence.TERM, lower(text))
+        groups[lang or ""].add(source or "")
+        counts[lang or "", source or ""].update(terms)
+        having[lang or ""].update(set(terms))
+    out = []
+    for lang, sources in groups.items():
+        kept = [t for t, n in having[lang].items() if n >= how.min_docs]
+
+        def shares(count, kept=kept):
+            total = sum(count[t] for t in kept)
+            return {t: 1 + how.scale * (count[t] + how.prior) // (total + how.prior * len(kept)) for t in kept}
+
+        whole = shares(sum((counts[lang, s] for s in sources), Counter()))
+        p = {s: shares(counts[lang, s]) for s in sources}
+        for s in sources:
+            pairs = [(o, sum(abs(p[s][t] - p[o][t]) for t in kept)) for o in sources if o != s]
+            terms = [(t, p[s][t] - whole[t]) for t in kept if counts[lang, s][t] and p[s][t] > whole[t]]
+            for part, found in (("pair", pairs), ("term", terms)):
+                found.sort(key=lambda x: (-x[1], x[0].encode()))
+                out += [(lang, s, part, i, v, k) for k, (i, v) in enumerate(found, 1) if part == "pair" or k <= how.top_terms]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_divergence_by_its_definition(spark, seed):
+    """More groups than a block, and strips of few cells."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(700):
+        lang, source = rng.choice(["aa", "aa", "bb"]), f"s{int(rng.random() ** 2 * 45)}"
+        words = [f"{rng.choice('kmpt')}{'aeiou'[int(rng.random() ** 3 * 5)]}{chr(97 + int(rng.random() ** 2 * 26))}" for _ in range(30)]
+        rows.append((" ".join(words), lang, source))
+    rows += [("", "aa", "empty"), (None, "cc", "x"), ("some words here", "cc", "y"), ("Ärger ärger", None, None)] * 2
+    how = divergence.Audit(min_docs=4, strip_cells=300, block_rows=16, top_terms=7)
+    docs = spark.createDataFrame(rows, "text STRING, lang STRING, source STRING").repartition(5)
+    got = sorted(tuple(r) for r in divergence.audit(docs, how).collect())
+    assert got == plain_audit(rows, how)
+    loose = divergence.Audit(min_docs=4, strip_cells=300, block_rows=16, top_terms=7, small_groups=1)
+    assert sorted(tuple(r) for r in divergence.audit(docs, loose).collect()) == got
+
+
+def test_empty_quadrants_are_not_visited():
+    rng = np.random.default_rng(4)
+    absent = rng.integers(5, 50, 60)
+    # Groups 0-19 hold the first 3,000 terms, the others share twenty of their own.
+    row = np.r_[rng.integers(0, 20, 9000), rng.integers(20, 60, 300)]
+    column = np.r_[rng.integers(0, 3000, 9000), 3000 + rng.integers(0, 20, 300)]
+    cells = dict(zip(zip(row.tolist(), column.tolist(), strict=True), rng.integers(60, 999, len(row)).tolist(), strict=True))
+    r, c = (np.array(x) for x in zip(*cells, strict=True))
+    sums, visited = divergence.compare_rows(r, c, np.array(list(cells.values())), absent, 0)
+    full = np.repeat(absent[:, None], 3020, 1)
+    full[r, c] = list(cells.values())
+    for a in range(60):
+        for b in range(a + 1, 60):
+            priced = sums[a, b] + (3020 - visited[a, b]) * abs(absent[a] - absent[b])
+            assert priced == np.abs(full[a] - full[b]).sum()
+    assert visited[40, 59] < 100 and visited[0, 1] > 1000
+
+
+def test_divergence_of_awkward_rows(spark):
+    docs = frame(spark).withColumns({k: F.lit("x") for k in ("term", "n", "item", "nr", "strip", "absent")})
+    how = divergence.Audit(min_docs=2)
+    rows = [(t, lang, source) for _, t, lang, source, _ in documents()]
+    assert sorted(tuple(r) for r in divergence.audit(docs, how).collect()) == plain_audit(rows, how)
+    assert divergence.audit(docs.limit(0), how).count() == 0
+    # No language keeps a term: all pairs are there, of value 0.
+    bare = divergence.audit(docs, divergence.Audit(min_docs=10**6)).collect()
+    assert bare and {(r["part"], r["value"]) for r in bare} == {("pair", 0)}
+
+
+def test_shares_do_not_overflow(spark):
+    one = spark.createDataFrame([(4 * 10**18, 4 * 10**18, 10**9)], "n BIGINT, total BIGINT, v BIGINT")
+    how = divergence.Audit()
+    want = 1 + 10**9 * (4 * 10**18 + 5) // (4 * 10**18 + 5 * 10**9)
+    assert one.select(divergence.share("n", "total", "v", how)).first()[0] == want
+
+
+# ---- 13 whitening ----
+
+
+def symmetric(values):
+    a = np.array(values)
+    return (a + a.T) / 2
+
+
+@settings(max_examples=60, deadline=None)
+@examples(st.integers(1, 9), st.integers(0, 2**32), st.floats(-3, 3))
+def test_counts_of_eigenvalues(d, seed, shift):
+    rng = np.random.default_rng(seed)
+    a = symmetric(rng.standard_normal((d, d)))
+    if seed % 3 == 0:
+        a = np.round(a)  # equal and vanishing pivots
+    values = np.linalg.eigvalsh(a)
+    if np.abs(values - shift).min() > 1e-9:
+        assert whitening.count_below(a, shift) == (values < shift).sum()
+
+
+@settings(max_examples=40, deadline=None)
+@examples(st.integers(1, 12), st.integers(0, 2**32))
+def test_leading_eigenvalues(d, seed):
+    rng = np.random.default_rng(seed)
+    q = np.linalg.qr(rng.standard_normal((d, d)))[0]
+    values = rng.choice([0.0, 1.0, 1.0 + 1e-7, 5.0, 1e4, 7.5], d) if seed % 2 else rng.random(d) ** 8
+    a = symmetric((q * values) @ q.T)
+    want = sorted((v for v in np.linalg.eigvalsh(a) if v > 1e-9 * max(values)), reverse=True)[:8]
+    found = [f for f in whitening.leading(a, 8, 1e-9 * max(values)) if f[0] > 1e-9 * max(values)]
+    assert np.allclose([e for e, _ in found], want, rtol=1e-8, atol=1e-11 * max(values))
+    for e, v in found:
+        assert np.linalg.norm(a @ v - e * v) <= 1e-10 * max(values)
+    vectors = np.array([v for _, v in found]).reshape(len(found), d)
+    assert np.allclose(vectors @ vectors.T, np.eye(len(found)), atol=1e-9)
+
+
+def test_whitening_of_given_vectors(spark, sf):
+    rows = duckdb.execute(f"SELECT vec_id, embedding FROM '{sf}/embeddings.parquet'").fetchall()
+    x = np.floor(1024 * np.array([v for _, v in rows], float)) + 100000
+    n, total = len(x), x.sum(0)
+    centred = x - total / n
+    values, vectors = np.linalg.eigh(centred.T @ centred / n)
+    out = QUERIES["op13_whitening"](spark, sf).collect()
+    assert len(out) == 8 * n
+    got = {(r["vec_id"], r["component"]): r for r in out}
+    for k in range(1, 9):
+        e, v = values[-k], vectors[:, -k]
+        mine = np.array([got[i, k]["whitened"] for i, _ in rows])
+        want = centred @ v / np.sqrt(e)
+        assert np.allclose(mine, want * np.sign(mine @ want), atol=1e-8)
+        assert got[rows[0][0], k]["explained"] == pytest.approx(e / values.sum(), rel=1e-10)
+    for (i, _), own in zip(rows, x, strict=True):
+        r = got[i, 1]
+        assert r["deviation"] == sum((n * int(a) - int(s)) ** 2 for a, s in zip(own, total, strict=True))
+        assert r["n"] == n and r["identity_error"] < 1e-9
+
+
+def test_whitening_of_awkward_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    good = [(1, [1.0, 2.0, 0.5]), (1, [1.0, 2.0, 0.5]), (2, [0.0, 1.0]), (None, [3.0, -1.0, 4.0]), (3, []), (4, [7.0])]
+    bad = [(5, None), (6, [1.0, None, 2.0]), (7, [nan, 1.0, 1.0]), (8, [1.0, inf, 0.0]), (9, [-inf])]
+    schema = "vec_id BIGINT, embedding ARRAY<FLOAT>"
+    both = spark.createDataFrame(good + bad, schema).withColumns({k: F.lit("x") for k in ("row", "x", "component")})
+    out = whitening.components_of(both.repartition(3), keep=("vec_id", "row", "component")).collect()
+    padded = np.array([[*v, *[0.0] * (3 - len(v))] for _, v in good])
+    x = np.floor(1024 * padded) + 100000
+    values = np.linalg.eigvalsh(np.cov(x.T, bias=True))[::-1]
+    assert len(out) == len(good) * 3
+    assert Counter(r["row"]["vec_id"] for r in out) == Counter({1: 6, 2: 3, None: 3, 3: 3, 4: 3})
+    for r in out:
+        assert r["explained"] == pytest.approx(values[r["component"] - 1] / values.sum(), rel=1e-9)
+        assert r["identity_error"] < 1e-9 and r["n"] == len(good)
+    for few in ([], [(1, [1.0, 2.0])], [(1, [1.0, 2.0])] * 3, [(1, None)], [(1, [])]):
+        none = whitening.components_of(spark.createDataFrame(few, schema))
+        assert none.collect() == [] and none.columns == list(out[0].asDict())
+
+
+def test_whitening_stays_exact(spark):
+    """Entries of 2**34 leave what floating point and 64 bits hold."""
+    rng = random.Random(5)
+    rows = [(k, [rng.uniform(-(2**34), 2**34) for _ in range(3)]) for k in range(50)]
+    vectors = whitening.usable(spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>"))
+    x = [[math.floor(1024 * c) + 100000 for c in v] for _, v in rows]
+    known = whitening.moments(vectors)
+    sums = [sum(c) for c in zip(*x, strict=True)]
+    assert [50 * int(m) + r for m, r in zip(known.middle, known.rest, strict=True)] == sums
+    for i in range(3):
+        for j in range(3):
+            exact = 50 * sum(v[i] * v[j] for v in x) - sums[i] * sums[j]
+            assert known.covariance[i, j] == exact / 2500
+    found = whitening.leading(known.covariance, 8, 0)
+    got = {r["row"]["vec_id"]: int(r["deviation"]) for r in whitening.whitened(vectors, known, found).collect()}
+    assert got == {k: sum((50 * a - s) ** 2 for a, s in zip(v, sums, strict=True)) for k, v in enumerate(x)}
+
+
+def test_a_known_spectrum(spark):
+    """Two equal eigenvalues: their space is found, with orthogonal vectors."""
+    rows = [(k, [float(s) if i == k // 2 else 0.0 for i in range(3)]) for k, s in enumerate([2, -2, 2, -2, 1, -1])]
+    out = whitening.components_of(spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>")).collect()
+    shares = sorted({(r["component"], round(r["explained"], 9)) for r in out})
+    assert shares == [(1, round(4 / 9, 9)), (2, round(4 / 9, 9)), (3, round(1 / 9, 9))]
+    assert max(r["identity_error"] for r in out) < 1e-9

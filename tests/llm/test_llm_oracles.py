@@ -10,7 +10,7 @@ from tallybook.llm.queries import QUERIES
 
 def test_all_are_registered():
     names = contract.queries()
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(names) and set(SQL) <= set(contract.oracle_sql())
 
 
