@@ -1,20 +1,23 @@
 """Line dedup by an exact set-similarity join.
 
-A line's set holds its distinct words in lower case (A-Z). A line with at least `min_tokens` of them is removed if an
+A line's set holds its distinct words in lower case (A-Z). A line with a word is removed if an
 earlier line, in order of document and place, has a set of Jaccard similarity percent / 100 or more; lines are judged on
-the input, not on what is left, so the result does not depend on any order of work. Shorter lines always stay.
+the input, not on what is left, so the result does not depend on any order of work. Lines without a word always stay.
 
-Equal sets are settled by grouping: all but the first line go. Sets are then posted under the words of their prefix, the
+Equal sets are settled by grouping: all but the first line go. Sets are posted under the words of their prefix, the
 n - ceil(t n) + 1 rarest ones: two similar sets share one of these. Rarity comes from hashed counts of all words in a
 table of fixed size; any common order gives the same result. Pairs that meet under a word pass a length filter, a
 positional filter (the words from here on have to suffice for the overlap) and a parity filter (128 bits that each word
-flips one of: sets that differ in d words differ in at most d bits). What is left is verified on the full sets.
+flips one of: sets that differ in d words differ in at most d bits). What is left is verified on the full sets. Texts are
+hashed once for rarity and once for a stored table of lines and postings, which every later step reads.
 
-A line needs one earlier match, not all of them. So each posting list is read in order, and a set leaves it with the
-first earlier set that passes the filters with `margin` bits to spare; up to there, it takes what just passes as well.
-Thousands of copies of a line, all a little different, give a row each and not a row per pair. Sets that left a list and
-have no similar set among their candidates get all the others in a second round, so nothing is missed. A list is held by one task while it is read, with 56 bytes per distinct set; by rarity, a
-list is long only where many lines have no rarer words.
+A line needs one earlier match, not all of them. So each posting list is read in order, by classes of size, and a set
+leaves it with the first earlier set that passes the filters with `margin` bits to spare; up to there, it takes what just
+passes as well. Thousands of copies of a line, all a little different, give a row each and not a row per pair. Sets that
+left a list and have no similar set among their candidates get all the others in a second round, so nothing is missed.
+Where unlike lines make a list long, so that a set is still open after `pivots` candidates, the list's sets are posted
+again under its word and each other one of a prefix that is longer by one: similar sets share two words of that. This goes
+on, word by word, until no list is long, so no list is compared in full.
 
 Defined results: null and empty texts have no line and stay as they are; null ids count as larger than any other; rows
 that agree in id and text are one document, and get the same result; rows that share only the id are ordered by place,
@@ -53,8 +56,11 @@ SMALL_ROWS = 500_000
 @dataclass(frozen=True)
 class Similar:
     percent: int = 80
-    min_tokens: int = 5
     rarity_buckets: int = 1 << 18
+    #: Candidates that a set meets in a list before its list counts as long and is taken apart by one more word.
+    pivots: int = 2000
+    #: Words under which a list may be taken apart; sets that share so many are compared in full.
+    most_words: int = 4
     #: Bits below the bound of the parity filter from which on a candidate is taken for similar until verified.
     margin: int = 2
 
@@ -116,15 +122,15 @@ def _tokens(hashes: np.ndarray) -> np.ndarray:
     return hashes >> np.uint64(64 - TOKEN_BITS)
 
 
-def _sets(lines: list[bytes], min_tokens: int) -> Iterator[_Sets]:
-    """The sets of those lines that have enough tokens."""
+def _sets(lines: list[bytes]) -> Iterator[_Sets]:
+    """The sets of those lines that have a token."""
     for first, hashes, places in flat_words(lines):
         if not len(hashes):
             continue
         of = np.repeat(np.arange(len(places) - 1), np.diff(places))
         of, tokens = _tokens_of(of, _tokens(hashes))
         sizes = np.bincount(of, minlength=len(places) - 1)
-        enough = sizes >= min_tokens
+        enough = sizes > 0
         tokens = tokens[enough[of]]
         sizes = sizes[enough]
         yield _Sets(np.flatnonzero(enough) + first, np.cumsum(sizes) - sizes, sizes, tokens)
@@ -170,141 +176,172 @@ def rarity(docs: DataFrame, how: Similar) -> np.ndarray:
     return counts
 
 
-LINES = T.StructType(
+#: One row per line and word of its prefix; `at` is the word's place in the order of rarity. A line whose set the task
+#: has sent before has one row, with `at` -1.
+SETS = T.StructType(
     [
         T.StructField("ord", T.LongType()),
         T.StructField("th", T.LongType()),
         T.StructField("line", T.IntegerType()),
         T.StructField("name", T.LongType()),
         T.StructField("parity", T.LongType()),
-    ]
-)
-
-
-def line_sets(docs: DataFrame, how: Similar) -> DataFrame:
-    """One row per line that is compared: where it is, and the name of its set."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts(batches):
-            ords, hashes = batch.column("ord").to_numpy(), batch.column("th").to_numpy()
-            lines, rows, numbers = _lines(batch)
-            for sets in _sets(lines, how.min_tokens):
-                row = rows[sets.line]
-                columns = (ords[row], hashes[row], numbers[sets.line].astype(np.int32), *sets.names())
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=LINES.names)
-
-    return _keyed(docs).mapInArrow(run, LINES)
-
-
-POSTINGS = T.StructType(
-    [
-        T.StructField("token", T.LongType()),
-        T.StructField("ord", T.LongType()),
-        T.StructField("line", T.IntegerType()),
-        T.StructField("name", T.LongType()),
-        T.StructField("parity", T.LongType()),
         T.StructField("parity_2", T.LongType()),
         T.StructField("size", T.IntegerType()),
+        T.StructField("token", T.LongType()),
         T.StructField("at", T.IntegerType()),
     ]
 )
+#: Names that a task remembers; a set that is sent twice does no harm.
+REMEMBERED = 200_000
 
 
-def postings(docs: DataFrame, how: Similar, counts: np.ndarray) -> DataFrame:
-    """The prefixes of all sets. A task sends a set once, from the first of its lines that has it."""
+def line_sets(docs: DataFrame, how: Similar, counts: np.ndarray) -> DataFrame:
+    """SETS of all lines that have a word: the one pass in which texts are hashed for their lines."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
-        sent: set[tuple[int, int]] = set()
+        sent: set[int] = set()
         for batch in parts(batches):
-            ords = batch.column("ord").to_numpy()
+            ords, hashes = batch.column("ord").to_numpy(), batch.column("th").to_numpy()
             lines, rows, numbers = _lines(batch)
-            for sets in _sets(lines, how.min_tokens):
+            for sets in _sets(lines):
                 (names, parities), second = sets.names(), sets.parity(1)
-                pairs = list(zip(names.tolist(), parities.tolist(), strict=True))
-                new = np.zeros(len(pairs), bool)
-                for k, pair in enumerate(pairs):
-                    if pair not in sent:
-                        sent.add(pair)
+                new = np.zeros(len(names), bool)
+                for k, name in enumerate(names.tolist()):
+                    if name not in sent:
+                        sent.add(name)
                         new[k] = True
+                if len(sent) > REMEMBERED:
+                    sent.clear()
                 of = sets.of
                 rare = counts[(sets.tokens % np.uint64(how.rarity_buckets)).astype(np.int64)]
-                order = _by_rarity(sets, rare)
+                ordered = sets.tokens[_by_rarity(sets, rare)]
                 at = np.arange(len(of)) - np.repeat(sets.starts, sets.sizes)
-                prefix = sets.sizes - (how.percent * sets.sizes + 99) // 100 + 1
-                chosen = (at < prefix[of]) & new[of]
-                of, at = of[chosen], at[chosen]
-                line = sets.line[of]
-                columns = (
-                    sets.tokens[order][chosen].view(np.int64),
-                    ords[rows[line]],
-                    numbers[line].astype(np.int32),
-                    names[of],
-                    parities[of],
-                    second[of],
-                    sets.sizes[of].astype(np.int32),
-                    at.astype(np.int32),
-                )
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=POSTINGS.names)
+                chosen = (at < np.where(new, prefix(sets.sizes, how.percent), 1)[of])
+                of, at = of[chosen], np.where(new[of], at, -1)[chosen]
+                row = rows[sets.line]
+                wide = (ords[row], hashes[row], numbers[sets.line].astype(np.int32), names, parities, second)
+                columns = [*(c[of] for c in wide), sets.sizes[of].astype(np.int32), ordered[chosen].view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, at.astype(np.int32))], names=SETS.names)
 
     # In order, so that the first line of a set in a task is the earliest one there.
-    return _keyed(docs).sortWithinPartitions("ord", "th").select("ord", "text").mapInArrow(run, POSTINGS)
+    return _keyed(docs).sortWithinPartitions("ord", "th").mapInArrow(run, SETS)
 
 
-def _spare(x: np.ndarray, y: np.ndarray, column: dict[str, np.ndarray], percent: int) -> np.ndarray:
-    """Bits by which pairs of rows x, y of posting lists stay below the parity bound; -1 where they fail a filter."""
-    n, m = column["size"][x].astype(np.int64), column["size"][y].astype(np.int64)
-    overlap = -(-percent * (n + m) // (100 + percent))
-    length = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
-    place = np.minimum(n - column["at"][x], m - column["at"][y]) >= overlap
-    bits = np.zeros(len(x), np.int64)
-    for name in ("parity", "parity_2"):
-        parity = column[name].view(np.uint64)
-        bits += np.bitwise_count(parity[x] ^ parity[y])
-    return np.where(length & place, np.maximum(n + m - 2 * overlap - bits, -1), -1)
+def postings(docs: DataFrame, how: Similar, counts: np.ndarray) -> DataFrame:
+    """The prefixes of all sets."""
+    return line_sets(docs, how, counts).filter("at >= 0")
 
 
+def prefix(sizes: np.ndarray, percent: int, shared: int = 1) -> np.ndarray:
+    """Similar sets have so many words in common among so many of their rarest ones."""
+    return np.minimum(sizes - (percent * sizes + 99) // 100 + shared, sizes)
+
+
+PLACE = ["ord", "line"]
+SET = ["name", "parity"]
+#: Two sets that met: the first is the later one and has left its list with this candidate, or not (`left`). Where it
+#: is still open after `pivots` candidates, there is no second one.
 PAIRS = T.StructType(
     [
         T.StructField("token", T.LongType()),
-        *(T.StructField(f"{c}_{k}", T.LongType()) for k in (1, 2) for c in ("name", "parity")),
-        # The first set left the list with this candidate; it may have others.
+        *(T.StructField(f"{c}_{k}", T.LongType()) for k in (1, 2) for c in (*SET, *PLACE)),
         T.StructField("left", T.BooleanType()),
     ]
 )
+POSTING = ["token", *PLACE, *SET, "parity_2", "size", "at"]
 
 
-def _meetings(
-    column: dict[str, np.ndarray], how: Similar, every: np.ndarray | None
-) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Rows x, y of whole posting lists, in order, and whether x leaves its list with y.
+class _Lists:
+    """Whole posting lists, in which sets are compared with those before them.
 
-    y comes before x in its list and passes the filters. With `every`, the rows it marks get all of them and never
-    leave.
+    Sets can only be similar to sets of their own class of size or the next one on either side, so each list is taken apart by class.
     """
-    token, name, parity = column["token"], column["name"], column["parity"]
-    starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-    place = np.arange(len(token)) - np.repeat(starts, np.diff(np.r_[starts, len(token)]))
-    left = np.flatnonzero(place > 0) if every is None else np.flatnonzero((place > 0) & every)
-    k = 0
-    # The k-th set of every list against those after it that are still open, all lists at once.
-    while len(left):
-        pivot = left - place[left] + k
-        same = (name[left] == name[pivot]) & (parity[left] == parity[pivot])
-        spare = _spare(left, pivot, column, how.percent)
-        hit = (spare >= 0) & ~same
-        done = hit & (spare >= how.margin) if every is None else np.zeros(len(left), bool)
-        if hit.any():
-            yield left[hit], pivot[hit], done[hit]
-        # The same set again has nothing to add; sets before it were met by its first row.
-        open_ = ~same & (place[left] > k + 1)
-        left = left[open_ & ~done]
-        k += 1
+
+    def __init__(self, column: dict[str, np.ndarray], how: Similar, words: int = 1) -> None:
+        token = column["token"]
+        number = np.cumsum(np.r_[True, token[1:] != token[:-1]]) - 1 if len(token) else np.zeros(0, np.int64)
+        size = column["size"].astype(np.int64)
+        key = number * 256 + self.classes(size, how)
+        order = np.argsort(key, kind="stable")
+        # A set that several tasks sent counts once, at its first line.
+        mixed = mix(token.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + column["name"].view(np.uint64))[order]
+        order = order[np.sort(np.unique(mixed, return_index=True)[1])]
+        self.how, self.words = how, words
+        self.row = order
+        self.column = {c: v[order] for c, v in column.items()}
+        self.size = size[order]
+        self.reach = self.size - self.column["at"]
+        self.bits = [self.column[c].view(np.uint64) for c in ("parity", "parity_2")]
+        #: In order of list, class and place.
+        self.sorted = key[order] << 32 | order
+
+    @staticmethod
+    def classes(size: np.ndarray, how: Similar) -> np.ndarray:
+        """Classes of sizes; those of a list leave a gap to the next list's."""
+        return np.minimum(np.floor(np.log(np.maximum(size, 1)) / np.log(100 / how.percent) + 1e-9).astype(np.int64) + 1, 250)
+
+    def apart(self) -> np.ndarray:
+        """Rows whose class holds one size, of which different sets are never similar."""
+        n = self.size
+        own = self.classes(n, self.how)
+        single = (self.classes(n - 1, self.how) != own) | (n == 1)
+        single &= self.classes(n + 1, self.how) != own
+        return single & (-(-self.how.percent * 2 * n // (100 + self.how.percent)) >= n)
+
+    def segment(self, step: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each row where the rows of its class + step begin, and where those before it end."""
+        target = (self.sorted >> 32) + step
+        starts = np.searchsorted(self.sorted, target << 32)
+        ends = np.arange(len(starts)) if not step else np.searchsorted(self.sorted, target << 32 | self.row)
+        return starts, ends
+
+    def spare(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pairs that pass all filters, and the bits by which they stay below the parity bound."""
+        percent = self.how.percent
+        n, m = self.size[x], self.size[y]
+        some = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+        x, y, n, m = x[some], y[some], n[some], m[some]
+        overlap = -(-percent * (n + m) // (100 + percent))
+        spare = n + m - 2 * overlap - np.bitwise_count(self.bits[0][x] ^ self.bits[0][y])
+        some = (spare >= 0) & (np.minimum(self.reach[x], self.reach[y]) >= overlap)
+        x, y, spare = x[some], y[some], spare[some]
+        spare = spare - np.bitwise_count(self.bits[1][x] ^ self.bits[1][y])
+        some = spare >= 0
+        return x[some], y[some], spare[some]
+
+    def meetings(self, every: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray | None, np.ndarray]]:
+        """Rows x, y (y before x in its list; both pass the filters), and whether x leaves its list with y.
+
+        After `pivots` candidates x is given without y if a longer prefix can take its list apart. With `every`, the rows
+        it marks meet all and never leave.
+        """
+        least = -(-self.how.percent * self.size // 100)
+        splits = (least > self.words) & (self.words < self.how.most_words) & (every is None)
+        apart = self.apart()
+        open_ = np.ones(len(self.size), bool) if every is None else every[self.row].astype(bool)
+        for step in (0, -1, 1):
+            starts, ends = self.segment(step)
+            x = np.flatnonzero(open_ & (starts < ends) & (~apart if not step else True))
+            k = 0
+            # The k-th set of every segment against those after it that are still open, all lists at once.
+            while len(x):
+                one, two, spare = self.spare(x, starts[x] + k)
+                if len(one):
+                    done = spare >= self.how.margin if every is None else np.zeros(len(one), bool)
+                    yield one, two, done
+                    open_[one[done]] = every is not None
+                k += 1
+                x = x[open_[x] & (starts[x] + k < ends[x])]
+                if k == self.how.pivots and splits[x].any():
+                    long = x[splits[x]]
+                    yield long, None, np.zeros(len(long), bool)
+                    x = x[~splits[x]]
 
 
 #: Rows of posting lists handled together.
-LIST_ROWS = 200_000
+LIST_ROWS = 300_000
 
 
 def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
@@ -333,54 +370,95 @@ def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.nda
             yield column
 
 
-def _met(lists: DataFrame, how: Similar, marked: bool) -> DataFrame:
-    """Pairs of sets that meet under a token and pass the filters; the second one is the earlier."""
+def _met(lists: DataFrame, how: Similar, marked: bool, words: int = 1) -> DataFrame:
+    """PAIRS of sets that meet under a token and pass the filters; the second one is the earlier."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for column in _whole_lists(batches):
-            every = column["wanted"].astype(bool) if marked else None
-            for x, y, left in _meetings(column, how, every):
-                values = [column["token"][x], *(column[c][r] for r in (x, y) for c in ("name", "parity")), left]
-                yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], names=PAIRS.names)
-
-    ordered = lists.repartition("token").sortWithinPartitions("token", "ord", "line", "name", "parity")
+            own = _Lists(column, how, words)
+            for x, y, left in own.meetings(column["wanted"] if marked else None):
+                ends = [pa.array(own.column[c][x].astype(np.int64)) for c in (*SET, *PLACE)]
+                if y is None:
+                    ends += [pa.nulls(len(x), pa.int64())] * 4
+                else:
+                    ends += [pa.array(own.column[c][y].astype(np.int64)) for c in (*SET, *PLACE)]
+                yield pa.RecordBatch.from_arrays([pa.array(own.column["token"][x]), *ends, pa.array(left)], names=PAIRS.names)
+
+    ordered = lists.repartition("token").sortWithinPartitions("token", *PLACE, *SET)
     return ordered.mapInArrow(run, PAIRS)
 
 
-def candidates(posted: DataFrame, how: Similar) -> DataFrame:
-    """For each token and set its candidates up to the first likely one: PAIRS."""
-    return _met(posted, how, marked=False)
+def candidates(posted: DataFrame, how: Similar, words: int = 1) -> DataFrame:
+    """For each token and set its candidates up to the first likely one; a list stands for so many words."""
+    return _met(posted.select(*POSTING), how, marked=False, words=words)
 
 
 def other_candidates(posted: DataFrame, open_: DataFrame, how: Similar) -> DataFrame:
     """All candidates of the sets in open_ (token, name, parity) under those tokens."""
-    tokens = joined_small(posted, open_.select("token").distinct(), ["token"], SMALL_ROWS)
-    wanted = open_.select("token", "name", "parity", F.lit(1).alias("wanted")).distinct()
-    lists = tokens.join(wanted, ["token", "name", "parity"], "left").withColumn("wanted", F.coalesce("wanted", F.lit(0)))
+    tokens = joined_small(posted.select(*POSTING), open_.select("token").distinct(), ["token"], SMALL_ROWS)
+    wanted = open_.select("token", *SET, F.lit(1).alias("wanted")).distinct()
+    lists = tokens.join(wanted, ["token", *SET], "left").withColumn("wanted", F.coalesce("wanted", F.lit(0)))
     return _met(lists, how, marked=True)
 
 
-def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """name, parity and the tokens of the wanted sets, each read from one of its lines (ord, th, line)."""
-    per_doc = wanted.groupBy("ord", "th").agg(F.collect_set("line").alias("lines"))
-    rows = joined_small(_keyed(docs), per_doc, ["ord", "th"], SMALL_ROWS, "lines").select("text", "lines")
-    schema = T.StructType([*LINES.fields[3:], T.StructField("tokens", T.BinaryType())])
+def deeper(posted: DataFrame, long: DataFrame, docs: DataFrame, counts: np.ndarray, how: Similar, words: int, scratch: Scratch) -> DataFrame:
+    """Postings of long lists under one more word each: `words` in all.
+
+    Two similar sets have `words` words in common among prefix(.., words) of theirs, so those that met in a long list
+    meet again under a pair of its word and another. Postings (token, where, set) of the lists `long` (token) are
+    given; `used` has the words that a list stands for.
+    """
+    lists = joined_small(posted, long.select("token").distinct(), ["token"], SMALL_ROWS)
+    lists = scratch.stored(lists, "long-lists")
+    sets = scratch.stored(_texts_of(docs, lists.select(*PLACE)), "line-tokens")
+    rows = lists.select(F.struct(*POSTING, "used").alias("row"), *SET).join(sets, SET).select("row", "tokens")
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
+    kind = T.StructType([*(f for f in lists.schema.fields if f.name in POSTING), lists.schema["used"]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = as_bytes(batch.column("text"))
-            lines = [
-                line
-                for text, numbers in zip(texts, batch.column("lines").to_pylist(), strict=True)
-                for k, line in enumerate(text.lower().split(b"\n"))
-                if k in set(numbers)
-            ]
-            for sets in _sets(lines, 1):
+        counts = shared.value
+        for batch in parts(batches):
+            out = []
+            for row, data in zip(batch.column("row").to_pylist(), batch.column("tokens").to_pylist(), strict=True):
+                own = np.frombuffer(data, np.uint64)
+                rare = counts[(own % np.uint64(how.rarity_buckets)).astype(np.int64)]
+                ranked = own[np.lexsort((own, np.minimum(rare, (1 << 24) - 1)))].view(np.int64)
+                first = ranked[: prefix(np.array([len(own)]), how.percent, words)[0]].tolist()
+                for word in first:
+                    if word not in row["used"]:
+                        used = sorted([*row["used"], word])
+                        token = int(mix(np.array([hash(tuple(used)) & (1 << 63) - 1], np.uint64)).view(np.int64)[0])
+                        out.append(row | {"token": token, "used": used, "at": 0})
+            if out:
+                yield pa.RecordBatch.from_pylist(out, schema=arrow)
+
+    arrow = pa.schema(
+        [(f.name, pa.list_(pa.int64()) if f.name == "used" else pa.int32() if f.dataType == T.IntegerType() else pa.int64()) for f in kind]
+    )
+    return scratch.stored(rows.mapInArrow(run, kind), "long-lists")
+
+
+TOKENS = T.StructType([SETS["name"], SETS["parity"], T.StructField("tokens", T.BinaryType())])
+
+
+def _texts_of(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """name, parity and the tokens of the sets at the given places (ord, line), each once."""
+    per_doc = places.groupBy("ord").agg(F.collect_set("line").alias("lines"))
+    rows = joined_small(_keyed(docs), per_doc, ["ord"], SMALL_ROWS, "lines").select("text", "lines")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            lines = []
+            for text, numbers in zip(as_bytes(batch.column("text")), batch.column("lines").to_pylist(), strict=True):
+                own = text.lower().split(b"\n")
+                # Another row of the same id may have fewer lines.
+                lines += [own[k] for k in numbers if k < len(own)]
+            for sets in _sets(lines):
                 names, parities = sets.names()
                 tokens = [x.tobytes() for x in np.split(sets.tokens, sets.starts[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(parities), pa.array(tokens)], names=schema.names)
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(parities), pa.array(tokens)], names=TOKENS.names)
 
-    return rows.mapInArrow(run, schema).dropDuplicates(["name", "parity"])
+    return rows.mapInArrow(run, TOKENS).dropDuplicates(SET)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, how: Similar) -> DataFrame:
@@ -402,35 +480,42 @@ def verified(pairs: DataFrame, sets: DataFrame, how: Similar) -> DataFrame:
     return with_results(rows, "pair", {"similar": T.BooleanType()}, work).filter("similar").select("pair.*")
 
 
-SET = ["name", "parity"]
-
-
-def _ends(pairs: DataFrame, *ends: int) -> DataFrame:
-    """The sets at the given ends of pairs."""
-    sides = [pairs.select(*(F.col(f"{c}_{k}").alias(c) for c in SET)) for k in ends]
-    return sides[0].distinct() if len(sides) == 1 else sides[0].unionByName(sides[1]).distinct()
+def _ends(pairs: DataFrame, columns: list[str]) -> DataFrame:
+    """What both ends of pairs have in these columns."""
+    sides = [pairs.select(*(F.col(f"{c}_{k}").alias(c) for c in columns)) for k in (1, 2)]
+    return sides[0].unionByName(sides[1]).distinct()
 
 
-def _similar(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, how: Similar, scratch: Scratch) -> DataFrame:
+def _similar(pairs: DataFrame, docs: DataFrame, how: Similar, scratch: Scratch) -> DataFrame:
     """The first sets of the pairs that are similar."""
-    members = firsts.join(_ends(pairs, 1, 2), SET).select("first.*")
-    sets = scratch.stored(_texts_of(docs, members), "line-tokens")
-    return scratch.stored(_ends(verified(pairs.drop("token", "left").distinct(), sets, how), 1), "similar-lines")
+    sets = scratch.stored(_texts_of(docs, _ends(pairs, PLACE)), "line-tokens")
+    ends = [f"{c}_{k}" for k in (1, 2) for c in SET]
+    good = verified(pairs.select(*ends).distinct(), sets, how)
+    return scratch.stored(good.select(*(F.col(f"{c}_1").alias(c) for c in SET)).distinct(), "similar-lines")
 
 
-def similar_sets(docs: DataFrame, firsts: DataFrame, how: Similar, scratch: Scratch) -> DataFrame:
+def similar_sets(posted: DataFrame, docs: DataFrame, counts: np.ndarray, how: Similar, scratch: Scratch) -> DataFrame:
     """name, parity of the sets that are like a set with an earlier first line."""
-    counts = rarity(docs, how)
-    met = scratch.stored(candidates(postings(docs, how, counts), how), "line-pairs")
-    found = _similar(met, docs, firsts, how, scratch)
-    # Sets that left a list and were not settled get what else is there.
-    gone = met.filter("left").select("token", F.col("name_1").alias("name"), F.col("parity_1").alias("parity"))
-    open_ = scratch.stored(gone.join(found, SET, "left_anti"), "open-lines")
-    if open_.isEmpty():
-        return found
-    more = other_candidates(postings(docs, how, counts), open_, how)
-    more = scratch.stored(more.distinct().join(met, PAIRS.names[:-1], "left_anti"), "line-pairs")
-    return found.unionByName(_similar(more, docs, firsts, how, scratch)).distinct()
+    found, words = None, 1
+    while True:
+        met = scratch.stored(candidates(posted, how, words), "line-pairs")
+        pairs = met.filter(F.col("name_2").isNotNull())
+        new = _similar(pairs, docs, how, scratch)
+        # Sets that left a list and were not settled get what else is there.
+        gone = pairs.filter("left").select("token", F.col("name_1").alias("name"), F.col("parity_1").alias("parity"))
+        open_ = scratch.stored(gone.join(new, SET, "left_anti"), "open-lines")
+        if not open_.isEmpty():
+            more = scratch.stored(other_candidates(posted, open_, how), "line-pairs")
+            new = new.unionByName(_similar(more, docs, how, scratch))
+        found = new if found is None else found.unionByName(new)
+        # Lists in which sets met their share of candidates are taken apart by one more word.
+        long = met.filter(F.col("name_2").isNull())
+        if long.isEmpty():
+            return found.distinct()
+        words += 1
+        if "used" not in posted.columns:
+            posted = posted.withColumn("used", F.array("token"))
+        posted = deeper(posted, long, docs, counts, how, words, scratch)
 
 
 def removed_lines(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
@@ -440,12 +525,17 @@ def removed_lines(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
 
 
 def _removed(docs: DataFrame, how: Similar, scratch: Scratch) -> DataFrame:
+    counts = rarity(docs, how)
+    sets = scratch.stored(line_sets(docs, how, counts), "lines")
+    similar = similar_sets(sets.filter("at >= 0"), docs, counts, how, scratch)
+    lines = sets.filter("at <= 0").select("ord", "th", "line", *SET)
+    repeated = lines.groupBy(*SET).count().filter("count > 1").select(*SET, F.lit(False).alias("similar"))
+    told = repeated.unionByName(similar.withColumn("similar", F.lit(True))).groupBy(*SET).agg(F.max("similar").alias("similar"))
+    touched = scratch.stored(joined_small(lines, told, SET, SMALL_ROWS), "touched-lines")
     place = F.struct("ord", "line", "th")
-    lines = scratch.stored(line_sets(docs, how), "lines")
-    firsts = lines.groupBy(*SET).agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    similar = similar_sets(docs, firsts, how, scratch).withColumn("similar", F.lit(True))
-    limits = firsts.join(similar, SET, "left").filter((F.col("n") > 1) | F.col("similar").isNotNull())
-    gone = lines.join(limits, SET).filter(F.col("similar").isNotNull() | (place > F.col("first")))
+    firsts = touched.filter(~F.col("similar")).groupBy(*SET).agg(F.min(place).alias("first"))
+    later = joined_small(touched.filter(~F.col("similar")), firsts, SET, SMALL_ROWS).filter(place > F.col("first"))
+    gone = touched.filter("similar").select("ord", "th", "line").unionByName(later.select("ord", "th", "line"))
     return gone.groupBy("ord", "th").agg(F.collect_set("line").alias("lines"))
 
 

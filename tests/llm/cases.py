@@ -104,14 +104,14 @@ def kept_words(docs: list[tuple[int, str]], window: int = 50) -> dict[int, list[
     return out
 
 
-def removed_lines(docs: list[tuple[int, str]], percent: int = 80, least: int = 5) -> dict[int, set[int]]:
+def removed_lines(docs: list[tuple[int, str]], percent: int = 80) -> dict[int, set[int]]:
     """doc_id -> numbers of the lines that an earlier line is like, by comparing all pairs of lines."""
     gone, earlier = {}, []
     for i, t in sorted(docs):
         gone[i] = set()
         for k, line in enumerate(lower(t).split("\n")):
             s = set(words(line))
-            if len(s) < least:
+            if not s:
                 continue
             if any(100 * len(s & e) >= percent * len(s | e) for e in earlier):
                 gone[i].add(k)
