@@ -1,6 +1,6 @@
 """The queries that SQL can express, for DuckDB over the same tables.
 
-Not among them: op1 (a trained model), op2 (a tokenizer), op4 (its all-pairs form is too slow on whole tables), op9 (any
+Not among them: op1 (a trained model), op2 (a tokenizer), op9 (any
 uniform shuffle is right), op10 (edit distance to any stretch of a text), op11 (a trained model), op13 (eigenvectors) and
 the pipeline. Tests hold those against brute force, round trips and held-out accuracy.
 """
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from tallybook.llm.chat import BODY, END, LOSS_ROLE, TURN
 from tallybook.llm.divergence import TERM, Audit
+from tallybook.llm.lines import Similar
 from tallybook.llm.minhash import Signature
 from tallybook.llm.quality import FEATURES, Rules
 from tallybook.llm.secrets import ADDED, BASE, Rule
@@ -45,6 +46,35 @@ def _secrets() -> str:
         {joined}, '') AS spans FROM rows GROUP BY doc_id"""
 
 
+def _lines() -> str:
+    how = Similar()
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+      split AS (SELECT doc_id, CASE WHEN t = '' THEN [] ELSE string_split(t, chr(10)) END AS parts FROM d),
+      lines AS (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS k FROM split),
+      worded AS (SELECT doc_id, k, list_sort(list_distinct(regexp_extract_all(translate(line, '{upper}', '{lower}'), '{WORD}'))) AS s
+        FROM lines),
+      sets AS (SELECT s, len(s) AS n, min((doc_id, k)) AS place, row_number() OVER (ORDER BY min((doc_id, k))) AS id
+        FROM worded WHERE len(s) > 0 GROUP BY s),
+      listed AS (SELECT id, n, unnest(s) AS token FROM sets),
+      counted AS (SELECT token, count(*) AS c FROM listed GROUP BY token),
+      ranked AS (SELECT id, n, l.token, row_number() OVER (PARTITION BY id ORDER BY c, l.token) AS pos
+        FROM listed l JOIN counted c ON l.token = c.token),
+      posted AS (SELECT * FROM ranked WHERE pos <= n - ({how.percent} * n + 99) // 100 + 1),
+      met AS (SELECT DISTINCT a.id AS later, b.id AS earlier FROM posted a JOIN posted b ON a.token = b.token AND a.id > b.id
+        WHERE 100 * least(a.n, b.n) >= {how.percent} * greatest(a.n, b.n)),
+      shared AS (SELECT later, x.n AS n, y.n AS m, len(list_intersect(x.s, y.s)) AS k
+        FROM met JOIN sets x ON x.id = later JOIN sets y ON y.id = earlier),
+      alike AS (SELECT DISTINCT later FROM shared WHERE 100 * k >= {how.percent} * (n + m - k)),
+      gone AS (SELECT w.doc_id, w.k FROM worded w JOIN sets ON sets.s = w.s
+        WHERE (w.doc_id, w.k) > sets.place OR sets.id IN (SELECT later FROM alike)),
+      marked AS (SELECT l.*, g.k IS NOT NULL AS removed FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.k = g.k),
+      sums AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE removed) AS n_removed,
+        coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT removed), '') AS kept FROM marked GROUP BY doc_id)
+      SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+        sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN sums ON sums.doc_id = d.doc_id"""
+
+
 def _substrings() -> str:
     return f"""WITH {WORDS},
       windows AS (SELECT doc_id, unnest(range(1, len(words) - {WINDOW - 2})) AS i, words FROM w WHERE len(words) >= {WINDOW}),
@@ -69,15 +99,13 @@ def _quality() -> str:
     shift = "(length(bin(v)) - 6)"
     fences, tests = [], []
     for f in FEATURES:
-        spread = f"{rules.reach} * greatest(high - low, {f.least})"
+        spread = f"{rules.reach} * greatest(high - low, {f.least}) * (in_lang + {rules.few}) // in_lang"
         low = f"low - {spread}" if f.both_sides else "0"
         fences.append(
             f"max(CASE WHEN feature = '{f.name}' THEN {low} END) AS {f.name}_from, "
             f"max(CASE WHEN feature = '{f.name}' THEN high + {spread} END) AS {f.name}_to"
         )
-        chosen = [f"CASE WHEN a.total >= {rules.min_group} THEN a.{f.name}_{e} WHEN b.total >= {rules.min_group} "
-                  f"THEN b.{f.name}_{e} ELSE c.{f.name}_{e} END" for e in ("from", "to")]
-        tests.append(f"coalesce({value(f)} BETWEEN {chosen[0]} AND {chosen[1]}, TRUE)")
+        tests.append(f"coalesce({value(f)} BETWEEN a.{f.name}_from AND a.{f.name}_to, TRUE)")
     return f"""WITH {WORDS},
       listed AS (SELECT doc_id, len(words) AS n, unnest(range(1, greatest(len(words) - 6, 1))) AS i, words FROM w),
       named AS (SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS h FROM listed WHERE i <= n - 7),
@@ -100,23 +128,24 @@ def _quality() -> str:
       features AS ({features}),
       binned AS (SELECT lang, source, feature, CASE WHEN v < 64 THEN v ELSE {shift} * 32 + (v >> {shift}) END AS bin
         FROM features),
-      sketch AS (SELECT 0 AS level, lang, source, feature, bin, count(*) AS n FROM binned GROUP BY ALL
-        UNION ALL SELECT 1, lang, NULL, feature, bin, count(*) FROM binned GROUP BY ALL
-        UNION ALL SELECT 3, NULL, NULL, feature, bin, count(*) FROM binned GROUP BY ALL),
-      ranked AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, feature ORDER BY bin) AS upto,
-        sum(n) OVER (PARTITION BY level, lang, source, feature) AS total,
-        CASE WHEN bin < 64 THEN bin ELSE (bin - (bin // 32 - 1) * 32) << (bin // 32 - 1) END AS least FROM sketch),
-      quartiles AS (SELECT level, lang, source, feature, max(total) AS total,
-        min(CASE WHEN 4 * upto >= total THEN least END) AS low,
-        min(CASE WHEN 4 * upto >= 3 * total THEN least END) AS high FROM ranked GROUP BY level, lang, source, feature),
-      fences AS (SELECT level, lang, source, max(total) AS total, {", ".join(fences)}
-        FROM quartiles GROUP BY level, lang, source)
+      sketch AS (SELECT lang, source, feature, bin, count(*) AS n FROM binned GROUP BY ALL),
+      langs AS (SELECT lang, feature, bin, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang, feature) AS in_lang
+        FROM sketch GROUP BY lang, feature, bin),
+      groups AS (SELECT DISTINCT lang, source, feature FROM sketch),
+      lent AS (SELECT g.lang, g.source, g.feature, l.bin, in_lang, {rules.parent} * l.n + coalesce(s.n, 0) * in_lang AS n
+        FROM groups g JOIN langs l ON l.lang IS NOT DISTINCT FROM g.lang AND l.feature = g.feature
+        LEFT JOIN sketch s ON s.lang IS NOT DISTINCT FROM g.lang AND s.source IS NOT DISTINCT FROM g.source
+          AND s.feature = g.feature AND s.bin = l.bin),
+      ranked AS (SELECT *, sum(n) OVER (PARTITION BY lang, source, feature ORDER BY bin) AS upto,
+        sum(n) OVER (PARTITION BY lang, source, feature) AS total,
+        CASE WHEN bin < 64 THEN bin ELSE (bin - (bin // 32 - 1) * 32) << (bin // 32 - 1) END AS least FROM lent),
+      drawn AS (SELECT lang, source, feature, max(in_lang) AS in_lang, min(CASE WHEN 4 * upto >= total THEN least END) AS low,
+        min(CASE WHEN 4 * upto >= 3 * total THEN least END) AS high FROM ranked GROUP BY lang, source, feature),
+      fences AS (SELECT lang, source, {", ".join(fences)} FROM drawn GROUP BY lang, source)
       SELECT j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
         NOT base_failed AND {" AND ".join(tests)} AS kept
       FROM judged j
-      LEFT JOIN fences a ON a.level = 0 AND a.lang IS NOT DISTINCT FROM j.lang AND a.source IS NOT DISTINCT FROM j.source
-      LEFT JOIN fences b ON b.level = 1 AND b.lang IS NOT DISTINCT FROM j.lang
-      LEFT JOIN fences c ON c.level = 3"""
+      LEFT JOIN fences a ON a.lang IS NOT DISTINCT FROM j.lang AND a.source IS NOT DISTINCT FROM j.source"""
 
 
 def _chat() -> str:
@@ -194,6 +223,7 @@ def _divergence() -> str:
 SQL: dict[str, str] = {
     "op12_divergence": _divergence(),
     "op3_secrets": _secrets(),
+    "op4_lines": _lines(),
     "op5_substrings": _substrings(),
     "op6_quality": _quality(),
     "op7_chat": _chat(),

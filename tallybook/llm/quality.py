@@ -5,9 +5,11 @@ twice in a row and repeated 8-word windows, and from them features: shares
 in thousandths, and the mean word length in hundredths of a character. The sketch of a feature counts documents by bin;
 a bin is exact below 64 and holds a 32nd of a power of two above, so it is an integer histogram: sketches merge by
 adding counts, give the same result in any order, and have a bound on their size that no corpus changes. Sketches of
-(lang, source) are merged to sketches of lang and of everything; a group with few documents uses the next wider one.
-A document is rejected if a feature lies outside its group's fence, the quartiles widened by `reach` times their
-distance (or a least distance, so that a group of equal values rejects nothing near them).
+(lang, source) are merged to sketches of lang, and each of them with `parent` more documents that are spread like its
+language's, so small groups follow their language and large ones themselves, without a step between. A
+document is rejected if a feature lies outside its group's fence, the quartiles widened by `reach` times their distance
+(or a least distance, so that a group of equal values rejects nothing near them), and by more where the language has few
+documents to tell from. No document is held against another language.
 
 Defined results: null text is empty (0 words, rejected by the base rules); null lang or source are groups of their own;
 repeated rows are judged each; an empty table gives an empty table; other columns, whatever their names, stay as they are.
@@ -60,8 +62,10 @@ class Rules:
     features: tuple[Feature, ...] = FEATURES
     #: Fence: quartile -+ reach * (upper quartile - lower quartile).
     reach: int = 3
-    #: Groups of fewer documents use the sketch of their language, or of everything.
-    min_group: int = 100
+    #: Documents that a language's quartiles count as in each of its groups.
+    parent: int = 100
+    #: A fence is wider by the share of so many documents in those of the language.
+    few: int = 20
     #: Fixed base rules.
     min_words: int = 20
     max_repeat_percent: int = 30
@@ -99,14 +103,14 @@ def _counts(text: bytes, hashes: np.ndarray) -> tuple[int, ...]:
 
 
 def _measure(batch: pa.RecordBatch) -> dict[str, object]:
-    texts = as_bytes(batch.column("text"))
+    texts = as_bytes(batch.column("doc").field("text"))
     rows = [_counts(t, h) for t, h in zip(texts, words_of(texts), strict=True)]
     return {k: pa.array([r[i] for r in rows], pa.int64()) for i, k in enumerate(COUNTS)}
 
 
 def measure(docs: DataFrame) -> DataFrame:
     """docs -> `doc` (the whole row as a struct) and its counts."""
-    rows = docs.select(F.struct("*").alias("doc"), "text")
+    rows = docs.select(F.struct("*").alias("doc"))
     return with_results(rows, "doc", dict.fromkeys(COUNTS, T.LongType()), _measure)
 
 
@@ -143,35 +147,42 @@ def sketches(measured: DataFrame, rules: Rules) -> DataFrame:
     return good.groupBy("lang", "source", "feature", "bin").agg(F.count("*").alias("n"))
 
 
-def merged(sketch: DataFrame) -> DataFrame:
-    """The sketches, those merged over sources (level 1) and that of everything (level 3)."""
-    sets = [["lang", "source", "feature", "bin"], ["lang", "feature", "bin"], ["feature", "bin"]]
-    keys = ("lang", "source", "feature", "bin")
-    level = F.call_function("shiftright", F.grouping_id(*keys), F.lit(2)).alias("level")
-    return sketch.groupingSets(sets, *keys).agg(F.sum("n").alias("n"), level)
+def pooled(sketch: DataFrame, rules: Rules) -> DataFrame:
+    """lang, source, feature, bin, weight, in_lang: each group's sketch merged with `parent` documents like its language's."""
+    of_lang = ["lang", "feature"]
+    whole = sketch.groupBy(*of_lang, "bin").agg(F.sum("n").alias("n"))
+    whole = whole.withColumn("in_lang", F.sum("n").over(Window.partitionBy(*of_lang)))
+    whole = whole.select(*(F.col(c).alias(f"of_{c}") for c in whole.columns))
+    same = F.col("lang").eqNullSafe(F.col("of_lang")) & (F.col("feature") == F.col("of_feature"))
+    exact = "decimal(38,0)"
+    columns = ["lang", "source", "feature", "bin", F.col("of_in_lang").alias("in_lang")]
+    sizes = whole.select("of_lang", "of_feature", "of_in_lang").distinct()
+    own = sketch.join(sizes, same).select(*columns, (F.col("n").cast(exact) * F.col("of_in_lang")).cast(exact).alias("weight"))
+    groups = sketch.select("lang", "source", "feature").distinct().join(whole, same).withColumn("bin", F.col("of_bin"))
+    lent = groups.select(*columns, (F.col("of_n").cast(exact) * rules.parent).cast(exact).alias("weight"))
+    keys = ("lang", "source", "feature", "bin", "in_lang")
+    return own.unionByName(lent).groupBy(*keys).agg(F.sum("weight").alias("weight"))
 
 
 def thresholds(sketch: DataFrame, rules: Rules) -> DataFrame:
-    """level, lang, source, total (documents), and the lowest and highest accepted value of each feature."""
-    group = ("level", "lang", "source")
-    of_group = Window.partitionBy(*group, "feature")
-    ranked = merged(sketch).select(
-        *group,
-        "feature",
-        "bin",
-        F.sum("n").over(of_group).alias("total"),
-        F.sum("n").over(of_group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
+    """lang, source, and the lowest and highest accepted value of each feature."""
+    of_group = Window.partitionBy("lang", "source", "feature")
+    ranked = pooled(sketch, rules).withColumns(
+        {
+            "total": F.sum("weight").over(of_group),
+            "upto": F.sum("weight").over(of_group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)),
+        }
     )
 
     def quartile(k: int) -> Column:
         return F.min(F.when(4 * F.col("upto") >= k * F.col("total"), lowest_of(F.col("bin"))))
 
-    quartiles = ranked.groupBy(*group, "feature").agg(
-        F.max("total").alias("total"), quartile(1).alias("low"), quartile(3).alias("high")
+    both = ranked.groupBy("lang", "source", "feature").agg(
+        F.max("in_lang").alias("in_lang"), quartile(1).alias("low"), quartile(3).alias("high")
     )
 
     def fence(f: Feature) -> list[Column]:
-        spread = F.greatest(F.col("high") - F.col("low"), F.lit(f.least)) * rules.reach
+        spread = F.expr(f"{rules.reach} * greatest(high - low, {f.least}) * (in_lang + {rules.few}) div in_lang")
         chosen = F.col("feature") == f.name
         least = F.col("low") - spread if f.both_sides else F.lit(0)
         return [
@@ -179,32 +190,25 @@ def thresholds(sketch: DataFrame, rules: Rules) -> DataFrame:
             F.max(F.when(chosen, F.col("high") + spread)).alias(f"{f.name}_to"),
         ]
 
-    return quartiles.groupBy(*group).agg(F.max("total").alias("total"), *(c for f in rules.features for c in fence(f)))
+    return both.groupBy("lang", "source").agg(*(c for f in rules.features for c in fence(f)))
 
 
 def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """docs (text, lang, source and others) -> `doc`, the counts, base_failed, kept and the fences that held."""
     measured = measure(docs)
     limits = thresholds(stored(sketches(measured, rules), "sketches"), rules)
-    fence = F.struct(*limits.columns[3:])
-
-    def level(number: int, keys: list[str], name: str) -> DataFrame:
-        own = limits.filter((F.col("level") == number) & (F.col("total") >= rules.min_group))
-        return own.select(*(F.col(k).alias(f"{name}_{k}") for k in keys), fence.alias(name))
-
+    limits = limits.select(
+        F.col("lang").alias("of_lang"), F.col("source").alias("of_source"), F.struct(*limits.columns[2:]).alias("fence")
+    )
     lang, source = F.col("doc.lang"), F.col("doc.source")
-    both, by_lang = level(0, ["lang", "source"], "both"), level(1, ["lang"], "by_lang")
     joined = measured.join(
-        both, lang.eqNullSafe(F.col("both_lang")) & source.eqNullSafe(F.col("both_source")), "left"
-    ).join(by_lang, lang.eqNullSafe(F.col("by_lang_lang")), "left")
-    overall = limits.filter(F.col("level") == 3).select(fence).scalar()
+        limits, lang.eqNullSafe(F.col("of_lang")) & source.eqNullSafe(F.col("of_source")), "left"
+    )
     inside = F.lit(True)
     for f in rules.features:
         value = _feature(f)
         inside &= value.between(F.col(f"fence.{f.name}_from"), F.col(f"fence.{f.name}_to"))
-    verdict = joined.select(
-        "doc", *COUNTS, base_failed(rules).alias("base_failed"), F.coalesce("both", "by_lang", overall).alias("fence")
-    )
+    verdict = joined.select("doc", *COUNTS, base_failed(rules).alias("base_failed"), "fence")
     return verdict.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
 
 

@@ -265,6 +265,20 @@ def test_thresholds_follow_the_corpus(spark):
     assert sum(not v for v in kept.values()) == 1
 
 
+@pytest.mark.parametrize("count", [1, 5, 30, 99, 100])
+def test_a_rare_language_is_judged_by_itself(spark, count):
+    """Clean documents with longer words than the corpus has stay, however few; junk among them goes."""
+    rng = random.Random(count)
+    text = lambda k: " ".join("".join(rng.choices("abcdefgh", k=rng.randrange(k, k + 3))) for _ in range(60))
+    rows = [(k, text(4), "en", "a", 0) for k in range(300)]
+    rows += [(1000 + k, text(11), "fi", f"s{k % 7}", 0) for k in range(count)]
+    if count >= 30:
+        rows.append((5000, " ".join(["x#$"] * 3 + list("abcdefgh") * 8) + text(1), "fi", "s1", 0))
+    kept = {r["doc"]["doc_id"]: r["kept"] for r in quality.judge(frame(spark, rows)).collect()}
+    assert all(kept[i] for i in kept if i < 5000)
+    assert 5000 not in kept or not kept[5000]
+
+
 def test_sketches_merge_and_bound_their_error(spark):
     values = spark.range(0, 100_000).select(F.col("id").alias("v"))
     bins = values.select("v", quality.bin_of(F.col("v")).alias("bin")).withColumn("low", quality.lowest_of(F.col("bin")))
