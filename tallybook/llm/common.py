@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -95,10 +96,14 @@ def with_results(
 
 
 def parts(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """Smaller batches, so that texts taken apart fit into little memory."""
+    """Smaller batches, so that texts taken apart fit into little memory; what is free again goes back to the system."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:

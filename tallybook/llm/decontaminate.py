@@ -175,7 +175,7 @@ def _with_matches(rows: DataFrame, block: list[tuple[int, str]], budget: Budget)
     def work(batch: pa.RecordBatch) -> dict[str, object]:
         if not matcher:
             matcher.append(Matcher(shared.value, budget))
-        found = [matcher[0].matches(compared(x.as_py())) for x in batch.column("text")]
+        found = [matcher[0].matches(compared(x.as_py())) for x in batch.column("doc").field("doc").field("text")]
         return {"matches": pa.array(found, arrow)}
 
     return with_results(rows, "doc", {"matches": kind}, work)
@@ -185,8 +185,7 @@ def matched(docs: DataFrame, items: DataFrame, budget: Budget = Budget()) -> Dat
     """docs (text and others) -> `doc` (the whole row) and `matches`, the best occurrence of each item met."""
     out = docs.select(F.struct("*").alias("doc"), F.array().cast(MATCH).alias("matches"))
     for block in _blocks(items, budget):
-        own = out.select(F.struct("doc", "matches").alias("doc"), F.col("doc.text").alias("text"))
-        own = _with_matches(own, block, budget)
+        own = _with_matches(out.select(F.struct("doc", "matches").alias("doc")), block, budget)
         out = own.select("doc.doc", F.concat("doc.matches", "matches").alias("matches"))
     return out
 

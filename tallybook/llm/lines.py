@@ -549,7 +549,7 @@ def deduped(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
         F.xxhash64(text).alias("th"),
     )
     own = (F.col("ord") == F.col("own_ord")) & (F.col("th") == F.col("own_th"))
-    rows = rows.join(checked_small(gone, SMALL_ROWS, "lines"), own, "left").withColumn("text", F.col("doc.text"))
+    rows = rows.join(checked_small(gone, SMALL_ROWS, "lines"), own, "left")
     kinds = {
         "n_lines": T.LongType(),
         "n_removed": T.LongType(),
@@ -558,7 +558,8 @@ def deduped(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
         counts, removed, kept = [], [], []
-        for text, numbers in zip(as_bytes(batch.column("text")), batch.column("lines").to_pylist(), strict=True):
+        texts = as_bytes(batch.column("doc").field("text"))
+        for text, numbers in zip(texts, batch.column("lines").to_pylist(), strict=True):
             lines, drop = text.split(b"\n") if text else [], set(numbers or ())
             left = [line for k, line in enumerate(lines) if k not in drop]
             counts.append(len(lines))
@@ -570,7 +571,7 @@ def deduped(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
             "kept_text": pa.array(kept, pa.string()),
         }
 
-    return with_results(rows.select("doc", "text", "lines"), "doc", kinds, work)
+    return with_results(rows.select("doc", "lines"), "doc", kinds, work)
 
 
 def without_repeats(docs: DataFrame, how: Similar = Similar()) -> DataFrame:

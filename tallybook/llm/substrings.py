@@ -231,7 +231,8 @@ def parsed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
         parses, counts, removed, kept = [], [], [], []
-        for text, found in zip(as_bytes(batch.column("text")), batch.column("found").to_pylist(), strict=True):
+        texts = as_bytes(batch.column("doc").field("text"))
+        for text, found in zip(texts, batch.column("found").to_pylist(), strict=True):
             words = text.split()
             spans = factors([(f["at"], f["windows"], f["ref"]) for f in found or ()], window)
             left, upto = [], 0
@@ -250,4 +251,4 @@ def parsed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame
             "kept_text": pa.array(kept, pa.string()),
         }
 
-    return with_results(rows.select("doc", F.col("doc.text").alias("text"), "found"), "doc", kinds, work)
+    return with_results(rows.select("doc", "found"), "doc", kinds, work)
