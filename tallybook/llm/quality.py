@@ -26,11 +26,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.llm.common import as_bytes, stored, with_results
+from tallybook.llm.common import as_bytes, checked_small, stored, with_results
 from tallybook.llm.hashes import runs, words_of
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
+#: The fences of up to so many groups are sent to every task; beyond it the join shuffles.
+SMALL_GROUPS = 200_000
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_echoes")
 
 
@@ -202,7 +204,7 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     )
     lang, source = F.col("doc.lang"), F.col("doc.source")
     joined = measured.join(
-        limits, lang.eqNullSafe(F.col("of_lang")) & source.eqNullSafe(F.col("of_source")), "left"
+        checked_small(limits, SMALL_GROUPS), lang.eqNullSafe(F.col("of_lang")) & source.eqNullSafe(F.col("of_source")), "left"
     )
     inside = F.lit(True)
     for f in rules.features:
