@@ -92,11 +92,12 @@ def explode_batches(df: DataFrame, items: str = "items") -> DataFrame:
     return rows.select(*rest, "pos", "item.*")
 
 
-def to_log_records(rows: DataFrame, received_at: str = "created_at") -> DataFrame:
-    """Postings -> log records keyed by the account's 16 bytes, timed by their receipt."""
+def to_log_records(rows: DataFrame, received_at: str = "created_at", more: tuple[str, ...] = ()) -> DataFrame:
+    """Postings -> log records keyed by the account's 16 bytes, timed by their receipt; `more` columns stay."""
     return rows.select(
         uuid_to_bytes(F.col("account_id")).alias("key"),
         encode_posting(F.col("id"), F.col("account_id"), F.col("amount")).alias("value"),
         F.col(received_at).alias("timestamp"),
         F.lit(TOPIC).alias("topic"),
+        *more,
     )

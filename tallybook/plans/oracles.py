@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tallybook.plans.registry import ASKED, NEVER, ROWS_PER_REQUEST, SMALL_BATCH, SMALL_BODY, WIDE
 from tallybook.plans.views import COPY_STEP, FIRST_COMMIT, HALF, ORPHAN_STEP, REQUEST_ROWS, SEEDED
+from tallybook.sources.log_writer import MULTIPLIER, SEED
 from tallybook.schemas import EARLIEST, NO_OFFSET, PARTITIONS, REQUEST_BOUNDS, STAGE_BOUNDS, TOPIC
 
 
@@ -36,6 +37,9 @@ deliveries AS (SELECT id, account_id, amount + CASE WHEN copy = 2 THEN 1 ELSE 0
   FROM copies)"""
 FIRSTS = """firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY partition_id, log_offset)
   AS rn FROM deliveries) WHERE rn = 1)"""
+# What appending batch after batch keeps.
+APPENDED = """appended AS (SELECT * REPLACE (CAST(batch_id AS BIGINT) AS batch_id) FROM (SELECT *, row_number() OVER (PARTITION BY id
+  ORDER BY batch_id, partition_id, log_offset) AS rn FROM deliveries) WHERE rn = 1)"""
 # What a stream keeps: damaged originals go to quarantine, so a later copy may be the first good one.
 GOOD = f"""good AS (SELECT * FROM deliveries WHERE NOT (id % 101 = 7 AND log_offset < {COPY_STEP})),
 kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY batch_id, partition_id, log_offset)
@@ -116,7 +120,39 @@ _UUID_ACCOUNTS = f"(SELECT {_uuid('a', 'id')} AS id, balance, created_at FROM ac
 _STAGES = ", ".join(f"('{b:g}', {round(b * 1_000_000)})" for b in STAGE_BOUNDS)
 _BOUNDS = ", ".join(f"('{b:g}', {round(b * 1_000_000)})" for b in REQUEST_BOUNDS)
 
+
+
+def _murmur2(table: str) -> str:
+    """CTEs from `table` (h: hex of 16 bytes) to `hashed` (hash): one step per column."""
+    low, times, steps = 4294967295, MULTIPLIER, []
+    words = ", ".join(
+        f"CAST('0x'||substr(h,{8 * i + 7},2)||substr(h,{8 * i + 5},2)||substr(h,{8 * i + 3},2)||substr(h,{8 * i + 1},2) AS BIGINT) AS w{i}"
+        for i in range(4)
+    )
+    steps.append(f"words AS (SELECT *, {words} FROM {table})")
+    steps.append("once AS (SELECT *, " + ", ".join(f"(w{i} * {times}) & {low} AS a{i}" for i in range(4)) + " FROM words)")
+    steps.append("twice AS (SELECT *, " + ", ".join(f"(xor(a{i}, a{i} >> 24) * {times}) & {low} AS b{i}" for i in range(4)) + " FROM once)")
+    steps.append(f"m0 AS (SELECT *, xor(({SEED ^ 16}::BIGINT * {times}) & {low}, b0) AS s0 FROM twice)")
+    for i in (1, 2, 3):
+        steps.append(f"m{i} AS (SELECT *, xor((s{i - 1} * {times}) & {low}, b{i}) AS s{i} FROM m{i - 1})")
+    steps.append(f"last_but AS (SELECT *, (xor(s3, s3 >> 13) * {times}) & {low} AS s4 FROM m3)")
+    steps.append("hashed AS (SELECT *, xor(s4, s4 >> 15) AS hash FROM last_but)")
+    return ", ".join(steps)
+
+
 SQL: dict[str, str] = {
+    "keyed_log": f"""WITH {DELIVERIES}, keyed AS (SELECT *, md5('a'||CAST(account_id AS VARCHAR)) AS h,
+          md5('t'||CAST(id AS VARCHAR)) AS t, amount AS cents, batch_id >= 2 AS later FROM deliveries), {_murmur2('keyed')},
+        routed AS (SELECT *, CAST((hash & 2147483647) % {PARTITIONS} AS INTEGER) AS part FROM hashed)
+        SELECT h AS key_hex, '0a10'||t||'1210'||h||CASE WHEN cents = 0 THEN '' ELSE '18'||{_varint_hex('cents')} END AS value_hex,
+          part AS partition, row_number() OVER (PARTITION BY part ORDER BY later, log_offset) - 1 AS offset,
+          created_at AS timestamp FROM routed""",
+    "running_balances": f"""WITH {ACCOUNTS}, {TRANSACTIONS},
+        net AS (SELECT account_id, sum(amount) AS net_change, count(*) AS n FROM transactions GROUP BY account_id)
+        SELECT id, CAST(balance + coalesce(net_change, 0) AS BIGINT) AS balance, coalesce(n, 0) AS postings
+        FROM accounts LEFT JOIN net ON id = account_id""",
+    "remembered_ids": f"""WITH {DELIVERIES}, {GOOD} SELECT partition_id, count(*) AS passed, count(DISTINCT id) AS remembered,
+        CAST(sum(amount) AS BIGINT) AS amount FROM kept GROUP BY partition_id""",
     "net_change": f"""WITH {TRANSACTIONS}
         SELECT account_id, CAST(sum(amount) AS BIGINT) AS net_change FROM transactions GROUP BY account_id""",
     "balance_fold": f"""WITH {ACCOUNTS}, {TRANSACTIONS},
@@ -126,13 +162,15 @@ SQL: dict[str, str] = {
     "dedupe_first": f"WITH {DELIVERIES}, {FIRSTS} SELECT {_PLACED} FROM firsts",
     "ledger_merge": f"""WITH {DELIVERIES}, {FIRSTS} SELECT {_PLACED} FROM firsts f
         WHERE NOT EXISTS (SELECT 1 FROM deliveries d WHERE d.batch_id = 0 AND d.id = f.id)""",
-    "ledger_append": f"""WITH {DELIVERIES}, firsts AS (SELECT *, row_number() OVER (PARTITION BY id
-        ORDER BY batch_id, partition_id, log_offset) AS rn FROM deliveries)
-        SELECT {_PLACED} FROM firsts WHERE rn = 1""",
-    "clear_table": "SELECT 'ledger' AS \"table\", 0::BIGINT AS n UNION ALL SELECT 'accounts', count(*) FROM customer",
-    "external_tables": f"""WITH {DELIVERIES} SELECT id, account_id, amount, 0::BIGINT AS run_id, 0::BIGINT AS batch_id
-        FROM deliveries WHERE batch_id = 0""",
-    "receipt_time": f"WITH {DELIVERIES} SELECT id, TRUE AS received_after FROM deliveries WHERE batch_id = 0",
+    "ledger_append": f"WITH {DELIVERIES}, {APPENDED} SELECT {_PLACED} FROM appended",
+    "clear_table": f"""WITH {DELIVERIES}, {APPENDED}
+        SELECT 'ledger before' AS "table", batch_id, count(*) AS n FROM appended GROUP BY batch_id
+        UNION ALL SELECT 'ledger', NULL::BIGINT, 0 UNION ALL SELECT 'accounts', NULL::BIGINT, count(*) FROM customer""",
+    "external_tables": f"""WITH {DELIVERIES}, {APPENDED}
+        SELECT id, account_id, amount, 0::BIGINT AS run_id, batch_id FROM appended""",
+    "receipt_time": f"""WITH {DELIVERIES}, {APPENDED},
+        timed AS (SELECT *, TIMESTAMP '{FIRST_COMMIT}' + CAST(batch_id AS INTEGER) * INTERVAL 1 DAY AS committed_at FROM appended)
+        SELECT id, batch_id, committed_at, epoch_us(committed_at) - epoch_us(created_at) AS waited_us FROM timed""",
     "history_archive": f"""WITH {DELIVERIES}, {FIRSTS} SELECT {_POSTING} FROM firsts f
         WHERE NOT EXISTS (SELECT 1 FROM deliveries d WHERE d.batch_id = 0 AND d.id = f.id)""",
     "orphan_transactions": f"""WITH {ACCOUNTS}, {DELIVERIES}, {FIRSTS}

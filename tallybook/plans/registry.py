@@ -25,14 +25,15 @@ from tallybook.operators import (
     unions,
 )
 from tallybook.plans import views
-from tallybook.schemas import REQUEST_BOUNDS, STAGE_BOUNDS, posting_schema
+from tallybook.schemas import LOG_RECORD, REQUEST_BOUNDS, STAGE_BOUNDS, posting_schema
 from tallybook.session import work_dir
-from tallybook.sources import account_ids, log, tables
+from tallybook.sources import account_ids, log, log_writer, tables
 from tallybook.streaming.bounded import drop_recent_duplicates
 from tallybook.streaming.fold import fold_once, start_fold
 from tallybook.streaming.ingest import append_postings, commit_batch, start_ingest
 from tallybook.streaming.opening import open_accounts as add_accounts
 from tallybook.streaming.opening import seed_book
+from tallybook.streaming import running
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,13 +74,16 @@ def account_ids_csv(spark: SparkSession, sf: str) -> DataFrame:
     return account_ids.read_account_ids(spark, path)
 
 
+def _write_part(spark: SparkSession, sf: str, path: str, batch: int) -> None:
+    part = views.log_records(spark, sf).filter(F.col("batch_id") == batch).drop("batch_id")
+    part.write.parquet(f"{path}/part={batch}")
+
+
 def _write_log(spark: SparkSession, sf: str) -> str:
     """The log as Parquet files, its batches written one after another: files are read in age order."""
     path = work_dir(spark, "log")
-    records = views.log_records(spark, sf)
     for batch in range(4):
-        part = records.filter(F.col("batch_id") == batch).drop("batch_id")
-        part.write.parquet(f"{path}/part={batch}")
+        _write_part(spark, sf, path, batch)
     return path
 
 
@@ -96,6 +100,20 @@ def log_source(spark: SparkSession, sf: str) -> DataFrame:
     return _placed(spark.read.schema(rows.schema).parquet(f"{out}/rows"))
 
 
+def keyed_log(spark: SparkSession, sf: str) -> DataFrame:
+    """All deliveries published to a log, the originals first, then the copies behind them: what the log holds."""
+    rows = views.as_uuids(views.deliveries(spark, sf).withColumn("arrival", F.col("log_offset")))
+    records = admission.to_log_records(rows, more=("arrival", "batch_id"))
+    path = work_dir(spark, "keyed_log")
+    first, again = records.filter("batch_id < 2"), records.filter("batch_id >= 2")
+    log_writer.append_log(first, path, ("arrival",))
+    held = log_writer.last_offsets(spark.read.schema(LOG_RECORD).parquet(path))
+    log_writer.append_log(again, path, ("arrival",), last=held)
+    written = spark.read.schema(LOG_RECORD).parquet(path)
+    names = {k: F.lower(F.hex(k)).alias(f"{k}_hex") for k in ("key", "value")}
+    return views.plain(written.select(*names.values(), "partition", "offset", "timestamp"))
+
+
 # ---- sinks and tables ----
 
 
@@ -110,33 +128,41 @@ def ledger_append(spark: SparkSession, sf: str) -> DataFrame:
     return _placed(tables.read_ledger(spark, book))
 
 
-def _append(spark: SparkSession, book: tables.Book, rows: DataFrame, batch: int) -> None:
+def _append(spark: SparkSession, book: tables.Book, rows: DataFrame, batch: int, now: Column | None = None) -> None:
     part = rows.filter(F.col("batch_id") == batch).drop("batch_id")
-    append_postings(spark, book, part, (0, batch))
-    commit_batch(book, offsets.batch_offsets(part), (0, batch))
+    append_postings(spark, book, part, (0, batch), now=now)
+    commit_batch(book, offsets.batch_offsets(part), (0, batch), now)
 
 
-def _small_book(spark: SparkSession, sf: str, name: str) -> tables.Book:
-    """A seeded book with the first batch of the log, which holds no id twice."""
+def _whole_book(spark: SparkSession, sf: str, name: str) -> tables.Book:
+    """A seeded book with the whole log; batch n is received n days after the first."""
     book = tables.Book(work_dir(spark, name), key="bigint", buckets=16)
     tables.init_tables(spark, book)
     seed_book(spark, book, views.accounts(spark, sf))
-    _append(spark, book, views.deliveries(spark, sf), 0)
+    rows = views.deliveries(spark, sf).persist()
+    for batch in range(4):
+        _append(spark, book, rows, batch, views.commit_time(F.lit(batch)))
+    rows.unpersist()
     return book
 
 
 def clear_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The ledger emptied under a book: the number of rows of the ledger, and of the accounts, which stay."""
-    book = _small_book(spark, sf, "clear_table")
+    """The ledger emptied under a book: rows per batch before, and of ledger and accounts, which stay, afterwards."""
+    book = _whole_book(spark, sf, "clear_table")
+    before = tables.read_ledger(spark, book).groupBy("batch_id").agg(F.count("*").alias("n"))
+    out = work_dir(spark, "cleared")
+    before.select(F.lit("ledger before").alias("table"), "batch_id", "n").write.parquet(out)  # counted while there
     tables.truncate_table(spark, book, "ledger")
     left = {"ledger": tables.read_ledger(spark, book), "accounts": tables.read_accounts(spark, book)}
-    counts = [df.agg(F.lit(name).alias("table"), F.count("*").alias("n")) for name, df in left.items()]
-    return unions.union_tables(counts)
+    none = F.lit(None).cast("bigint").alias("batch_id")
+    counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), none, "n") for name, df in left.items()]
+    held = spark.read.schema("table STRING, batch_id BIGINT, n BIGINT").parquet(out)
+    return unions.union_tables([held, *counts])
 
 
 def external_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Catalog tables over a book's folders, created, queried with SQL and dropped; the folders stay."""
-    book = _small_book(spark, sf, "external_tables")
+    book = _whole_book(spark, sf, "external_tables")
     database = f"book_{uuid.uuid4().hex}"
     tables.create_external_tables(spark, book, database)
     rows = spark.sql(f"SELECT id, account_id, amount, run_id, batch_id FROM {database}.ledger")
@@ -148,9 +174,10 @@ def external_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def receipt_time(spark: SparkSession, sf: str) -> DataFrame:
-    """Every stored posting has the time of its commit, which is not before the one it carries."""
-    ledger = tables.read_ledger(spark, _small_book(spark, sf, "receipt_time"))
-    return ledger.select("id", (F.col("committed_at") >= F.col("created_at")).alias("received_after"))
+    """The stored time of receipt of every posting, and in microseconds since 2000 how long it was on its way."""
+    ledger = tables.read_ledger(spark, _whole_book(spark, sf, "receipt_time"))
+    waited = numbers.to_wire_micros(F.col("committed_at")) - numbers.to_wire_micros(F.col("created_at"))
+    return views.plain(ledger.select("id", "batch_id", "committed_at", waited.alias("waited_us")))
 
 
 def history_archive(spark: SparkSession, sf: str) -> DataFrame:
@@ -479,7 +506,7 @@ def stepwise_fold(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedupe_bounded(spark: SparkSession, sf: str) -> DataFrame:
-    """Built-in duplicate rejection with a memory far shorter than the data; which copy survives is open, ids are not."""
+    """Built-in duplicate rejection; memory runs on the clock of receipt. Which copy survives is open, ids are not."""
     records = log.read_log_files(spark, _write_log(spark, sf), files_per_trigger=FILES_PER_TRIGGER)
     rows = log.good_postings(log.decode_log(records))
     few = drop_recent_duplicates(rows, "3 days")
@@ -490,6 +517,40 @@ def dedupe_bounded(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(few.schema).parquet(f"{out}/rows").select("id", "account_id", "partition_id")
 
 
+def running_balances(spark: SparkSession, sf: str) -> DataFrame:
+    """Transactions streamed over opening balances that are kept as state: what the state holds when all have come."""
+    path = work_dir(spark, "running_balances")
+    rows = views.transactions(spark, sf).select("account_id", "amount")
+    rows.repartition(8).write.parquet(f"{path}/rows")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3).parquet(f"{path}/rows")
+    with running.state_store(spark):
+        moved = running.running_balances(stream, views.accounts(spark, sf))
+        query = moved.writeStream.outputMode("update").foreachBatch(lambda batch, _: batch.foreach(lambda _: None))
+        query = query.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
+        running.stored_balances(spark, f"{path}/checkpoint").write.parquet(f"{path}/state")
+    return spark.read.parquet(f"{path}/state").filter("opened").select("id", "balance", "postings")
+
+
+def remembered_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """The log through a memory of ids, restarted for each part: per partition what passed, and what is remembered."""
+    path = work_dir(spark, "remembered_ids")
+    with running.state_store(spark):
+        for batch in range(4):
+            _write_part(spark, sf, f"{path}/log", batch)
+            rows = log.good_postings(log.decode_log(log.read_log_files(spark, f"{path}/log")))
+            few = running.first_in_memory(rows, 7 * 86_400_000)
+            query = few.writeStream.format("parquet").option("path", f"{path}/rows")
+            # State with a time to live always has another batch to run; one at a time ends.
+            query.option("checkpointLocation", f"{path}/checkpoint").trigger(once=True).start().awaitTermination()
+        running.remembered(spark, f"{path}/checkpoint").write.parquet(f"{path}/state")
+    passed = spark.read.schema(rows.schema).parquet(f"{path}/rows")
+    held = spark.read.parquet(f"{path}/state").select("id", F.lit(1).alias("held"))
+    return passed.join(held, "id", "full").groupBy("partition_id").agg(
+        F.count("account_id").alias("passed"), F.count("held").alias("remembered"), F.sum("amount").alias("amount")
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -545,5 +606,8 @@ QUERIES: dict[str, Query] = {
         stream_fold,
         stepwise_fold,
         dedupe_bounded,
+        keyed_log,
+        running_balances,
+        remembered_ids,
     )
 }

@@ -99,15 +99,17 @@ def uuid_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accounts(spark, sf_dir).withColumn("id", uuid_for("a", F.col("id")))
 
 
+def commit_time(batch: Column) -> Column:
+    """Batch n is committed n days after the first."""
+    return F.timestamp_micros(F.unix_micros(F.lit(FIRST_COMMIT).cast("timestamp")) + batch * F.lit(86_400_000_000))
+
+
 def commits(spark: SparkSession, sf_dir: str, partitions: int = PARTITIONS) -> DataFrame:
-    """Per-batch summary of the log; batch n is committed n days after the first."""
+    """Per-batch summary of the log."""
     grouped = deliveries(spark, sf_dir, partitions).groupBy("partition_id", "batch_id").agg(
         F.max("log_offset").alias("last_offset"), F.count("*").alias("rows_delivered")
     )
-    at = F.timestamp_micros(
-        F.unix_micros(F.lit(FIRST_COMMIT).cast("timestamp")) + F.col("batch_id") * F.lit(86_400_000_000)
-    )
-    return grouped.withColumns({"committed_at": at, "run_id": F.lit(0).cast("bigint")})
+    return grouped.withColumns({"committed_at": commit_time(F.col("batch_id")), "run_id": F.lit(0).cast("bigint")})
 
 
 def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,9 +14,14 @@ from tallybook.sources.tables import Batch, Book, before, is_committed, read_led
 
 
 def append_postings(
-    spark: SparkSession, book: Book, postings: DataFrame, batch: Batch, horizon: str | None = None
+    spark: SparkSession,
+    book: Book,
+    postings: DataFrame,
+    batch: Batch,
+    horizon: str | None = None,
+    now: Column | None = None,
 ) -> None:
-    """Add the postings of one batch the ledger does not hold yet.
+    """Add the postings of one batch the ledger does not hold yet; now is their time of receipt, by default the clock.
 
     horizon, an interval such as '7 days', bounds the search for known ids to ledger rows
     received at most that long before the batch's first row; without it the search is exact
@@ -29,12 +34,14 @@ def append_postings(
         if oldest is not None:
             ledger = ledger.filter(F.col("created_at") >= F.lit(oldest))
     fresh = insert_if_absent(first_arrivals(postings), known_keys(ledger, postings))
-    write_batch(fresh.withColumn("committed_at", F.current_timestamp()), book, "ledger", batch)
+    received = F.current_timestamp() if now is None else now
+    write_batch(fresh.withColumn("committed_at", received), book, "ledger", batch)
 
 
-def commit_batch(book: Book, offsets: DataFrame, batch: Batch) -> None:
+def commit_batch(book: Book, offsets: DataFrame, batch: Batch, now: Column | None = None) -> None:
     """Record the last offset and rows per partition. Makes the batch count."""
-    summary = offsets.withColumn("committed_at", F.current_timestamp())  # one row per log partition
+    received = F.current_timestamp() if now is None else now
+    summary = offsets.withColumn("committed_at", received)  # one row per log partition
     write_batch(summary.coalesce(1), book, "commits", batch)
 
 
