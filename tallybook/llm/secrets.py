@@ -55,6 +55,8 @@ ADDED = (
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("pat", 1, r"gh[pousr]_[A-Za-z0-9]{36,}"),
 )
+#: Matches of a text that are placed together.
+RUN = 512
 LEDGER = "blob binary, rule string, spans array<struct<from: int, to: int>>"
 
 
@@ -69,7 +71,7 @@ def _spans(text: Column, rule: Rule) -> Column:
         F.slice(between, 1, F.size(found)),
         lambda m, b: F.struct(m["size"].alias("size"), m["counted"].alias("counted"), F.length(b).alias("gap")),
     )
-    none = F.from_json(F.lit('{"at": 0, "spans": []}'), "at int, spans array<struct<from: int, to: int>>")
+    none = F.array().cast("array<struct<from: int, to: int>>")
 
     def step(done: Column, m: Column) -> Column:
         start = done["at"] + m["gap"]
@@ -78,8 +80,26 @@ def _spans(text: Column, rule: Rule) -> Column:
         kept = F.when(m["counted"] >= rule.at_least, F.concat(done["spans"], span)).otherwise(done["spans"])
         return F.struct(end.alias("at"), kept.alias("spans"))
 
-    spans = F.aggregate(steps, none, step, lambda done: done["spans"])
-    return F.when(text.rlike(rule.pattern), spans).otherwise(none["spans"])
+    def of_run(at: Column, run: Column) -> Column:
+        return F.aggregate(run, F.struct(at.alias("at"), none.alias("spans")), step, lambda done: done["spans"])
+
+    def all_spans(steps: Column) -> Column:
+        """Runs of matches one by one: arrays that grow are copied at every step, so none grows beyond a run."""
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / RUN)), lambda k: F.slice(steps, k.cast("int") * RUN + 1, RUN))
+
+        def begin(done: Column, run: Column) -> Column:
+            chars = F.aggregate(run, F.lit(0), lambda sum_, m: sum_ + m["gap"] + m["size"])
+            placed = F.array(F.struct(done["at"].alias("at"), run.alias("run")))
+            return F.struct((done["at"] + chars).alias("at"), F.concat(done["runs"], placed).alias("runs"))
+
+        kind = "struct<at: int, runs: array<struct<at: int, run: array<struct<size: int, counted: int, gap: int>>>>>"
+        empty = F.struct(F.lit(0).alias("at"), F.array().alias("runs")).cast(kind)
+        placed = F.aggregate(runs, empty, begin, lambda done: done["runs"])
+        return F.flatten(F.transform(placed, lambda r: of_run(r["at"], r["run"])))
+
+    # Through an array of one, so that the matches are searched once and not for every run.
+    spans = F.transform(F.array(steps), all_spans)[0]
+    return F.when(text.rlike(rule.pattern), spans).otherwise(none)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
