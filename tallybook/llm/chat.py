@@ -13,7 +13,8 @@ in a text, and removing one backslash after each of them gives the text back.
 Turns are formatted where they are; only reading a conversation back puts its turns into one task, in order, and there
 they are streamed, never gathered. Defined results: null text is empty, a null role is the empty role, a null part or a
 null array of parts is nothing, a part of unknown type is text; a null conv_id is a conversation of its own; turns that
-share a number are ordered by role, then text (a null turn comes first); repeated rows are turns of their own; an empty
+share a number are ordered by role, then by their body unescaped, as UTF-8 (null turns and roles come first, a null text
+counts as empty); repeated rows are turns of their own; an empty
 table gives an empty table; extra columns are not read.
 """
 
@@ -199,7 +200,12 @@ def read_back(formatted: DataFrame) -> DataFrame:
         if current:
             yield _digests([current.row()])
 
-    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "formatted")
+    # The role is escaped, so the first mark of a body is the one that ends the head.
+    start = F.locate(BODY, F.col("formatted")) + len(BODY)
+    body = F.substr("formatted", start, F.length("formatted") - len(END) - start + 1)
+    said = F.regexp_replace(body, r"([\\<\[])\\", "$1")
+    dealt = formatted.repartition("conv_id").withColumn("said", said)
+    ordered = dealt.sortWithinPartitions("conv_id", "turn", "role", "said")
     return ordered.select("conv_id", "formatted", "loss_from", "loss_to").mapInArrow(run, DIGEST)
 
 

@@ -155,7 +155,7 @@ def _chat() -> str:
     def escaped(x: str) -> str:
         return rf"(2 * length({x}) - length(replace(replace(replace({x}, '\', ''), '<', ''), '[', '')))"
 
-    order = "ORDER BY turn NULLS FIRST, role NULLS FIRST, text"
+    order = "ORDER BY turn NULLS FIRST, role NULLS FIRST, x"
     return f"""WITH t AS (SELECT conv_id, turn, role, text FROM conversations
         UNION ALL VALUES (-7, 0, 'user', {said}), (-7, 1, 'assistant', {said})),
       e AS (SELECT *, coalesce(role, '') AS r, coalesce(text, '') AS x FROM t)

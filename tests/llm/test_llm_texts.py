@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -237,6 +238,27 @@ def test_secrets_of_awkward_rows(spark, folder):
     assert secrets.findings(docs.limit(0), folder, secrets.BASE).count() == 0
 
 
+def test_very_many_matches_in_one_text(spark):
+    """32,000 matches: the spans are placed in runs, so time grows as the matches do."""
+    rule = secrets.Rule("hex", 1, r"[0-9a-f]+", at_least=3)
+    sizes = [n % 5 + 1 for n in range(32_000)]
+    text = "".join("é" * (n % 3 + 1) + "a" * n for n in sizes)
+    want, at = [], 0
+    for n in sizes:
+        at += n % 3 + 1 + n
+        if n >= 3:
+            want.append((at - n, at))
+    for count in (0, 1, 511, 512, 513, 32_000):
+        part = "".join("é" * (n % 3 + 1) + "a" * n for n in sizes[:count])
+        docs = spark.createDataFrame([(part,)], "text STRING")
+        start = time.time()
+        got = docs.select(secrets._spans(F.col("text"), rule).alias("s")).first()["s"]
+        assert time.time() - start < 10
+        upto = len(part)
+        assert [(s["from"], s["to"]) for s in got] == [w for w in want if w[1] <= upto]
+    assert len(text) == upto
+
+
 # ---- 6 quality ----
 
 
@@ -289,6 +311,17 @@ def test_sketches_merge_and_bound_their_error(spark):
 # ---- 7 chat ----
 
 
+def test_turns_of_one_number_are_ordered_by_what_they_say(spark):
+    """By raw text, whatever escapes and marks make of it."""
+    texts = ["a b", "a", "a<b", "a[b", "a\\b", None, "a\x01", "é", "~", "a~", "<", "[", "\\"]
+    rows = [(1, 0, "user", t) for t in texts] + [(1, 0, None, "z"), (1, None, "user", "first")]
+    turns = spark.createDataFrame(rows, "conv_id BIGINT, turn BIGINT, role STRING, text STRING").repartition(3)
+    out = chat.read_back(chat.format_turns(turns.withColumn("content", chat.text_part(F.col("text"))))).collect()
+    said = [("user", "first"), ("", "z"), *(("user", t) for t in sorted((t or "" for t in texts), key=str.encode))]
+    digest = hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in said).encode()).hexdigest()
+    assert [(r["n_turns"], r["turns_sha256"]) for r in out] == [(len(rows), digest)]
+
+
 @examples(st.text(alphabet="\\<[|>/]sINSTturnbodyed é😀\n", max_size=40))
 @settings(max_examples=300, deadline=None)
 def test_escape_is_reversible(text):
