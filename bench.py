@@ -51,7 +51,7 @@ def seconds(work) -> float:
 
 
 #: A call to the state store per id or account; README has figures.
-UNTIMED = {"remembered_ids", "running_balances"}
+UNTIMED = {"remembered_ids", "running_balances", "log_by_offset"}
 
 
 def query_times(spark: SparkSession) -> dict[str, float]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallybook.plans.registry import ASKED, NEVER, ROWS_PER_REQUEST, SMALL_BATCH, SMALL_BODY, WIDE
+from tallybook.plans.registry import ASKED, NEVER, ROWS_PER_REQUEST, ROWS_PER_TRIGGER, SMALL_BATCH, SMALL_BODY, WIDE
 from tallybook.plans.views import COPY_STEP, FIRST_COMMIT, HALF, ORPHAN_STEP, REQUEST_ROWS, SEEDED
 from tallybook.sources.log_writer import MULTIPLIER, SEED
 from tallybook.schemas import EARLIEST, NO_OFFSET, PARTITIONS, REQUEST_BOUNDS, STAGE_BOUNDS, TOPIC
@@ -147,6 +147,13 @@ SQL: dict[str, str] = {
         SELECT h AS key_hex, '0a10'||t||'1210'||h||CASE WHEN cents = 0 THEN '' ELSE '18'||{_varint_hex('cents')} END AS value_hex,
           part AS partition, row_number() OVER (PARTITION BY part ORDER BY later, log_offset) - 1 AS offset,
           created_at AS timestamp FROM routed""",
+    "log_by_offset": f"""WITH {DELIVERIES}, keyed AS (SELECT *, md5('a'||CAST(account_id AS VARCHAR)) AS h FROM deliveries),
+        {_murmur2('keyed')},
+        routed AS (SELECT *, CAST((hash & 2147483647) % {PARTITIONS} AS INTEGER) AS part FROM hashed),
+        placed AS (SELECT h, part, batch_id, row_number() OVER (PARTITION BY part ORDER BY least(batch_id, 1), log_offset) - 1 AS place,
+          count(*) FILTER (WHERE batch_id = 0) OVER (PARTITION BY part) AS held FROM routed)
+        SELECT h AS key_hex, part AS partition, place AS offset, (place - held) // {ROWS_PER_TRIGGER} AS batch
+        FROM placed WHERE part <= 31 AND batch_id > 0""",
     "running_balances": f"""WITH {ACCOUNTS}, {TRANSACTIONS},
         net AS (SELECT account_id, sum(amount) AS net_change, count(*) AS n FROM transactions GROUP BY account_id)
         SELECT id, CAST(balance + coalesce(net_change, 0) AS BIGINT) AS balance, coalesce(n, 0) AS postings

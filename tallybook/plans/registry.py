@@ -27,7 +27,7 @@ from tallybook.operators import (
 from tallybook.plans import views
 from tallybook.schemas import LOG_RECORD, REQUEST_BOUNDS, STAGE_BOUNDS, posting_schema
 from tallybook.session import work_dir
-from tallybook.sources import account_ids, log, log_writer, tables
+from tallybook.sources import account_ids, log, log_folders, log_writer, tables
 from tallybook.streaming.bounded import drop_recent_duplicates
 from tallybook.streaming.fold import fold_once, start_fold
 from tallybook.streaming.ingest import append_postings, commit_batch, start_ingest
@@ -43,6 +43,7 @@ ROWS_PER_REQUEST = 5000
 SMALL_BODY = 18_000
 SMALL_BATCH = 105
 FILES_PER_TRIGGER = 16
+ROWS_PER_TRIGGER = 50
 # A log wider than usual, and its partition without a commit.
 WIDE = 128
 NEVER = 77
@@ -100,10 +101,14 @@ def log_source(spark: SparkSession, sf: str) -> DataFrame:
     return _placed(spark.read.schema(rows.schema).parquet(f"{out}/rows"))
 
 
+def _keyed_records(spark: SparkSession, sf: str) -> DataFrame:
+    rows = views.as_uuids(views.deliveries(spark, sf).withColumn("arrival", F.col("log_offset")))
+    return admission.to_log_records(rows, more=("arrival", "batch_id"))
+
+
 def keyed_log(spark: SparkSession, sf: str) -> DataFrame:
     """All deliveries published to a log, the originals first, then the copies behind them: what the log holds."""
-    rows = views.as_uuids(views.deliveries(spark, sf).withColumn("arrival", F.col("log_offset")))
-    records = admission.to_log_records(rows, more=("arrival", "batch_id"))
+    records = _keyed_records(spark, sf)
     path = work_dir(spark, "keyed_log")
     first, again = records.filter("batch_id < 2"), records.filter("batch_id >= 2")
     log_writer.append_log(first, path, ("arrival",))
@@ -114,6 +119,28 @@ def keyed_log(spark: SparkSession, sf: str) -> DataFrame:
     return views.plain(written.select(*names.values(), "partition", "offset", "timestamp"))
 
 
+def log_by_offset(spark: SparkSession, sf: str) -> DataFrame:
+    """Partitions 0-31 of a log read on from where its first part ends, and which micro-batch each record came in."""
+    records = _keyed_records(spark, sf)
+    path, out = work_dir(spark, "log_by_offset"), work_dir(spark, "log_by_offset")
+    log_writer.append_folders(records.filter("batch_id = 0"), path, ("arrival",))
+    held = log_writer.last_offsets(spark.read.parquet(path))
+    starts = log.starts_as_dict(offsets.start_offsets(held, "0-31"))
+    log_writer.append_folders(records.filter("batch_id > 0"), path, ("arrival",), last=held)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{out}/rows/{batch_id}")
+
+    stream = log_folders.read_log_folders(spark, path, starts, f"{out}/checkpoint", ROWS_PER_TRIGGER)
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    read = spark.read.schema("key BINARY, partition INT, offset BIGINT, batch BIGINT").option("recursiveFileLookup", "true")
+    return read.parquet(f"{out}/rows").select(F.lower(F.hex("key")).alias("key_hex"), "partition", "offset", "batch")
+
+
 # ---- sinks and tables ----
 
 
@@ -607,6 +634,7 @@ QUERIES: dict[str, Query] = {
         stepwise_fold,
         dedupe_bounded,
         keyed_log,
+        log_by_offset,
         running_balances,
         remembered_ids,
     )

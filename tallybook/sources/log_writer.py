@@ -21,6 +21,8 @@ SEED = 0x9747B28C
 MULTIPLIER = 0x5BD1E995
 MASK = 0xFFFFFFFF
 KEY_BYTES = 16
+#: Names the folders of a log that has one for each partition.
+FOLDER = "log_partition"
 
 
 def _long(value: int) -> Column:
@@ -109,6 +111,18 @@ def append_log(
     with_offsets(records, order, partitions, last).write.mode("append").parquet(path)
 
 
+def append_folders(
+    records: DataFrame,
+    path: str,
+    order: tuple[str, ...],
+    partitions: int = PARTITIONS,
+    last: DataFrame | None = None,
+) -> None:
+    """The same into a folder per log partition, as read_log_folders reads; each file holds a stretch of offsets."""
+    rows = with_offsets(records, order, partitions, last).withColumn(FOLDER, F.col("partition"))
+    rows.sortWithinPartitions(FOLDER, "offset").write.mode("append").partitionBy(FOLDER).parquet(path)
+
+
 def last_offsets(records: DataFrame) -> DataFrame:
     """partition_id and last_offset of the log records there are."""
     return records.groupBy(F.col("partition").alias("partition_id")).agg(F.max("offset").alias("last_offset"))

@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 from test_functions import encode
 
+from tallybook.operators.offsets import committed_offsets, start_offsets
 from tallybook.schemas import LOG_RECORD
-from tallybook.sources import log, log_writer, tables
+from tallybook.sources import log, log_folders, log_writer, tables
 from tallybook.streaming import ingest, running
 
 RECORD = "key BINARY, value BINARY, timestamp TIMESTAMP, n BIGINT"
@@ -148,3 +149,102 @@ def test_the_written_log_can_be_streamed(spark, folder):
     read = {(r["partition_id"], r["log_offset"]) for r in spark.read.parquet(f"{folder}/rows").collect()}
     written = {(r["partition"], r["offset"]) for r in spark.read.schema(LOG_RECORD).parquet(f"{folder}/log").collect()}
     assert read == {(p, o) for p, o in written if o >= starts[p]}
+
+
+def _log_in_folders(spark, folder, n=20_000, partitions=3):
+    rows = [(bytes([k % 50]) * 16, encode(k, k.to_bytes(16), bytes([k % 50]) * 16), None, k) for k in range(n)]
+    sent = spark.createDataFrame(rows, RECORD).withColumn("timestamp", F.timestamp_seconds("n"))
+    log_writer.append_folders(sent.filter(f"n < {n // 2}"), f"{folder}/log", ("n",), partitions)
+    last = log_writer.last_offsets(spark.read.parquet(f"{folder}/log"))
+    log_writer.append_folders(sent.filter(f"n >= {n // 2}"), f"{folder}/log", ("n",), partitions, last)
+    return {(r["partition"], r["offset"]): bytes(r["value"]) for r in spark.read.parquet(f"{folder}/log").collect()}
+
+
+def test_batches_by_offset_are_bounded_and_go_on_after_a_crash(spark, folder):
+    """Over one checkpoint: the batch that failed is read again, the same rows, and what came since after it."""
+    held = _log_in_folders(spark, folder, 600)
+    starts, bound, seen, crash = {0: 10, 2: log_folders.EARLIEST}, 40, defaultdict(list), [True]
+
+    def write(batch, number):
+        rows = [(r["partition"], r["offset"], bytes(r["value"])) for r in batch.collect()]
+        if number == 2 and crash:
+            crash.append(sorted(rows))
+            raise RuntimeError("lost")
+        seen[number] = sorted(rows)
+
+    def start():
+        stream = log_folders.read_log_folders(spark, f"{folder}/log", starts, f"{folder}/cp", bound)
+        return stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{folder}/cp").start()
+
+    query = start()
+    with pytest.raises(Exception, match="lost"):
+        query.processAllAvailable()
+    first_try = crash.pop()
+    crash.clear()
+    query = start()
+    query.processAllAvailable()
+    query.stop()
+    assert seen[2] == first_try
+    done = max(seen)
+    more = spark.createDataFrame([(bytes([k]) * 16, b"", None, k) for k in range(50)] * 4, RECORD).withColumn("timestamp", F.timestamp_seconds("n"))
+    last = log_writer.last_offsets(spark.read.parquet(f"{folder}/log"))
+    log_writer.append_folders(more, f"{folder}/log", ("n",), 3, last)
+    query = start()  # all batches were committed, none is repeated
+    query.processAllAvailable()
+    query.stop()
+    held = {(r["partition"], r["offset"]): bytes(r["value"]) for r in spark.read.parquet(f"{folder}/log").collect()}
+    assert max(seen) > done and all(len([r for r in rows if r[0] == p]) <= bound for rows in seen.values() for p in starts)
+    read = [row for number in sorted(seen) for row in seen[number]]
+    assert sorted(read) == sorted((p, o, v) for (p, o), v in held.items() if p in starts and o >= starts[p])
+    for number in range(done):
+        for p, first in ((0, 10), (2, 0)):
+            assert all(first + number * bound <= o < first + (number + 1) * bound for q, o, _ in seen[number] if q == p)
+
+
+def test_ingest_goes_on_at_the_stored_offsets(spark, folder):
+    """Two runs with checkpoints of their own over one book: the second starts behind what the first committed."""
+    held = _log_in_folders(spark, folder, 400)
+    book = tables.Book(f"{folder}/book")
+    tables.init_tables(spark, book)
+    for run, last in enumerate((4, None)):
+        done = committed_offsets(tables.read_commits(spark, book))
+        starts = log.starts_as_dict(start_offsets(done, "0-2"))
+        records = log_folders.read_log_folders(spark, f"{folder}/log", starts, f"{folder}/cp{run}", 30)
+        query = ingest.start_ingest(records, book, f"{folder}/cp{run}", {"processingTime": "0 seconds"})
+        if last is None:
+            query.processAllAvailable()
+        else:
+            while query.lastProgress is None or query.lastProgress["batchId"] < last:
+                time.sleep(0.1)
+        query.stop()
+    assert tables.read_ledger(spark, book).count() == len(held) == 400
+    ends = {p: max(o for q, o in held if q == p) for p in range(3)}
+    assert {r["partition_id"]: r["last_offset"] for r in committed_offsets(tables.read_commits(spark, book), 3).collect()} == ends
+
+
+def test_a_gap_ends_what_is_read(spark, folder):
+    _log_in_folders(spark, folder, 400)
+    whole = log_folders.LogReader(f"{folder}/log", {0: 0, 1: 0, 9: 0}, 10_000, f"{folder}/notes")
+    stretches = {p: whole._held(p) for p in (0, 1, 9)}
+    assert whole.initialOffset() == {"0": 0, "1": 0, "9": 0}
+    assert whole.latestOffset() == {"0": stretches[0][-1].last + 1, "1": stretches[1][-1].last + 1, "9": 0}
+    missing = log_folders.LogReader(f"{folder}/log", {0: 0}, 10_000, f"{folder}/notes")
+    missing.known = {**whole.known, stretches[0][0].path: None}
+    with pytest.raises(ValueError, match="any more"):
+        missing.initialOffset()
+    gap = log_folders.LogReader(f"{folder}/log", {0: 0}, 10_000, f"{folder}/notes")
+    gap.known = {**whole.known, stretches[0][1].path: None}
+    assert gap.latestOffset() == {"0": stretches[0][0].last + 1}
+    lost = log_folders.Slice(0, 0, stretches[0][-1].last + 1, [s.path for s in stretches[0][1:]])
+    with pytest.raises(ValueError, match="lost rows"):
+        list(whole.read(lost))
+    with pytest.raises(ValueError, match="at least one row"):
+        log_folders.LogReader(folder, {0: 0}, 0, folder)
+
+
+def test_a_file_with_holes_is_refused(spark, folder):
+    rows = [(b"k", b"v", 0, o, None) for o in (0, 2)]
+    holes = spark.createDataFrame(rows, "key BINARY, value BINARY, partition INT, offset BIGINT, timestamp TIMESTAMP")
+    holes.coalesce(1).write.parquet(f"{folder}/log/{log_writer.FOLDER}=0")
+    with pytest.raises(ValueError, match="not dense"):
+        log_folders.LogReader(f"{folder}/log", {0: 0}, 10, f"{folder}/notes").initialOffset()
