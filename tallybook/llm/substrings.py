@@ -1,20 +1,25 @@
-"""Substring dedup by grouping windows of all documents by content.
-
-A window is a run of exactly `window` words; one that some document with a smaller id has as well is duplicate, and its
-words go. This takes the place of a Lempel-Ziv parse: every longer stretch that an earlier document has consists of such
-windows, so no longest match is sought. Factors join windows with one first document for the listing; each window occurs
-in it, the whole factor need not.
-
-The index. Each window has an anchor, the least hash of its `gram`-word runs; equal windows have equal anchors.
-Consecutive windows with one anchor form a block, so a block stands for many windows and copies have the same blocks:
-1. blocks are indexed by anchor and content with the first and last document that has them; a block that an earlier
-   document has is duplicate as a whole;
+"""Substring dedup by a relative Lempel-Ziv parse: every document against the blocks of all documents before it.
+
+A document is factored greedily from the left. A factor is a stretch that an earlier document has at one place; it goes
+on as long as the next block continues there, and where it ends the next factor begins one window later. Factors of at
+least `window` words become duplicate spans, so a stretch is found across the boundary of two factors as well: what
+overlaps there is checked window by window.
+
+The index of reference blocks. Each window of `window` words has an anchor, the least hash of its `gram`-word runs; equal
+windows have equal anchors. Consecutive windows with one anchor form a block, so a block stands for many windows and copies
+have the same blocks:
+1. blocks are indexed by anchor and content, with the place of the first: document and word; a block that an earlier
+   document has is met as a whole;
 2. an anchor with different blocks (where a shared passage begins or ends, or was edited) is contested: the first
-   occurrence of each of its blocks is compared window by window, again by first document;
-3. what was found is parsed into factors and joined with the texts.
+   occurrence of each of its blocks is compared window by window, again by first place;
+3. each document's hits are factored in order of place.
+The reference of a block or window is its first place in all documents, so a factor is the longest at that reference, not
+at any; a document that copies two earlier ones that share a passage may have more factors, with the same words in them.
+
 Everything is grouped by hash with counts or minima, so a passage in a third of all documents is one row per task and
-block; per document, only its own blocks meet. Contents are compared by 128 bits: two independent 64-bit hashes, one of
-them the anchor's or window's second hash.
+block. Contents with more than a 1,024th of all rows, at most 1,024 of them, are dealt to many tasks when their rows meet
+their reference; per document, only its own blocks meet. Contents are compared by 128 bits: two independent 64-bit hashes,
+one of them the anchor's or window's second hash.
 
 Defined results: null and empty texts have no words; ids that are null count as larger than any other and are never a
 reference for each other; rows with one id are no references for each other; equal rows get equal results; an empty
@@ -37,6 +42,9 @@ from tallybook.llm.hashes import runs, stretches, words_of
 WINDOW = 50
 GRAM = 8
 LAST = (1 << 63) - 1
+#: A key with more than this part of all rows is hot; its rows are dealt to so many tasks.
+HOT_PART = 1024
+SALTS = 64
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -152,59 +160,68 @@ def windows_of(docs: DataFrame, wanted: DataFrame, window: int = WINDOW, gram: i
 
 
 def _first_and_last(df: DataFrame, *keys: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
+    """The first place (ord, th, at) of each key, its last document and its rows."""
+    return df.groupBy(*keys).agg(F.min(F.struct("ord", "th", "at")).alias("first"), F.max("ord").alias("last"), F.count("*").alias("n"))
 
 
-def duplicate_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """ord, th, at, windows, ref: consecutive windows from word `at` on that document `ref`, an earlier one, has."""
+def _met(rows: DataFrame, known: DataFrame, keys: list[str], total: int, how: str = "inner") -> DataFrame:
+    """rows (total of them) joined with known (keys, n of the rows, others); the rows of a hot key go to many tasks."""
+    many = F.col("n") > total // HOT_PART
+    hot = F.broadcast(known.filter(many).select(*keys, F.lit(True).alias("hot")))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")).otherwise(0)
+    dealt = rows.join(hot, keys, "left").withColumn("salt", salt).drop("hot")
+    salts = F.when(many, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = known.withColumn("salt", F.explode(salts)).drop("n")
+    return dealt.join(repeated, [*keys, "salt"], how).drop("salt")
+
+
+def hits(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """ord, th, at, windows, ref: consecutive windows from word `at` on that ref (ord, th, at), an earlier place, has."""
+    key = ["anchor", "content"]
     found = stored(blocks(docs, window, gram), "blocks")
-    index = _first_and_last(found, "anchor", "content")
-    contested = (
-        index.groupBy("anchor")
-        .agg(F.count("*").alias("n"), F.min("first").alias("from"), F.max("last").alias("to"))
-        .filter((F.col("n") > 1) & (F.col("from") < F.col("to")))
-        .select(F.col("anchor").alias("contested"))
-    )
-    told = (
-        index.join(contested, F.col("anchor") == F.col("contested"), "left")
-        .filter((F.col("first") < F.col("last")) | F.col("contested").isNotNull())
-        .select("anchor", "content", "first", F.col("contested").isNotNull().alias("contested"))
-    )
-    known = stored(
-        found.join(told, ["anchor", "content"])
-        .filter((F.col("ord") > F.col("first")) | F.col("contested"))
-        .select("ord", "th", "at", "windows", "first"),
-        "known-blocks",
-    )
-    whole = known.filter(F.col("ord") > F.col("first")).withColumnRenamed("first", "ref")
-    open_ = known.filter(F.col("ord") == F.col("first"))
+    index = stored(_first_and_last(found, *key), "block-index")
+    anchors = index.groupBy("anchor").agg(F.count("*").alias("n"), F.min("first.ord").alias("from"), F.max("last").alias("to"))
+    anchors = anchors.filter((F.col("n") > 1) & (F.col("from") < F.col("to"))).select("anchor", "n", F.lit(True).alias("contested"))
+    earlier = F.col("first.ord") < F.col("last")
+    told = _met(index.withColumnRenamed("n", "rows"), stored(anchors, "contested"), ["anchor"], index.count(), "left")
+    told = told.filter(earlier | F.col("contested")).select(*key, "first", F.col("rows").alias("n"), "contested")
+    met = _met(found, stored(told, "references"), key, found.count())
+    met = met.filter((F.col("ord") > F.col("first.ord")) | F.col("contested"))
+    known = stored(met.select("ord", "th", "at", "windows", F.col("first").alias("ref")), "known-blocks")
+    whole = known.filter(F.col("ord") > F.col("ref.ord"))
+    open_ = known.filter(F.col("ord") == F.col("ref.ord"))
     wanted = open_.groupBy("ord", "th").agg(F.collect_set(F.struct("at", "windows")).alias("blocks"))
     single = stored(windows_of(docs, wanted, window, gram), "windows")
-    shared = _first_and_last(single, "anchor", "content").filter(F.col("first") < F.col("last")).drop("last")
-    again = (
-        single.join(shared, ["anchor", "content"])
-        .filter(F.col("ord") > F.col("first"))
-        .select("ord", "th", "at", F.lit(1).alias("windows"), F.col("first").alias("ref"))
-    )
-    return whole.unionByName(again)
+    shared = stored(_first_and_last(single, *key).filter(earlier).drop("last"), "window-index")
+    again = _met(single, shared, key, single.count()).filter(F.col("ord") > F.col("first.ord"))
+    return whole.unionByName(again.select("ord", "th", "at", F.lit(1).alias("windows"), F.col("first").alias("ref")))
+
+
+Place = tuple[int, int, int]
+Factor = tuple[int, int, int, int]
 
 
-def factors(found: list[tuple[int, int, int]], window: int) -> list[tuple[int, int, int]]:
-    """(at, windows, ref) -> greedy factors (first word, words, ref), in order.
+def factors(found: list[tuple[int, int, Place]], window: int) -> list[Factor]:
+    """(at, windows, reference place) -> greedy factors (first word, words, document and first word there), in order.
 
-    A factor goes on as long as the next window has the same reference; another reference begins a factor of its own.
+    A factor takes in the next hit if that begins at its next window, here and at the reference.
     """
-    out: list[tuple[int, int, int]] = []
-    for at, windows, ref in sorted(set(found)):
-        if out and out[-1][2] == ref and at <= out[-1][0] + out[-1][1] - window + 1:
-            start, words, _ = out[-1]
-            out[-1] = (start, max(words, at + windows + window - 1 - start), ref)
-        else:
-            out.append((at, windows + window - 1, ref))
+    out: list[Factor] = []
+    begun: tuple[int, int, Place] | None = None
+    for at, windows, place in sorted(set(found)):
+        if begun:
+            start, size, (ref, text, there) = begun
+            if at == start + size and place == (ref, text, there + size):
+                begun = (start, size + windows, begun[2])
+                continue
+            out.append((start, size + window - 1, ref, there))
+        begun = (at, windows, place)
+    if begun:
+        out.append((begun[0], begun[1] + window - 1, begun[2][0], begun[2][2]))
     return out
 
 
-FACTOR = "array<struct<from: int, words: int, ref: bigint>>"
+FACTOR = "array<struct<from: int, words: int, ref: bigint, ref_from: int>>"
 
 
 def parsed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -213,7 +230,7 @@ def parsed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame
     The kept text has the words outside of all factors, joined by one space.
     """
     per_doc = (
-        duplicate_windows(docs, window, gram)
+        hits(docs, window, gram)
         .groupBy("ord", "th")
         .agg(F.collect_list(F.struct("at", "windows", "ref")).alias("found"))
         .select(F.col("ord").alias("own_ord"), F.col("th").alias("own_th"), "found")
@@ -227,20 +244,20 @@ def parsed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame
         "n_removed": T.LongType(),
         "kept_text": T.StringType(),
     }
-    arrow = pa.list_(pa.struct([("from", pa.int32()), ("words", pa.int32()), ("ref", pa.int64())]))
+    arrow = pa.list_(pa.struct([("from", pa.int32()), ("words", pa.int32()), ("ref", pa.int64()), ("ref_from", pa.int32())]))
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
         parses, counts, removed, kept = [], [], [], []
         texts = as_bytes(batch.column("doc").field("text"))
         for text, found in zip(texts, batch.column("found").to_pylist(), strict=True):
             words = text.split()
-            spans = factors([(f["at"], f["windows"], f["ref"]) for f in found or ()], window)
+            spans = factors([(f["at"], f["windows"], tuple(f["ref"].values())) for f in found or ()], window)
             left, upto = [], 0
-            for start, size, _ in spans:
+            for start, size, _, _ in spans:
                 left += words[upto:start]
                 upto = max(upto, start + size)
             left += words[upto:]
-            parses.append([{"from": a, "words": n, "ref": r} for a, n, r in spans])
+            parses.append([{"from": a, "words": n, "ref": r, "ref_from": b} for a, n, r, b in spans])
             counts.append(len(words))
             removed.append(len(words) - len(left))
             kept.append(b" ".join(left).decode())

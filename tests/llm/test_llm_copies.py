@@ -181,7 +181,42 @@ def test_substrings_by_brute_force(spark, seed):
         for f in r["factors"]:
             stretch = own[f["from"] : f["from"] + f["words"]]
             assert f["words"] >= 50 and f["ref"] < r["doc"]["doc_id"]
-            assert " ".join(stretch[:50]) in " ".join(words(texts[f["ref"]]))
+            assert stretch == words(texts[f["ref"]])[f["ref_from"] : f["ref_from"] + f["words"]]
+        inside = {k for f in r["factors"] for k in range(f["from"], f["from"] + f["words"])}
+        assert r["n_removed"] == len(inside)
+
+
+def test_a_factor_goes_on_over_blocks(spark):
+    """A long copy is one factor; where its reference changes, the next factor begins one window later."""
+    rng = random.Random(9)
+    draw = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    a, b = draw(900), draw(700)
+    rows = [(1, draw(5) + a), (2, b), (3, draw(7) + a[100:800] + b[50:650] + draw(9)), (4, a[800:] + b[:60])]
+    out = substrings.parsed(spark.createDataFrame([(k, " ".join(t)) for k, t in rows], "doc_id BIGINT, text STRING")).collect()
+    got = {r["doc"]["doc_id"]: [tuple(f) for f in r["factors"]] for r in out}
+    assert got == {1: [], 2: [], 3: [(7, 700, 1, 105), (707, 600, 2, 50)], 4: [(0, 100, 1, 805), (100, 60, 2, 0)]}
+    place = lambda at: (1, 0, at)
+    found = [(0, 3, place(10)), (3, 2, place(13)), (5, 1, place(40)), (6, 4, (2, 0, 0)), (6, 4, (2, 0, 0))]
+    assert substrings.factors(found, 50) == [(0, 54, 1, 10), (5, 50, 1, 40), (6, 53, 2, 0)]
+
+
+def test_hot_contents_go_to_many_tasks(spark):
+    """One passage in every document, at other places: its rows are dealt out where they meet their reference."""
+    rows = spark.range(40_000).select(F.lit(7).cast("bigint").alias("anchor"), F.col("id").alias("ord"))
+    rows = rows.unionByName(spark.range(40_000).select(F.col("id").alias("anchor"), F.col("id").alias("ord")))
+    known = rows.groupBy("anchor").agg(F.min("ord").alias("first"), F.count("*").alias("n"))
+    met = substrings._met(rows, known, ["anchor"], 80_000)
+    assert met.count() == 80_000 and met.columns == ["anchor", "ord", "first"]
+    assert met.filter((F.col("anchor") == 7) & (F.col("first") != 0)).count() == 0
+    plain = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in substrings._met(rows, known, ["anchor"], 80_000).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", plain)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(sizes) < 25_000
 
 
 def test_substrings_of_awkward_rows(spark):
