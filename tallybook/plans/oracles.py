@@ -260,6 +260,11 @@ SQL: dict[str, str] = {
         SELECT id, {_shard('id', 2)} AS of_2, {_shard('id', 3)} AS of_3, {_shard('id', 64)} AS of_64 FROM u""",
     "pg_epoch": f"""WITH {POSTINGS} SELECT id, epoch_us(created_at) - epoch_us(TIMESTAMP '2000-01-01') AS wire_us,
         created_at FROM postings""",
+    "functions_in_sql": f"""WITH {POSTINGS}, u AS (SELECT id, CASE WHEN id % 23 <> 0 THEN {_uuid('a', 'account_id')} END AS t, created_at
+        FROM postings) SELECT id, t AS canonical, t AS again, {_shard('t', 64)} AS shard,
+        epoch_us(created_at) - epoch_us(TIMESTAMP '2000-01-01') AS wire_us, created_at FROM u""",
+    "lookups_in_sql": f"""WITH {ACCOUNTS}, {TRANSACTIONS} SELECT {_uuid('t', 't.id')} AS id, {_uuid('a', 't.account_id')} AS account_id,
+        t.amount, a.balance FROM transactions t JOIN accounts a ON a.id = t.account_id""",
     "seed_accounts": f"""WITH {ACCOUNTS}, u AS {_UUID_ACCOUNTS}
         SELECT id, CAST(1000 AS BIGINT) AS balance, created_at, {_shard('id', 2)} AS shard FROM u""",
     "account_ids_csv": f"WITH {ACCOUNTS}, u AS {_UUID_ACCOUNTS} SELECT id AS account_id FROM u",

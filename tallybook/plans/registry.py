@@ -27,7 +27,7 @@ from tallybook.operators import (
 from tallybook.plans import views
 from tallybook.schemas import LOG_RECORD, REQUEST_BOUNDS, STAGE_BOUNDS, posting_schema
 from tallybook.session import work_dir
-from tallybook.sources import account_ids, log, log_folders, log_writer, tables
+from tallybook.sources import account_ids, log, log_folders, log_writer, sql_functions, tables
 from tallybook.streaming.bounded import drop_recent_duplicates
 from tallybook.streaming.fold import fold_once, start_fold
 from tallybook.streaming.ingest import append_postings, commit_batch, start_ingest
@@ -488,6 +488,35 @@ def shard_of(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("id", *shards)
 
 
+def _functions(spark: SparkSession, sf: str) -> None:
+    views.uuid_accounts(spark, sf).createOrReplaceTempView("accounts")
+    views.as_uuids(views.transactions(spark, sf)).createOrReplaceTempView("ledger")
+    sql_functions.register_functions(spark)
+
+
+def functions_in_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """Every posting through the SQL functions."""
+    _functions(spark, sf)
+    given = _typed_ids(F.col("id"), views.uuid_for("a", F.col("account_id")))
+    views.postings(spark, sf).select("id", given.alias("given"), "created_at").createOrReplaceTempView("typed")
+    rows = spark.sql(
+        """SELECT id, canonical_uuid(given) AS canonical, uuid_text(uuid_bytes(canonical_uuid(given))) AS again,
+          shard_of(canonical_uuid(given), 64) AS shard, wire_micros(created_at) AS wire_us,
+          wire_time(wire_micros(created_at)) AS created_at FROM typed"""
+    )
+    return views.plain(rows)
+
+
+def lookups_in_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """Every transaction and its account, asked for by id through the table functions."""
+    _functions(spark, sf)
+    views.as_uuids(views.transactions(spark, sf)).selectExpr("upper(id) AS given").createOrReplaceTempView("asked")
+    return spark.sql(
+        """SELECT t.id, t.account_id, t.amount, a.balance FROM (SELECT canonical_uuid(given) AS id FROM asked) asked,
+          LATERAL posting_by_id(asked.id) t, LATERAL account_by_id(t.account_id) a"""
+    )
+
+
 # ---- streaming ----
 
 
@@ -633,6 +662,8 @@ QUERIES: dict[str, Query] = {
         stream_fold,
         stepwise_fold,
         dedupe_bounded,
+        functions_in_sql,
+        lookups_in_sql,
         keyed_log,
         log_by_offset,
         running_balances,
