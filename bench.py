@@ -37,7 +37,7 @@ CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 COPIES = int(os.environ.get("BENCH_COPIES", "20"))
 # Queries that set up folders and streams of their own: one run.
-STAGED = {"ledger_append", "log_source", "stream_ingest", "stream_fold", "stepwise_fold", "dedupe_bounded", "open_accounts", "clear_table", "external_tables", "receipt_time"}
+STAGED = {"ledger_append", "log_source", "stream_ingest", "stream_fold", "stepwise_fold", "dedupe_bounded", "open_accounts", "clear_table", "external_tables", "receipt_time", "batch_counters"}
 
 
 def drain(df: DataFrame) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,16 +40,34 @@ def _lead(batch: DataFrame, key: str) -> Column:
     return F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint") if text else F.col(key)
 
 
-def key_ranges(batch: DataFrame, key: str = "id", most: int = 16) -> tuple[int, list[tuple]]:
+def key_span(batch: DataFrame, key: str = "id", where: Column | None = None) -> list[Column]:
+    """Aggregates over a batch that key_ranges starts from: rows, least key, least and greatest lead."""
+    kept = F.lit(True) if where is None else where
+    one, lead = F.when(kept, F.col(key)), F.when(kept, _lead(batch, key))
+    ends = [F.min(one).alias("low"), F.min(lead).alias("first"), F.max(lead).alias("last")]
+    return [F.count_if(kept).alias("rows"), *ends]
+
+
+def joined_span(spans: list[Row]) -> dict:
+    """The span of a batch from the spans of its parts."""
+    known = {name: [s[name] for s in spans if s[name] is not None] for name in ("low", "first", "last")}
+    ends = {name: fold(known[name], default=None) for name, fold in (("low", min), ("first", min), ("last", max))}
+    return {"rows": sum(s["rows"] for s in spans), **ends}
+
+
+def key_ranges(
+    batch: DataFrame, key: str = "id", most: int = 16, span: dict | None = None
+) -> tuple[int, list[tuple]]:
     """The number of rows, and at most `most` ranges that together hold every key.
 
     The span of the keys is cut into cells, and the ranges part at the widest gaps between cells
     in use: a few late retries do not stretch a range over everything since, however many periods
     the batch has. Random ids leave no wide gap, and the ranges hold nearly the whole span.
+    A caller that aggregates the batch anyway passes its span along.
     """
     keys = batch.select(F.col(key).alias("key"), _lead(batch, key).alias("lead"))
     low, high = F.min("key").alias("low"), F.max("key").alias("high")
-    span = keys.agg(F.count("*").alias("rows"), low, F.min("lead").alias("first"), F.max("lead").alias("last")).first()
+    span = span or joined_span(batch.agg(*key_span(batch, key)).collect())
     if span["low"] is None:
         return span["rows"], []
     first, last = span["first"] or 0, span["last"] or 0
@@ -94,7 +112,7 @@ def _reduced(keys: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return passed.select(key)
 
 
-def known_keys(ledger: DataFrame, batch: DataFrame, key: str = "id") -> DataFrame:
+def known_keys(ledger: DataFrame, batch: DataFrame, key: str = "id", span: dict | None = None) -> DataFrame:
     """Ledger keys that may occur in the batch; every key that does occur is among them.
 
     The batch's key ranges go down to the Parquet scan, where row groups outside them are
@@ -102,7 +120,7 @@ def known_keys(ledger: DataFrame, batch: DataFrame, key: str = "id") -> DataFram
     stay below Spark's broadcast threshold, they are broadcast and the ledger is reduced to the
     matches without a shuffle. Beyond it a filter of fixed size reduces it first.
     """
-    rows, ranges = key_ranges(batch, key)
+    rows, ranges = key_ranges(batch, key, span=span)
     keys = ledger.select(key)
     keys = keys.filter(reduce(lambda a, b: a | b, [F.col(key).between(*r) for r in ranges], F.lit(False)))
     if rows * KEY_BYTES <= broadcast_limit(ledger.sparkSession):

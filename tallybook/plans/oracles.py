@@ -310,6 +310,15 @@ SQL: dict[str, str] = {
           UNION ALL SELECT 'success_percent', good * 100 / n FROM a
           UNION ALL SELECT 'latency_mean_s', mean FROM a UNION ALL SELECT 'latency_max_s', top FROM a
           UNION ALL SELECT 'latency_p95_s', p95 FROM a UNION ALL SELECT 'latency_p99_s', p99 FROM a)""",
+    "stored_percentiles": f"""SELECT event_type AS path, CAST(fraction AS DOUBLE) AS fraction, count(*) AS n, true AS within
+        FROM events, (VALUES (0.5), (0.95), (0.99)) f(fraction) WHERE ts >= TIMESTAMP '{HALF}' GROUP BY ALL""",
+    "batch_counters": f"""WITH {DELIVERIES},
+        judged AS (SELECT id, CAST(batch_id AS BIGINT) AS batch_id, id % 101 = 7 AND log_offset < {COPY_STEP} AS bad FROM deliveries),
+        firsts AS (SELECT min(batch_id) AS batch_id FROM judged WHERE NOT bad GROUP BY id),
+        came AS (SELECT batch_id, count(*) AS added FROM firsts GROUP BY batch_id),
+        counted AS (SELECT batch_id, count(*) AS delivered, count(*) FILTER (WHERE bad) AS rejected FROM judged GROUP BY batch_id)
+        SELECT batch_id, delivered, rejected, coalesce(added, 0) AS added, delivered - rejected - coalesce(added, 0) AS repeated
+        FROM counted LEFT JOIN came USING (batch_id)""",
     "log_source": f"""WITH {DELIVERIES}, {GOOD}, {COMMITS},
         c AS (SELECT partition_id, max(last_offset) AS done FROM commits WHERE batch_id < 2 GROUP BY partition_id)
         SELECT {_UUID_PLACED} FROM good LEFT JOIN c USING (partition_id)

@@ -30,7 +30,7 @@ from tallybook.session import work_dir
 from tallybook.sources import account_ids, log, log_folders, log_writer, sql_functions, tables
 from tallybook.streaming.bounded import drop_recent_duplicates
 from tallybook.streaming.fold import fold_once, start_fold
-from tallybook.streaming.ingest import append_postings, commit_batch, start_ingest
+from tallybook.streaming.ingest import append_postings, commit_batch, ingest_batch, start_ingest
 from tallybook.streaming.opening import open_accounts as add_accounts
 from tallybook.streaming.opening import seed_book
 from tallybook.streaming import running
@@ -451,6 +451,18 @@ def load_report(spark: SparkSession, sf: str) -> DataFrame:
     return report.select("metric", F.round("value", 6).alias("value"))
 
 
+def stored_percentiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Latency percentiles per endpoint since the middle of the month, from sketches stored per day."""
+    requests = views.request_log(spark, sf).withColumn("day", F.to_date("ts"))
+    path = work_dir(spark, "sketches")
+    metrics.quantile_sketches(requests, ["day", "path"], F.col("latency_us")).write.parquet(path)
+    asked = F.col("day") >= F.lit(views.HALF).cast("date")
+    stored = spark.read.schema("day DATE, path STRING, sketch BINARY").parquet(path).filter(asked)
+    found = metrics.sketched_percentiles(stored, ["path"], (0.5, 0.95, 0.99))
+    held = metrics.rank_errors(found, requests.filter(asked), ["path"], F.col("latency_us"))
+    return held.select("path", "fraction", "n", (F.col("rank_error") <= metrics.RANK_ERROR).alias("within"))
+
+
 # ---- unions and scalars ----
 
 
@@ -532,6 +544,18 @@ def _ingest(spark: SparkSession, sf: str, book: tables.Book) -> None:
     start_ingest(records, book, f"{book.root}/checkpoints/ingest", {"availableNow": True}).awaitTermination()
 
 
+def batch_counters(spark: SparkSession, sf: str) -> DataFrame:
+    """What became of the records of each batch of the log, observed while they were written."""
+    book = tables.Book(work_dir(spark, "batch_counters"))
+    tables.init_tables(spark, book)
+    records, counted = views.log_records(spark, sf), []
+    for batch in range(4):
+        part = records.filter(F.col("batch_id") == batch).drop("batch_id")
+        ingest_batch(spark, book, part, (0, batch), report=counted.append)
+    rows = [(c.batch[1], c.delivered, c.rejected, c.added, c.repeated) for c in counted]  # one row per batch
+    return spark.createDataFrame(rows, "batch_id BIGINT, delivered BIGINT, rejected BIGINT, added BIGINT, repeated BIGINT")
+
+
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """The log on the wire, streamed into a ledger."""
     book = tables.Book(work_dir(spark, "stream_ingest"))
@@ -657,7 +681,9 @@ QUERIES: dict[str, Query] = {
         latest_gauge,
         consumer_lag,
         load_report,
+        stored_percentiles,
         log_source,
+        batch_counters,
         stream_ingest,
         stream_fold,
         stepwise_fold,

@@ -99,13 +99,26 @@ def read_ledger(spark: SparkSession, book: Book) -> DataFrame:
     """The postings of committed batches.
 
     What a batch that has not committed yet may have written is nowhere seen, by the merge
-    neither: should another run take over, it gets these postings again. Batches are folders, so
-    the join prunes folders.
+    neither: should another run take over, it gets these postings again. Batches are folders, and
+    so are commits: which batches count follows from names alone, no commit is read.
     """
-    committed = read_commits(spark, book).select("run_id", "batch_id").distinct()
-    return read_table(spark, book, "ledger").join(committed, ["run_id", "batch_id"], "left_semi").select(
-        *book.schema("ledger").fieldNames()
-    )
+    return read_table(spark, book, "ledger").filter(_counted(spark, book))
+
+
+def _counted(spark: SparkSession, book: Book) -> Column:
+    """Rows of batches that are committed now: per run those up to its last commit, but for folders without one.
+
+    Batches run one after another, so at most the last one that a run began has no commit.
+    """
+    counted = F.lit(False)
+    for run in _numbers(spark, book.path("ledger"), "run_id"):
+        done = set(_numbers(spark, f"{book.path('commits')}/run_id={run}", "batch_id"))
+        begun = _numbers(spark, f"{book.path('ledger')}/run_id={run}", "batch_id")
+        last = max(done, default=-1)
+        of_run = (F.col("run_id") == run) & (F.col("batch_id") <= last)
+        broken = [n for n in begun if n < last and n not in done]
+        counted |= of_run & ~F.col("batch_id").isin(broken) if broken else of_run
+    return counted
 
 
 def read_commits(spark: SparkSession, book: Book) -> DataFrame:

@@ -9,6 +9,7 @@ from tallybook import schemas
 from tallybook.operators.arrivals import first_arrivals
 from tallybook.sources.tables import (
     Book,
+    Place,
     bucket_of,
     publish_version,
     published,
@@ -30,12 +31,19 @@ def seed_book(spark: SparkSession, book: Book, accounts: DataFrame) -> None:
     publish_version(spark, book, 0, 0, write_accounts(book, rows, 0), (-1, -1))
 
 
+def _held_in(spark: SparkSession, book: Book, places: dict[int, Place], rows: DataFrame) -> DataFrame:
+    """The accounts of the buckets that rows fall into."""
+    wanted = {r["bucket"] for r in rows.select("bucket").distinct().collect()}  # one per bucket
+    return read_buckets(spark, book, {k: p for k, p in places.items() if k in wanted})
+
+
 def open_accounts(spark: SparkSession, book: Book, accounts: DataFrame) -> None:
     """Add the accounts (id, balance, created_at) the book does not have; those it has stay as they are.
 
     Pending changes are applied first: postings folded before an account was opened stay with the
-    orphans, whenever buckets are rewritten. Then only the buckets with a new account are written,
-    with the same batches folded into them. Of several new rows with one id the oldest counts.
+    orphans, whenever buckets are rewritten. Then only the buckets the ids fall into are read, and
+    those with a new account are written, with the same batches folded into them. Of several new
+    rows with one id the oldest counts.
     """
     once = first_arrivals(accounts, "id", ("created_at", "balance"))
     now = published(spark, book)
@@ -46,18 +54,22 @@ def open_accounts(spark: SparkSession, book: Book, accounts: DataFrame) -> None:
         now = apply_pending(spark, book)
     fields = schemas.account_schema(book.key).fieldNames()
     bucket = bucket_of(F.col("id"), book.buckets)
-    known = read_buckets(spark, book, now.places).select("id")
-    fresh = once.select(*fields).join(known, "id", "left_anti").withColumn("bucket", bucket).persist()
+    asked = once.select(*fields).withColumn("bucket", bucket).persist()
+    fresh = None
     try:
+        near = _held_in(spark, book, now.places, asked)
+        fresh = asked.join(near.select("id"), "id", "left_anti").persist()
         touched = {r["bucket"] for r in fresh.select("bucket").distinct().collect()}  # one per bucket
         if not touched:
             return
-        held = read_buckets(spark, book, {k: p for k, p in now.places.items() if k in touched})
+        held = near.filter(F.col("bucket").isin(sorted(touched)))  # a condition on folder names
         rows = held.select(*fields, "bucket").unionByName(fresh.select(*fields, "bucket"))
         version = now.version + 1
         written = write_accounts(book, rows, version)
     finally:
-        fresh.unpersist()
+        for rows_ in (asked, fresh):
+            if rows_ is not None:
+                rows_.unpersist()
     # No changes are pending, so the new version is its own base.
     publish_version(spark, book, version, version, now.places | written, now.applied)
     remove_old(spark, book)

@@ -378,6 +378,44 @@ def test_accounts_on_a_live_book(spark, folder):
     assert balance == want | {str(uid("a", 4)): 7 + sum(a for _, a in late), str(uid("a", 9)): 7}
 
 
+def test_opening_reads_only_its_buckets(spark, folder, monkeypatch):
+    book = tables.Book(f"{folder}/book", buckets=16)
+    tables.init_tables(spark, book)
+    opening.seed_book(spark, book, opened(spark, range(40), 100))
+    read, real = [], tables.read_buckets
+    monkeypatch.setattr(opening, "read_buckets", lambda *a: read.append(set(a[2])) or real(*a))
+    opening.open_accounts(spark, book, opened(spark, [3, 99], 5))
+    wanted = opened(spark, [3, 99], 5).select(tables.bucket_of(F.col("id"), 16).alias("b")).collect()
+    assert read and all(r <= {w["b"] for w in wanted} for r in read)
+    assert state(spark, book)[1] == {str(uid("a", n)): 100 for n in range(40)} | {str(uid("a", 99)): 5}
+
+
+def test_counts_come_with_the_write(spark, folder):
+    """An empty batch, one with repeated and damaged records, and one that is committed already."""
+    book, seen = new_book(spark, folder), []
+    rows = [record(1, 0, 5, 0), record(1, 0, 5, 1), record(2, 1, 7, 0), record(3, 2, 1, 0, damaged=True)]
+    ingest.ingest_batch(spark, book, frame(spark, rows).limit(0), (0, 0), report=seen.append)
+    ingest.ingest_batch(spark, book, frame(spark, rows), (0, 1), report=seen.append)
+    ingest.ingest_batch(spark, book, frame(spark, rows), (0, 1), report=seen.append)
+    ingest.ingest_batch(spark, book, frame(spark, [*rows, record(4, 1, 2, 1)]), (0, 2), report=seen.append)
+    ingest.ingest_batch(spark, book, frame(spark, rows[:3]), (1, 0), report=seen.append)
+    counts = [(c.batch, c.delivered, c.rejected, c.added, c.repeated) for c in seen]
+    assert counts == [((0, 0), 0, 0, 0, 0), ((0, 1), 4, 1, 2, 1), ((0, 2), 5, 1, 1, 3), ((1, 0), 3, 0, 0, 3)]
+
+
+def test_folders_without_a_commit_do_not_count(spark, folder):
+    """Whether a broken batch is a run's last or one before others that did commit."""
+    book = new_book(spark, folder)
+    for batch, n in (((0, 0), 1), ((0, 2), 2), ((1, 0), 3)):
+        ingest.ingest_batch(spark, book, frame(spark, [record(n, 0, 1, n)]), batch)
+    good = log.good_postings(log.decode_log(frame(spark, [record(8, 0, 1, 8)])))
+    for batch in ((0, 1), (1, 1), (2, 0)):
+        tables.write_batch(good.withColumn("committed_at", F.current_timestamp()), book, "ledger", batch)
+    held = {(r["run_id"], r["batch_id"]) for r in tables.read_table(spark, book, "ledger").collect()}
+    assert len(held) == 6
+    assert {(r["run_id"], r["batch_id"]) for r in tables.read_ledger(spark, book).collect()} == {(0, 0), (0, 2), (1, 0)}
+
+
 def test_opening_an_unseeded_book(spark, folder):
     book = new_book(spark, folder, seeded=False)
     opening.open_accounts(spark, book, opened(spark, [1, 2], 3).unionByName(opened(spark, [2], 9)))

@@ -215,3 +215,28 @@ def test_percentiles_of_crowded_values(spark, scale):
     for p, value in got.items():
         assert value == pytest.approx(np.quantile(known, p), rel=1e-12)
     assert metrics.exact_percentiles(df.limit(0), F.col("v"), (0.5,)).count() == 0
+
+
+def test_sketches_merge_over_any_range(spark):
+    """Sketches stored in parts give what one over everything would, within the stated error; nothing gives nothing."""
+    rng = random.Random(11)
+    rows = [(n % 40, "ab"[n % 2], rng.choice([7, int(rng.lognormvariate(8, 2)), None])) for n in range(60_000)]
+    df = spark.createDataFrame([*rows, (0, "c", None)], "day INT, path STRING, us BIGINT")
+    stored = metrics.quantile_sketches(df, ["day", "path"], F.col("us"))
+    for days in (40, 3, 0):
+        found = metrics.sketched_percentiles(stored.filter(F.col("day") < days), ["path"], (0.0, 0.5, 0.95, 0.99, 1.0))
+        got = {(r["path"], r["fraction"]): r for r in found.collect()}
+        assert {p for p, _ in got} == (set("abc") if days else set())
+        for (path, fraction), r in got.items():
+            own = sorted(us for day, p, us in rows if day < days and p == path and us is not None)
+            assert r["n"] == len(own)
+            if not own:
+                assert r["value"] is None
+                continue
+            below, up_to = sum(x < r["value"] for x in own), sum(x <= r["value"] for x in own)
+            assert below / len(own) - metrics.RANK_ERROR <= fraction <= up_to / len(own) + metrics.RANK_ERROR
+    errors = metrics.rank_errors(
+        spark.createDataFrame([("a", 0.5, 4, 3), ("a", 0.9, 4, 1)], "path STRING, fraction DOUBLE, n BIGINT, value BIGINT"),
+        spark.createDataFrame([("a", x) for x in (1, 2, 3, 4)], "path STRING, us BIGINT"), ["path"], F.col("us"),
+    )
+    assert {r["fraction"]: round(r["rank_error"], 9) for r in errors.collect()} == {0.5: 0.0, 0.9: 0.65}

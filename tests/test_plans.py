@@ -10,7 +10,7 @@ from tallybook.plans import registry, views
 from tallybook.sources import log, tables
 
 SF = "/root/testdata/sf0.001"
-STAGED = {"ledger_append", "log_source", "stream_ingest", "stream_fold", "stepwise_fold", "dedupe_bounded", "open_accounts", "clear_table", "external_tables", "receipt_time", "keyed_log", "log_by_offset", "running_balances", "remembered_ids"}
+STAGED = {"ledger_append", "log_source", "stream_ingest", "stream_fold", "stepwise_fold", "dedupe_bounded", "open_accounts", "clear_table", "external_tables", "receipt_time", "keyed_log", "log_by_offset", "batch_counters", "running_balances", "remembered_ids"}
 
 
 def plan_of(df) -> str:
