@@ -5,8 +5,10 @@ of capacities: tokens, documents, and attention cost (the sum of squared piece l
 from its length alone, so the corpus enters the search as a histogram of lengths: at most one entry per length, however
 large the corpus. Lengths are placed from the longest down. Equal bins are one group with a count; a length goes to the
 group that fits under every constraint and is best by the rule, which is either the largest weighted dot product of
-demand and residual or the least norm of what would be left, both relative to the capacities; as many equal pieces as
-fit go into each bin of the group. The result equals placing the pieces one by one, without a step per piece.
+demand and residual or the least norm of what would be left, both relative to the capacities. By the norm a bin that took
+a piece is the best for an equal one, so as many as fit go into each bin of the group; by the dot product it is worse
+than its equals, so each takes one and the groups are compared again. The result equals placing the pieces one by one,
+without a step per piece.
 
 The plan says which ranks within a length go to which sequences. Ranks are counted per length in salted buckets, so a
 length that a third of all pieces has (copies) is spread over tasks; the plan's rows are joined by length and range.
@@ -165,10 +167,11 @@ def plan(lengths: dict[int, int], capacity: Capacity = Capacity()) -> list[tuple
             bins[key] = b
 
     def place(b: _Bins, length: int, each: int, count: int) -> None:
+        same = b.holds[-1][1] if b.holds and b.holds[-1][0] == length else 0
         put(
             _Bins(
                 count,
-                (*b.holds, (length, each)),
+                (*b.holds[: -1 if same else None], (length, same + each)),
                 b.tokens - each * length,
                 b.documents - each,
                 b.attention - each * length**2,
@@ -182,12 +185,12 @@ def plan(lengths: dict[int, int], capacity: Capacity = Capacity()) -> list[tuple
             if open_bins:
                 key, best = max(open_bins, key=lambda kb: (merit(kb[1], length), kb[0]))
                 del bins[key]
+                each = 1 if cap.rule == "dot" else min(fits(best, length), left)
             else:
                 each = min(fits(_Bins(1, (), *fresh), length), left)
                 if not each:
                     raise ValueError(f"a piece of {length} tokens fits no sequence under {cap}")
                 key, best = None, _Bins(math.ceil(left / each), (), *fresh)
-            each = min(fits(best, length), left)
             full = min(best.count, left // each)
             place(best, length, each, full)
             left -= full * each

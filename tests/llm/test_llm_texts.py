@@ -160,6 +160,39 @@ def test_plan_keeps_every_constraint(lengths, rule, documents_each):
     assert placed == Counter(lengths)
 
 
+def placed_one_by_one(lengths, cap):
+    """What each sequence holds, every piece placed by itself: the brute-force version of the plan."""
+    weight = [w / c**2 for w, c in zip(cap.weights, (cap.tokens, cap.documents, cap.attention), strict=True)]
+    bins = []
+    for length in sorted(lengths, reverse=True):
+        need = (length, 1, length * length)
+
+        def merit(left, need=need):
+            if cap.rule == "dot":
+                return sum(w * x * y for w, x, y in zip(weight, left, need, strict=True))
+            return -sum(w * (x - y) ** 2 for w, x, y in zip(weight, left, need, strict=True))
+
+        for _ in range(lengths[length]):
+            fit = [(merit(left), left, holds) for left, holds in bins if all(x >= y for x, y in zip(left, need, strict=True))]
+            left, holds = max(fit)[1:] if fit else ((cap.tokens, cap.documents, cap.attention), ())
+            if fit:
+                bins.remove((left, holds))
+            same = holds[-1][1] if holds and holds[-1][0] == length else 0
+            holds = (*holds[: -1 if same else None], (length, same + 1))
+            bins.append((tuple(x - y for x, y in zip(left, need, strict=True)), holds))
+    return Counter(holds for _, holds in bins)
+
+
+@examples(st.dictionaries(st.integers(1, 64), st.integers(1, 12), max_size=8), st.sampled_from(["norm", "dot"]), st.sampled_from([2, 5, 64]))
+@settings(max_examples=150, deadline=None)
+def test_plan_equals_placing_one_by_one(lengths, rule, documents_each):
+    cap = packing.Capacity(tokens=64, documents=documents_each, attention=64 * 64, rule=rule)
+    got = Counter()
+    for count, holds in packing.plan(lengths, cap):
+        got[holds] += count
+    assert got == placed_one_by_one(lengths, cap)
+
+
 ENCODERS: list = []
 
 

@@ -1,9 +1,11 @@
 """Results that are to be whole: nothing of a document goes that no other has."""
 
-from collections import defaultdict
+import random
+from collections import Counter, defaultdict
 
 import numpy as np
-from cases import frame, removed_lines, words
+from cases import documents, frame, removed_lines, words
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -75,6 +77,43 @@ def test_pipeline_gives_sequences_that_can_be_read(spark, sf):
         assert at <= 1024
 
 
+def test_pipeline_on_awkward_and_empty_tables(spark, folder):
+    """Nulls, repeated ids and rows, clashing names: every stage keeps the columns and adds no row; the clean text stays whole."""
+    rng = random.Random(4)
+    prose = [" ".join("".join(rng.choices("etaoinshrdlu", k=rng.randrange(3, 8))) for _ in range(60)) for _ in range(4)]
+    rows = documents() + [(100 + k, text, "en", "a", len(text)) for k, text in enumerate(prose)]
+    names = ("row", "doc", "piece", "ids", "length", "th", "ord", "cid", "words", "line", "kept", "lines")
+    docs = frame(spark, rows).withColumns({n: F.lit(n) for n in names})
+    item = " ".join(prose[1].split(" ")[10:40])
+    benchmark = spark.createDataFrame([(1, item), (2, None), (3, ""), (None, None)], "item_id BIGINT, text STRING")
+    for sub, part in (("full", docs), ("empty", docs.limit(0))):
+        part.write.parquet(f"{folder}/{sub}/documents.parquet")
+        benchmark.write.parquet(f"{folder}/{sub}/benchmark.parquet")
+        held = spark.read.parquet(f"{folder}/{sub}/documents.parquet")
+        left = Counter(r["doc_id"] for r in held.collect())
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+            out = stage(spark, held, f"{folder}/{sub}")
+            assert out.columns == docs.columns
+            out.write.parquet(f"{folder}/{sub}/stage{k}")
+            held = spark.read.parquet(f"{folder}/{sub}/stage{k}")
+            stay = Counter(r["doc_id"] for r in held.collect())
+            assert not stay - left
+            left = stay
+        packed = corpus_pipeline.run(spark, f"{folder}/{sub}").collect()
+        assert Counter(r["doc_id"] for r in packed if r["piece"] == 0) == left
+    exact = Tokenizer.from_file(vocabulary().definition)
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/full/stage3").collect()}
+    assert {100, 102, 103} <= texts.keys() and 101 not in texts and 1 not in texts
+    pieces = defaultdict(dict)
+    for r in corpus_pipeline.run(spark, f"{folder}/full").collect():
+        pieces[r["doc_id"]][r["start"]] = np.frombuffer(bytes(r["ids"]), "<u4")
+    for i in (100, 102, 103):
+        assert texts[i] == prose[i - 100]
+        own = np.concatenate([x for _, x in sorted(pieces[i].items())])
+        assert own.tolist() == [*exact.encode(texts[i], add_special_tokens=False).ids, 2]
+    assert not packed
+
+
 def test_short_items_are_met_as_whole_words(spark):
     items = [(1, "Who was Ada?"), (2, "pi"), (3, "水的化学式是什么"), (4, " "), (5, None)]
     rows = [
