@@ -4,6 +4,9 @@ A micro-batch takes at most so many rows of each log partition, one input partit
 the offsets alone, so a repeated batch reads the same ones. Offsets are dense: what is read ends before the first gap,
 so files of a write that is not done yet are never read around.
 
+Spark's own work for a micro-batch does not depend on its rows, so a reader of small batches that lags behind may take many
+of them at once: each is still the same rows of each partition, and every row says which batch it belongs to.
+
 Only footers of files are read on the driver, once each: a line per file. The rows are read in the tasks, and of a file
 only the row groups that hold wanted offsets.
 
@@ -26,7 +29,7 @@ import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructType
 
 from tallybook.schemas import EARLIEST, LOG_RECORD, MICRO_BATCH_ROWS
 from tallybook.sources.log_writer import FOLDER
@@ -52,11 +55,11 @@ class Stretch:
 
 
 class Slice(InputPartition):
-    """The rows of one log partition with offsets from start on and below end."""
+    """The rows of one log partition with offsets from start on and below end; batches are counted from begin on."""
 
-    def __init__(self, partition: int, start: int, end: int, files: Sequence[str]):
+    def __init__(self, partition: int, start: int, end: int, files: Sequence[str], begin: int = 0):
         super().__init__(partition)
-        self.partition, self.start, self.end, self.files = partition, start, end, list(files)
+        self.partition, self.start, self.end, self.files, self.begin = partition, start, end, list(files), begin
 
 
 def opened(path: str) -> tuple[fs.FileSystem, str]:
@@ -81,10 +84,12 @@ def stretch(files: fs.FileSystem, path: str) -> Stretch | None:
 
 
 class LogReader(DataSourceStreamReader):
-    def __init__(self, path: str, starts: Mapping[int, int], rows: int, notes: str):
+    def __init__(self, path: str, starts: Mapping[int, int], rows: int, notes: str, at_once: int | None = None):
         if rows < 1:
             raise ValueError("a batch needs at least one row of each partition")
-        self.path, self.starts, self.rows, self.notes = path, dict(starts), rows, notes
+        if at_once is not None and at_once < 1:
+            raise ValueError("at least one batch is taken at once")
+        self.path, self.starts, self.rows, self.notes, self.at_once = path, dict(starts), rows, notes, at_once
         self.known: dict[str, Stretch | None] = {}
         self.begins: dict[int, int] = {}
         self.position: dict[int, int] | None = None
@@ -122,7 +127,10 @@ class LogReader(DataSourceStreamReader):
         if not (notes := self._notes()):
             return {}
         with opened(self.notes)[0].open_input_stream(notes[-1][1]) as source:
-            return {int(p): at for p, at in json.loads(source.read()).items()}
+            noted = json.loads(source.read())
+        # Where a partition began is noted too: the earliest offset there is may have changed since.
+        self.begins = {int(p): at for p, at in noted.get("begins", {}).items()} | self.begins
+        return {int(p): at for p, at in noted.get("position", noted).items()}
 
     def _note(self, position: Mapping[int, int]) -> None:
         """A new file for each note, complete when it has its name; older ones go."""
@@ -131,7 +139,8 @@ class LogReader(DataSourceStreamReader):
         notes = self._notes()
         number = notes[-1][0] + 1 if notes else 0
         with files.open_output_stream(f"{root}/{number}.part") as sink:
-            sink.write(json.dumps({str(p): at for p, at in position.items()}).encode())
+            named = {"position": position, "begins": self.begins}
+            sink.write(json.dumps({name: {str(p): at for p, at in of.items()} for name, of in named.items()}).encode())
         files.move(f"{root}/{number}.part", f"{root}/{number}.json")
         for _, path in notes[:-1]:
             files.delete_file(path)
@@ -150,16 +159,22 @@ class LogReader(DataSourceStreamReader):
             for s in held:
                 if s.first <= end <= s.last:
                     end = s.last + 1
-            ends[str(partition)] = min(end, at + self.rows)
+            ends[str(partition)] = min(end, self._bound(partition, at))
         return ends
 
+    def _bound(self, partition: int, at: int) -> int:
+        """Where a micro-batch that starts at this offset ends at the latest."""
+        return at + self.rows * (1 if self.at_once is None else self.at_once)
+
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
+        if self.position is None:
+            self.position = self._noted()
         slices = []
         for name, to in end.items():
             at = start[name] if name in start else self._begin(int(name))
             if at < to:
                 files = [s.path for s in self._held(int(name)) if s.first < to and s.last >= at]
-                slices.append(Slice(int(name), at, to, files))
+                slices.append(Slice(int(name), at, to, files, 0 if self.at_once is None else self._begin(int(name))))
         position = {int(name): to for name, to in end.items()}
         if position != self.position or start != end:
             self._note(position)
@@ -180,35 +195,53 @@ class LogReader(DataSourceStreamReader):
                     inside = pc.and_(pc.greater_equal(here, partition.start), pc.less(here, partition.end))
                     rows = batch.filter(inside).select(ARROW.names).cast(ARROW)
                     got += len(rows)
-                    yield rows
+                    yield rows if self.at_once is None else self._numbered(rows, partition.begin)
         if got != partition.end - partition.start:
             raise ValueError(f"partition {partition.partition} lost rows of {partition.start} to {partition.end}: {got} are left")
 
 
+    def _numbered(self, rows: pa.RecordBatch, begin: int) -> pa.RecordBatch:
+        """The rows with the number of their batch; offsets are at or behind begin, so the division rounds down."""
+        return rows.append_column("batch", pc.divide(pc.subtract(rows.column("offset"), begin), self.rows))
+
+
 class LogFolders(DataSource):
-    """Options: path, starts (a JSON object of partition and offset), rows (of a partition per batch at most), notes."""
+    """Options: path, starts (a JSON object of partition and offset), rows (of a partition per batch at most), notes,
+    and, if batches are numbered, at_once (so many of them at most)."""
 
     @classmethod
     def name(cls) -> str:
         return "log_folders"
 
     def schema(self) -> StructType:
-        return LOG_RECORD
+        numbered = StructType([*LOG_RECORD.fields]).add("batch", LongType())
+        return numbered if "at_once" in self.options else LOG_RECORD
 
     def streamReader(self, schema: StructType) -> DataSourceStreamReader:
         starts = {int(p): int(at) for p, at in json.loads(self.options["starts"]).items()}
-        return LogReader(self.options["path"], starts, int(self.options["rows"]), self.options["notes"])
+        at_once = int(self.options["at_once"]) if "at_once" in self.options else None
+        return LogReader(self.options["path"], starts, int(self.options["rows"]), self.options["notes"], at_once)
 
 
 def read_log_folders(
-    spark: SparkSession, path: str, starts: Mapping[int, int], checkpoint: str, rows: int = MICRO_BATCH_ROWS
+    spark: SparkSession,
+    path: str,
+    starts: Mapping[int, int],
+    checkpoint: str,
+    rows: int = MICRO_BATCH_ROWS,
+    at_once: int | None = None,
 ) -> DataFrame:
     """Streaming log records of the given partitions, each from its start on; checkpoint is that of the query.
 
+    With at_once, a micro-batch of Spark takes up to so many batches of `rows` rows of a partition, and the column `batch` has
+    the number of a row's batch: from 0, counted from where the partition began. Otherwise it takes one.
+
     As long as the checkpoint is there, a restart goes on from it and not from the starts. Take a trigger by time:
     availableNow would take one batch and end.
     """
     spark.dataSource.register(LogFolders)
     options = {"path": path, "starts": json.dumps({str(p): at for p, at in starts.items()}), "rows": str(rows)}
     options["notes"] = f"{checkpoint.rstrip('/')}/planned"
+    if at_once is not None:
+        options["at_once"] = str(at_once)
     return spark.readStream.format(LogFolders.name()).options(**options).load()

@@ -8,8 +8,6 @@ the tasks hold of each partition (a row per task and partition) gives where each
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,20 +37,30 @@ def _shifted(x: Column, bits: int) -> Column:
 
 
 def _word(key: Column, at: int) -> Column:
-    """Four bytes from `at` on as a number, the first one least."""
-    digits = [F.hex(F.substring(key, at + k, 1)) for k in (3, 2, 1, 0)]
-    return F.conv(F.concat(*digits), 16, 10).cast("bigint")
+    """Four bytes from `at` on as a number, the first one most."""
+    return F.conv(F.hex(F.substring(key, at, 4)), 16, 10).cast("bigint")
 
 
-def partition_of(key: Column, partitions: int = PARTITIONS) -> Column:
-    """The log partition of a key of 16 bytes; null for a key of another length."""
+def _turned(x: Column) -> Column:
+    """The number with its four bytes in the other order."""
+    ends = F.shiftleft(x.bitwiseAND(_long(0xFF)), 24).bitwiseOR(F.shiftright(x, 24))
+    inner = F.shiftleft(x.bitwiseAND(_long(0xFF00)), 8).bitwiseOR(F.shiftright(x, 8).bitwiseAND(_long(0xFF00)))
+    return ends.bitwiseOR(inner)
 
-    def mixed(h: Column, at: int) -> Column:
-        return _times(h).bitwiseXOR(_times(_shifted(_times(_word(key, at)), 24)))
 
-    h = reduce(mixed, range(1, KEY_BYTES, 4), _long(SEED ^ KEY_BYTES))
-    h = _shifted(_times(_shifted(h, 13)), 15)
-    number = F.pmod(h.bitwiseAND(_long(0x7FFFFFFF)), _long(partitions)).cast("int")
+def partition_of(key: Column, partitions: int = PARTITIONS) -> Column:
+    """The log partition of a key of 16 bytes; null for a key of another length.
+
+    Every step that is used twice is bound by a lambda; written out, they would be worked out once for each use of a use.
+    """
+    words = F.array(*(_word(key, at) for at in range(1, KEY_BYTES, 4)))
+    for step in (_turned, _times, lambda x: _shifted(x, 24), _times):
+        words = F.transform(words, step)
+    h = F.aggregate(words, _long(SEED ^ KEY_BYTES), lambda h, word: _times(h).bitwiseXOR(word))
+    last = F.array(h)
+    for step in (lambda x: _times(_shifted(x, 13)), lambda x: _shifted(x, 15)):
+        last = F.transform(last, step)
+    number = F.pmod(last[0].bitwiseAND(_long(0x7FFFFFFF)), _long(partitions)).cast("int")
     return F.when(F.octet_length(key) == KEY_BYTES, number)
 
 

@@ -201,6 +201,45 @@ def test_batches_by_offset_are_bounded_and_go_on_after_a_crash(spark, folder):
             assert all(first + number * bound <= o < first + (number + 1) * bound for q, o, _ in seen[number] if q == p)
 
 
+def test_small_batches_are_taken_many_at_once(spark, folder):
+    """Numbers follow from the offsets over a crash, a restart and rows that come later; what Spark takes stays bounded."""
+    _log_in_folders(spark, folder, 600)
+    starts, rows, at_once, seen, crash = {0: 10, 2: log_folders.EARLIEST}, 7, 6, {}, [True]
+
+    def write(batch, number):
+        got = [(r["partition"], r["offset"], r["batch"]) for r in batch.collect()]
+        if number == 1 and crash:
+            crash.clear()
+            raise RuntimeError("lost")
+        seen[number] = got
+
+    def start():
+        stream = log_folders.read_log_folders(spark, f"{folder}/log", starts, f"{folder}/cp", rows, at_once)
+        return stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{folder}/cp").start()
+
+    query = start()
+    with pytest.raises(Exception, match="lost"):
+        query.processAllAvailable()
+    query = start()
+    query.processAllAvailable()
+    query.stop()
+    few = len(seen)
+    more = spark.createDataFrame([(bytes([k]) * 16, b"", None, k) for k in range(50)] * 4, RECORD).withColumn("timestamp", F.timestamp_seconds("n"))
+    log_writer.append_folders(more, f"{folder}/log", ("n",), 3, log_writer.last_offsets(spark.read.parquet(f"{folder}/log")))
+    query = start()
+    query.processAllAvailable()
+    query.stop()
+    begin = {0: 10, 2: 0}
+    held = [(r["partition"], r["offset"]) for r in spark.read.parquet(f"{folder}/log").collect()]
+    want = sorted((p, o, (o - begin[p]) // rows) for p, o in held if p in begin and o >= begin[p])
+    assert sorted(row for got in seen.values() for row in got) == want
+    assert all(len([r for r in got if r[0] == p]) <= rows * at_once for got in seen.values() for p in starts)
+    # A sixth of the micro-batches that one batch each would take.
+    assert few <= max(b for _, _, b in want) // at_once + 2
+    with pytest.raises(ValueError, match="at least one batch"):
+        log_folders.LogReader(folder, starts, rows, folder, 0)
+
+
 def test_ingest_goes_on_at_the_stored_offsets(spark, folder):
     """Two runs with checkpoints of their own over one book: the second starts behind what the first committed."""
     held = _log_in_folders(spark, folder, 400)
