@@ -104,6 +104,28 @@ def test_running_balances_survive_a_restart(spark, folder):
             query.awaitTermination()
 
 
+def test_state_is_kept_by_bucket(spark, folder):
+    """A thousand accounts and ids in three buckets: the state has a key for each bucket, and all that is in it."""
+    rows = [(f"t{k % 900}", f"a{k % 1000}", k, 0, k) for k in range(2000)]
+    schema = "id STRING, account_id STRING, amount BIGINT, partition_id INT, log_offset BIGINT"
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/in")
+    accounts = spark.createDataFrame([(f"a{k}", k) for k in range(800)], "id STRING, balance BIGINT")
+    stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+    queries = {"balance": running.running_balances(stream, accounts, 3), "seen": running.first_in_memory(stream, 3_600_000, buckets=3)}
+    with running.state_store(spark):
+        for name, df in queries.items():
+            query = df.writeStream.outputMode("update" if name == "balance" else "append")
+            query = query.foreachBatch(lambda batch, _, name=name: batch.write.parquet(f"{folder}/{name}"))
+            query.option("checkpointLocation", f"{folder}/cp-{name}").trigger(once=True).start().awaitTermination()
+            state = spark.read.format("statestore").option("path", f"{folder}/cp-{name}").option("stateVarName", name).load()
+            assert state.select("key").distinct().count() == 3
+        held = {r["id"]: tuple(r)[1:] for r in running.stored_balances(spark, f"{folder}/cp-balance").collect()}
+        ids = [r["id"] for r in running.remembered(spark, f"{folder}/cp-seen").collect()]
+    assert held == {f"a{k}": ((k if k < 800 else 0) + k + k + 1000, k < 800, 2) for k in range(1000)}
+    passed = {r["id"]: r["log_offset"] for r in spark.read.parquet(f"{folder}/seen").collect()}
+    assert passed == {f"t{k}": k for k in range(900)} and sorted(ids) == sorted(passed)
+
+
 def test_sums_go_into_few_rows(spark):
     rows = spark.range(0, 20_000, 1, 4).select(F.lit("hot").alias("account_id"), F.lit(2**62).alias("amount"))
     summed = running.summed_by_batch(rows).collect()
