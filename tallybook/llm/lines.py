@@ -9,7 +9,7 @@ n - ceil(t n) + 1 rarest ones: two similar sets share one of these. Rarity comes
 table of fixed size; any common order gives the same result. Pairs that meet under a word pass a length filter, a
 positional filter (the words from here on have to suffice for the overlap) and a parity filter (128 bits that each word
 flips one of: sets that differ in d words differ in at most d bits). What is left is verified on the full sets. Texts are
-hashed once for rarity and once for a stored table of lines and postings, which every later step reads.
+hashed once for rarity and once for a stored table of lines, each with the words of its prefix, which every later step reads.
 
 A line needs one earlier match, not all of them. So each posting list is read in order, by classes of size, and a set
 leaves it with the first earlier set that passes the filters with `margin` bits to spare; up to there, it takes what just
@@ -191,12 +191,14 @@ SETS = T.StructType(
         T.StructField("at", T.IntegerType()),
     ]
 )
+#: The same, one row per line: the words of its prefix in order, or the first one if the set is not `new` to the task.
+PACKED = T.StructType([*SETS.fields[:7], T.StructField("tokens", T.ArrayType(T.LongType())), T.StructField("new", T.BooleanType())])
 #: Names that a task remembers; a set that is sent twice does no harm.
 REMEMBERED = 200_000
 
 
-def line_sets(docs: DataFrame, how: Similar, counts: np.ndarray) -> DataFrame:
-    """SETS of all lines that have a word: the one pass in which texts are hashed for their lines."""
+def packed_sets(docs: DataFrame, how: Similar, counts: np.ndarray) -> DataFrame:
+    """PACKED lines that have a word: the one pass in which texts are hashed for their lines."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,15 +220,26 @@ def line_sets(docs: DataFrame, how: Similar, counts: np.ndarray) -> DataFrame:
                 rare = counts[(sets.tokens % np.uint64(how.rarity_buckets)).astype(np.int64)]
                 ordered = sets.tokens[_by_rarity(sets, rare)]
                 at = np.arange(len(of)) - np.repeat(sets.starts, sets.sizes)
-                chosen = (at < np.where(new, prefix(sets.sizes, how.percent), 1)[of])
-                of, at = of[chosen], np.where(new[of], at, -1)[chosen]
+                taken = np.where(new, prefix(sets.sizes, how.percent), 1)
+                words = pa.array(ordered[at < taken[of]].view(np.int64))
                 row = rows[sets.line]
-                wide = (ords[row], hashes[row], numbers[sets.line].astype(np.int32), names, parities, second)
-                columns = [*(c[of] for c in wide), sets.sizes[of].astype(np.int32), ordered[chosen].view(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, at.astype(np.int32))], names=SETS.names)
+                wide = (ords[row], hashes[row], numbers[sets.line].astype(np.int32), names, parities, second, sets.sizes.astype(np.int32))
+                tokens = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(taken)].astype(np.int32)), words)
+                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in wide), tokens, pa.array(new)], names=PACKED.names)
 
     # In order, so that the first line of a set in a task is the earliest one there.
-    return _keyed(docs).sortWithinPartitions("ord", "th").mapInArrow(run, SETS)
+    return _keyed(docs).sortWithinPartitions("ord", "th").mapInArrow(run, PACKED)
+
+
+def unpacked(packed: DataFrame) -> DataFrame:
+    """PACKED lines as SETS."""
+    wide = packed.select("*", F.posexplode("tokens").alias("place", "token"))
+    return wide.withColumn("at", F.when(F.col("new"), F.col("place")).otherwise(-1)).select(*SETS.names)
+
+
+def line_sets(docs: DataFrame, how: Similar, counts: np.ndarray) -> DataFrame:
+    """SETS of all lines that have a word."""
+    return unpacked(packed_sets(docs, how, counts))
 
 
 def postings(docs: DataFrame, how: Similar, counts: np.ndarray) -> DataFrame:
@@ -526,9 +539,9 @@ def removed_lines(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
 
 def _removed(docs: DataFrame, how: Similar, scratch: Scratch) -> DataFrame:
     counts = rarity(docs, how)
-    sets = scratch.stored(line_sets(docs, how, counts), "lines")
-    similar = similar_sets(sets.filter("at >= 0"), docs, counts, how, scratch)
-    lines = sets.filter("at <= 0").select("ord", "th", "line", *SET)
+    sets = scratch.stored(packed_sets(docs, how, counts), "lines")
+    similar = similar_sets(unpacked(sets.filter("new")), docs, counts, how, scratch)
+    lines = sets.select("ord", "th", "line", *SET)
     repeated = lines.groupBy(*SET).count().filter("count > 1").select(*SET, F.lit(False).alias("similar"))
     told = repeated.unionByName(similar.withColumn("similar", F.lit(True))).groupBy(*SET).agg(F.max("similar").alias("similar"))
     touched = scratch.stored(joined_small(lines, told, SET, SMALL_ROWS), "touched-lines")

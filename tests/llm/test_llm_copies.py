@@ -409,3 +409,19 @@ def test_pipeline_by_brute_force(spark, sf):
         print(name, len(before), len(after))
     run = corpus_pipeline.run(spark, sf)
     assert sorted(tuple(r)[:5] for r in run.collect()) == sorted(r[:5] for r in after)
+
+
+def test_lines_are_stored_once_with_their_prefix(spark):
+    """A row per line, however many words it is posted under; a set its task has sent before has one word."""
+    texts = [(1, "a b c d e f g h i j k\nx y"), (2, "k j i h g f e d c b a\n\nx z")]
+    docs = spark.createDataFrame(texts, "doc_id BIGINT, text STRING").coalesce(1)
+    how = lines.Similar()
+    counts = lines.rarity(docs, how)
+    packed = lines.packed_sets(docs, how, counts)
+    rows = {(r["ord"], r["line"]): r for r in packed.collect()}
+    assert {at: (r["size"], r["new"], len(r["tokens"])) for at, r in rows.items()} == {
+        (1, 0): (11, True, 3), (1, 1): (2, True, 1), (2, 0): (11, False, 1), (2, 2): (2, True, 1)
+    }
+    got = sorted((r["ord"], r["line"], r["at"], r["token"]) for r in lines.unpacked(packed).collect())
+    want = [(*at, k if r["new"] else -1, t) for at, r in rows.items() for k, t in enumerate(r["tokens"])]
+    assert got == sorted(want)
