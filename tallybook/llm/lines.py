@@ -15,9 +15,12 @@ A line needs one earlier match, not all of them. So each posting list is read in
 leaves it with the first earlier set that passes the filters with `margin` bits to spare; up to there, it takes what just
 passes as well. Thousands of copies of a line, all a little different, give a row each and not a row per pair. Sets that
 left a list and have no similar set among their candidates get all the others in a second round, so nothing is missed.
-Where unlike lines make a list long, so that a set is still open after `pivots` candidates, the list's sets are posted
-again under its word and each other one of a prefix that is longer by one: similar sets share two words of that. This goes
-on, word by word, until no list is long, so no list is compared in full.
+The first sets of a class are met by all others one by one; if many pairs are left, blocks of sets are compared with blocks
+by their parity bits alone, and the filters see what that lets through.
+Where unlike lines make a list so long that a set is still open after `pivots` candidates, or `by_bits` times as many sets
+in blocks, the list's sets are posted again under its word and each other one of a prefix that is longer by one: similar
+sets share two words of that. This goes on, word by word, until no list is long, so no list is compared in full.
+Postings go through the shuffle as bytes, many in a row: by row, the JVM took longer with them than the comparison.
 
 Defined results: null and empty texts have no line and stay as they are; null ids count as larger than any other; rows
 that agree in id and text are one document, and get the same result; rows that share only the id are ordered by place,
@@ -63,6 +66,8 @@ class Similar:
     most_words: int = 4
     #: Bits below the bound of the parity filter from which on a candidate is taken for similar until verified.
     margin: int = 2
+    #: Sets of a list that are compared by their bits alone, in blocks, for the time of one candidate.
+    by_bits: int = 32
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -155,9 +160,17 @@ def _lines(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return [line for x in split for line in x], rows, numbers
 
 
+#: The counts of a task are sent in so many rows.
+SEGMENTS = 64
+
+
 def rarity(docs: DataFrame, how: Similar) -> np.ndarray:
     """How often words occur, by hash bucket of the word."""
-    schema = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("n", T.LongType())])
+    schema = T.StructType([T.StructField("segment", T.IntegerType()), T.StructField("n", T.BinaryType())])
+
+    def sent(counts: np.ndarray) -> pa.RecordBatch:
+        split = [(k, x.tobytes()) for k, x in enumerate(np.array_split(counts, SEGMENTS)) if x.any()]
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in split], pa.int32()), pa.array([x for _, x in split], pa.binary())], names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(how.rarity_buckets, np.int64)
@@ -165,14 +178,22 @@ def rarity(docs: DataFrame, how: Similar) -> np.ndarray:
             for _, hashes, _ in flat_words([x.lower() for x in as_bytes(batch.column("text"))]):
                 buckets = (_tokens(hashes) % np.uint64(how.rarity_buckets)).astype(np.int64)
                 counts += np.bincount(buckets, minlength=how.rarity_buckets)
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], names=schema.names)
+        yield sent(counts)
 
-    found = _keyed(docs).select("text").mapInArrow(run, schema).groupBy("bucket").agg(F.sum("n").alias("n"))
-    # Two numbers per bucket, whatever the corpus.
-    rows = found.toPandas()
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(how.rarity_buckets, np.int64)
+        own = np.array_split(counts, SEGMENTS)
+        for batch in batches:
+            for k, n in zip(batch.column("segment").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                own[k] += np.frombuffer(n, np.int64)
+        yield sent(counts)
+
+    found = _keyed(docs).select("text").mapInArrow(run, schema).repartition("segment").mapInArrow(added, schema)
+    # A number per bucket, whatever the corpus.
     counts = np.zeros(how.rarity_buckets, np.int64)
-    counts[rows["bucket"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    own = np.array_split(counts, SEGMENTS)
+    for row in found.collect():
+        own[row["segment"]] += np.frombuffer(row["n"], np.int64)
     return counts
 
 
@@ -266,6 +287,20 @@ PAIRS = T.StructType(
 POSTING = ["token", *PLACE, *SET, "parity_2", "size", "at"]
 
 
+def posting_names(token: np.ndarray, name: np.ndarray) -> np.ndarray:
+    """A hash of each pair of a token and a set."""
+    return mix(token.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + name.view(np.uint64))
+
+
+def _order(key: np.ndarray) -> np.ndarray:
+    """The stable order of keys that are not negative; small ones are sorted together with their places, which is faster."""
+    bits = np.uint64(len(key).bit_length())
+    if not len(key) or int(key.max()) >> int(64 - bits):
+        return np.argsort(key, kind="stable")
+    packed = np.sort(key.astype(np.uint64) << bits | np.arange(len(key), dtype=np.uint64))
+    return (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+
+
 class _Lists:
     """Whole posting lists, in which sets are compared with those before them.
 
@@ -277,16 +312,22 @@ class _Lists:
         number = np.cumsum(np.r_[True, token[1:] != token[:-1]]) - 1 if len(token) else np.zeros(0, np.int64)
         size = column["size"].astype(np.int64)
         key = number * 256 + self.classes(size, how)
-        order = np.argsort(key, kind="stable")
+        order = _order(key)
         # A set that several tasks sent counts once, at its first line.
-        mixed = mix(token.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + column["name"].view(np.uint64))[order]
-        order = order[np.sort(np.unique(mixed, return_index=True)[1])]
+        mixed = posting_names(token, column["name"])[order]
+        ranked = np.sort(mixed)
+        again = np.isin(mixed, distinct(ranked[1:][ranked[1:] == ranked[:-1]])).nonzero()[0]
+        if len(again):
+            _, first = np.unique(mixed[again], return_index=True)
+            order = np.delete(order, np.delete(again, first))
         self.how, self.words = how, words
         self.row = order
         self.column = {c: v[order] for c, v in column.items()}
         self.size = size[order]
         self.reach = self.size - self.column["at"]
         self.bits = [self.column[c].view(np.uint64) for c in ("parity", "parity_2")]
+        #: More bits than that no similar set differs in, whatever its size.
+        self.cap = self.bound(self.size, self.size * 100 // how.percent)
         #: In order of list, class and place.
         self.sorted = key[order] << 32 | order
 
@@ -305,14 +346,26 @@ class _Lists:
 
     def segment(self, step: int) -> tuple[np.ndarray, np.ndarray]:
         """For each row where the rows of its class + step begin, and where those before it end."""
-        target = (self.sorted >> 32) + step
-        starts = np.searchsorted(self.sorted, target << 32)
-        ends = np.arange(len(starts)) if not step else np.searchsorted(self.sorted, target << 32 | self.row)
+        own = self.sorted >> 32
+        if not step:
+            rows = np.arange(len(own))
+            return np.maximum.accumulate(np.where(np.r_[True, own[1:] != own[:-1]][: len(own)], rows, 0)), rows
+        firsts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]][: len(own)])
+        starts = np.repeat(np.searchsorted(self.sorted, (own[firsts] + step) << 32), np.diff(np.r_[firsts, len(own)]))
+        there = np.flatnonzero(own[np.minimum(starts, len(own) - 1)] == own + step)
+        ends = starts.copy()
+        ends[there] = np.searchsorted(self.sorted, (own[there] + step) << 32 | self.row[there])
         return starts, ends
 
+    def bound(self, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+        """In how many words similar sets of sizes up to n and m can differ; 255 stands for more."""
+        return np.minimum((n + m) * (100 - self.how.percent) // (100 + self.how.percent), 255).astype(np.uint8)
+
     def spare(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The pairs that pass all filters, and the bits by which they stay below the parity bound."""
         percent = self.how.percent
+        some = np.flatnonzero(np.bitwise_count(self.bits[0][x] ^ self.bits[0][y]) <= self.cap[x])
+        x, y = x[some], y[some]
         n, m = self.size[x], self.size[y]
         some = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
         x, y, n, m = x[some], y[some], n[some], m[some]
@@ -327,8 +380,8 @@ class _Lists:
     def meetings(self, every: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray | None, np.ndarray]]:
         """Rows x, y (y before x in its list; both pass the filters), and whether x leaves its list with y.
 
-        After `pivots` candidates x is given without y if a longer prefix can take its list apart. With `every`, the rows
-        it marks meet all and never leave.
+        After `pivots` candidates, or `by_bits` times as many sets that are compared in blocks, x is given without y if a
+        longer prefix can take its list apart. With `every`, the rows it marks meet all and never leave.
         """
         least = -(-self.how.percent * self.size // 100)
         splits = (least > self.words) & (self.words < self.how.most_words) & (every is None)
@@ -347,67 +400,242 @@ class _Lists:
                     open_[one[done]] = every is not None
                 k += 1
                 x = x[open_[x] & (starts[x] + k < ends[x])]
+                if k == min(FEW, self.how.pivots) and len(x):
+                    cuts = np.flatnonzero(np.r_[True, starts[x][1:] != starts[x][:-1], True])
+                    many = np.add.reduceat(ends[x] - starts[x] - k, cuts[:-1]) >= MANY_PAIRS
+                    for g in np.flatnonzero(many):
+                        rows = x[cuts[g] : cuts[g + 1]]
+                        yield from self.in_blocks(rows, starts[rows[0]], k, ends, splits, open_, every is not None)
+                    x = x[~np.repeat(many, np.diff(cuts))]
                 if k == self.how.pivots and splits[x].any():
                     long = x[splits[x]]
                     yield long, None, np.zeros(len(long), bool)
                     x = x[~splits[x]]
 
-
+    def in_blocks(
+        self, rows: np.ndarray, start: int, k: int, ends: np.ndarray, splits: np.ndarray, open_: np.ndarray, stay: bool
+    ) -> Iterator[tuple[np.ndarray, np.ndarray | None, np.ndarray]]:
+        """The meetings of rows with the sets of one segment from its k-th on, by bits first, blocks of both at once."""
+        most = start + self.how.pivots * self.how.by_bits
+        for at in range(0, len(rows), BLOCK_ROWS):
+            block = rows[at : at + BLOCK_ROWS]
+            # Rows of a class come in order, and their ends too.
+            until = np.where(splits[block], np.minimum(ends[block], most), ends[block])
+            for first in range(start + k, int(until.max()), BLOCK_SETS):
+                some = open_[block] & (until > first)
+                block, until = block[some], until[some]
+                if not len(block):
+                    break
+                last = min(first + BLOCK_SETS, int(until.max()))
+                bound = self.bound(self.size[block], self.size[first:last].max())
+                bits = np.bitwise_count(self.bits[0][block][:, None] ^ self.bits[0][first:last])
+                if bound.max() > 16:
+                    # Large sets: half of the bits would let too many pass. Two counts of 64 at most fit into a byte.
+                    bits += np.bitwise_count(self.bits[1][block][:, None] ^ self.bits[1][first:last])
+                one, two = np.divmod(np.flatnonzero(bits <= bound[:, None]), last - first)
+                near = two + first < until[one]
+                one, two, spare = self.spare(block[one[near]], two[near] + first)
+                if not len(one):
+                    continue
+                done = np.zeros(len(one), bool) if stay else spare >= self.how.margin
+                if done.any():
+                    # Each row takes what it meets up to the set it leaves with.
+                    leaves, where = np.unique(one[done], return_index=True)
+                    place = np.minimum(np.searchsorted(leaves, one), len(leaves) - 1)
+                    taken = (leaves[place] != one) | (two <= two[done][where][place])
+                    one, two, done = one[taken], two[taken], done[taken]
+                    open_[leaves] = False
+                yield one, two, done
+        long = rows[splits[rows] & open_[rows] & (ends[rows] > most)]
+        if len(long):
+            yield long, None, np.zeros(len(long), bool)
+
+
+#: Sets of a segment that all others meet one by one before the rest is compared in blocks, if it has so many pairs.
+FEW = 4
+MANY_PAIRS = 3000
+#: Rows and sets of a block; its bits fit into a processor's cache.
+BLOCK_ROWS = 256
+BLOCK_SETS = 1024
 #: Rows of posting lists handled together.
 LIST_ROWS = 300_000
+#: Postings travel as bytes, those of a bucket of tokens together: a row of Spark's costs more than the work on it.
+POSTED = [("token", "<i8"), ("ord", "<i8"), ("name", "<i8"), ("parity", "<i8"), ("parity_2", "<i8"), ("line", "<i4"), ("size", "<i4"), ("at", "<i4")]
+DEALT = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("postings", T.BinaryType())])
+#: Buckets of tokens for each partition of a shuffle, so that partitions get about as much, and in all.
+BUCKETS_A_PARTITION = 32
+MOST_BUCKETS = 1 << 15
+
 
+@dataclass
+class _Open:
+    """Pairs of a token and a set whose lists are to be read again."""
+
+    tokens: np.ndarray
+    names: np.ndarray
+
+    def __post_init__(self) -> None:
+        self.tokens, self.names = distinct(self.tokens), distinct(self.names)
+        # Most tokens are told from these by a few of their bits.
+        self.some = np.zeros(1 << 22, bool)
+        self.some[self.tokens & ((1 << 22) - 1)] = True
+
+    def lists(self, token: np.ndarray) -> np.ndarray:
+        """Places of the tokens that are among these."""
+        near = np.flatnonzero(self.some[token & ((1 << 22) - 1)])
+        return near[_among(token[near], self.tokens)]
+
+
+def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether each is among the known ones, which are in order."""
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x if len(known) else np.zeros(len(x), bool)
+
+
+def _records(batch: pa.RecordBatch, kind: np.dtype, open_: _Open | None) -> np.ndarray:
+    """Postings, or PACKED lines, as an array of postings; of open ones the whole lists, with their sets marked."""
+    made: dict[str, np.ndarray] = {}
+    if "tokens" in batch.schema.names:
+        sizes = batch.column("tokens").value_lengths().to_numpy()
+        of = np.repeat(np.arange(len(sizes)), sizes)
+        made = {"token": batch.column("tokens").flatten().to_numpy(), "at": np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)}
+    else:
+        of = np.arange(batch.num_rows)
+        made = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "at")}
+    if open_:
+        some = open_.lists(made["token"])
+        of, made = of[some], {c: x[some] for c, x in made.items()}
+        names = posting_names(made["token"], batch.column("name").to_numpy(zero_copy_only=False)[of])
+        made["wanted"] = _among(names, open_.names)
+    rows = np.empty(len(of), kind)
+    for c in kind.names:
+        rows[c] = made[c] if c in made else batch.column(c).to_numpy(zero_copy_only=False)[of]
+    return rows
+
+
+def _dealt(lists: DataFrame, kind: np.dtype, open_: _Open | None) -> DataFrame:
+    """DEALT postings, those of a bucket in one partition and together."""
+    shared = lists.sparkSession.sparkContext.broadcast(open_) if open_ else None
+    buckets = min(BUCKETS_A_PARTITION * int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_BUCKETS)
+
+    def sent(held: list[np.ndarray]) -> pa.RecordBatch:
+        rows = np.concatenate(held)
+        bucket = (mix(rows["token"].view(np.uint64)) % np.uint64(buckets)).astype(np.uint16)
+        sizes = np.bincount(bucket, minlength=buckets)
+        some = np.flatnonzero(sizes)
+        data = rows[np.argsort(bucket, kind="stable")].view(np.uint8)
+        places = np.r_[0, np.cumsum(sizes[some])] * kind.itemsize
+        blobs = pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(data)])
+        return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), blobs], names=DEALT.names)
 
-def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
-    """Sorted rows in parts that end with a list."""
-    held: list[dict[str, np.ndarray]] = []
-    rows = 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in parts(batches, 10_000):
+            held.append(_records(batch, kind, shared.value if shared else None))
+            if sum(map(len, held)) >= LIST_ROWS:
+                yield sent(held)
+                held = []
+        if sum(map(len, held)):
+            yield sent(held)
+
+    return lists.mapInArrow(run, DEALT).repartition("bucket").sortWithinPartitions("bucket")
+
+
+def _in_order(rows: np.ndarray) -> np.ndarray:
+    """Postings by token, place and set; those of a token that occurs once are left out, for they meet nothing."""
+    if not len(rows):
+        return rows
+    order = np.argsort(rows["token"])
+    token = rows["token"][order]
+    new = np.r_[True, token[1:] != token[:-1], True]
+    some = ~(new[:-1] & new[1:])
+    order, number = order[some], np.cumsum(new[:-1])[some]
+    place = rows["ord"][order]
+    low, line = place.min(initial=LAST), rows["line"][order]
+    wide, long = int(place.max(initial=0)) - int(low), int(line.max(initial=0)).bit_length()
+    if len(order) and (int(number[-1]).bit_length() + wide.bit_length() + long) < 64:
+        at = number << (wide.bit_length() + long) | (place - low) << long | line
+        ranked = np.argsort(at)
+        at = at[ranked]
+        # Rows that share an id only are in order of their sets.
+        tied = (at[1:] == at[:-1]).any()
+        order = order[ranked]
+    else:
+        tied = True
+    rows = rows[order]
+    return rows[np.lexsort(tuple(rows[c] for c in ("parity", "name", "line", "ord", "token")))] if tied else rows
+
+
+def _whole_lists(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[dict[str, np.ndarray]]:
+    """Postings in parts that end with a bucket, and so with a list."""
+    held: list[np.ndarray] = []
+    size, last = 0, None
 
     def joined() -> dict[str, np.ndarray]:
-        return {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+        rows = _in_order(np.concatenate(held))
+        return {c: np.ascontiguousarray(rows[c]) for c in kind.names}
 
     for batch in batches:
-        held.append({c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names})
-        rows += batch.num_rows
-        if rows < LIST_ROWS:
-            continue
-        column = joined()
-        cut = int(np.searchsorted(column["token"], column["token"][-1]))
-        if cut:
-            yield {c: v[:cut] for c, v in column.items()}
-        held = [{c: v[cut:] for c, v in column.items()}]
-        # A list longer than that waits until it has grown by half.
-        rows = 0 if cut else -len(column["token"]) // 2
+        for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("postings"), strict=True):
+            if bucket != last and size >= LIST_ROWS:
+                yield joined()
+                held, size = [], 0
+            held.append(np.frombuffer(data.as_py(), kind))
+            size, last = size + len(held[-1]), bucket
+    if size:
+        yield joined()
+
+
+def _gathered(meetings: Iterator[tuple[np.ndarray, np.ndarray | None, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The same in fewer parts; y is -1 where there is none."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    size = 0
+    for x, y, left in meetings:
+        held.append((x, np.full(len(x), -1) if y is None else y, left))
+        size += len(x)
+        if size >= 10_000:
+            yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
+            held, size = [], 0
     if held:
-        column = joined()
-        if len(column["token"]):
-            yield column
+        yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
 
 
-def _met(lists: DataFrame, how: Similar, marked: bool, words: int = 1) -> DataFrame:
-    """PAIRS of sets that meet under a token and pass the filters; the second one is the earlier."""
+def _met(lists: DataFrame, how: Similar, marked: bool, words: int = 1, open_: _Open | None = None) -> DataFrame:
+    """PAIRS of sets that meet under a token and pass the filters; the second one is the earlier.
+
+    Takes postings or PACKED lines. Where some of them are marked, by `wanted` or by open_, only these meet others.
+    """
+    kind = np.dtype([*POSTED, ("wanted", "<i4")] if marked else POSTED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for column in _whole_lists(batches):
+        for column in _whole_lists(batches, kind):
             own = _Lists(column, how, words)
-            for x, y, left in own.meetings(column["wanted"] if marked else None):
+            for x, y, left in _gathered(own.meetings(column["wanted"] if marked else None)):
                 ends = [pa.array(own.column[c][x].astype(np.int64)) for c in (*SET, *PLACE)]
-                if y is None:
-                    ends += [pa.nulls(len(x), pa.int64())] * 4
-                else:
-                    ends += [pa.array(own.column[c][y].astype(np.int64)) for c in (*SET, *PLACE)]
+                ends += [pa.array(own.column[c][y].astype(np.int64), mask=y < 0) for c in (*SET, *PLACE)]
                 yield pa.RecordBatch.from_arrays([pa.array(own.column["token"][x]), *ends, pa.array(left)], names=PAIRS.names)
 
-    ordered = lists.repartition("token").sortWithinPartitions("token", *PLACE, *SET)
-    return ordered.mapInArrow(run, PAIRS)
+    return _dealt(lists, kind, open_).mapInArrow(run, PAIRS)
+
+
+def _columns(posted: DataFrame) -> list[str]:
+    return [c for c in POSTING if c not in ("token", "at")] + ["tokens"] if "tokens" in posted.columns else POSTING
 
 
 def candidates(posted: DataFrame, how: Similar, words: int = 1) -> DataFrame:
-    """For each token and set its candidates up to the first likely one; a list stands for so many words."""
-    return _met(posted.select(*POSTING), how, marked=False, words=words)
+    """For each token and set its candidates up to the first likely one; a list stands for so many words.
+
+    Takes postings or PACKED lines.
+    """
+    return _met(posted.select(*_columns(posted)), how, marked=False, words=words)
 
 
 def other_candidates(posted: DataFrame, open_: DataFrame, how: Similar) -> DataFrame:
     """All candidates of the sets in open_ (token, name, parity) under those tokens."""
+    if open_.count() <= SMALL_ROWS:
+        few = open_.select("token", "name").distinct().toPandas()
+        token, name = (few[c].to_numpy(np.int64) for c in ("token", "name"))
+        return _met(posted.select(*_columns(posted)), how, marked=True, open_=_Open(token, posting_names(token, name)))
+    posted = unpacked(posted) if "tokens" in posted.columns else posted
     tokens = joined_small(posted.select(*POSTING), open_.select("token").distinct(), ["token"], SMALL_ROWS)
     wanted = open_.select("token", *SET, F.lit(1).alias("wanted")).distinct()
     lists = tokens.join(wanted, ["token", *SET], "left").withColumn("wanted", F.coalesce("wanted", F.lit(0)))
@@ -508,7 +736,7 @@ def _similar(pairs: DataFrame, docs: DataFrame, how: Similar, scratch: Scratch)
 
 
 def similar_sets(posted: DataFrame, docs: DataFrame, counts: np.ndarray, how: Similar, scratch: Scratch) -> DataFrame:
-    """name, parity of the sets that are like a set with an earlier first line."""
+    """name, parity of the sets that are like a set with an earlier first line; takes postings or PACKED lines."""
     found, words = None, 1
     while True:
         met = scratch.stored(candidates(posted, how, words), "line-pairs")
@@ -526,6 +754,8 @@ def similar_sets(posted: DataFrame, docs: DataFrame, counts: np.ndarray, how: Si
         if long.isEmpty():
             return found.distinct()
         words += 1
+        if "tokens" in posted.columns:
+            posted = unpacked(posted)
         if "used" not in posted.columns:
             posted = posted.withColumn("used", F.array("token"))
         posted = deeper(posted, long, docs, counts, how, words, scratch)
@@ -540,7 +770,7 @@ def removed_lines(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
 def _removed(docs: DataFrame, how: Similar, scratch: Scratch) -> DataFrame:
     counts = rarity(docs, how)
     sets = scratch.stored(packed_sets(docs, how, counts), "lines")
-    similar = similar_sets(unpacked(sets.filter("new")), docs, counts, how, scratch)
+    similar = similar_sets(sets.filter("new"), docs, counts, how, scratch)
     lines = sets.select("ord", "th", "line", *SET)
     repeated = lines.groupBy(*SET).count().filter("count > 1").select(*SET, F.lit(False).alias("similar"))
     told = repeated.unionByName(similar.withColumn("similar", F.lit(True))).groupBy(*SET).agg(F.max("similar").alias("similar"))
