@@ -1,7 +1,9 @@
 """Posting lists of line dedup: long ones, their order, and those that are read again."""
 
+import itertools
 import random
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from cases import removed_lines
@@ -111,3 +113,18 @@ def test_open_sets_meet_the_same_by_either_way(spark, monkeypatch):
     got.append(sorted(tuple(r) for r in lines.other_candidates(packed, open_, how).collect()))
     assert got[0] == got[1] and len(got[0]) > 30
     assert {r[:2] for r in got[0]} <= {(r["token"], r["name"]) for r in open_.collect()}
+
+
+def test_the_pipeline_does_not_take_lists_of_some_thousands_apart(spark, monkeypatch):
+    """9,000 lines of eight out of sixteen words, none like another: lists of thousands of sets, and no line goes."""
+
+    def never(*_):
+        raise AssertionError("a list was taken apart")
+
+    monkeypatch.setattr(lines, "deeper", never)
+    own = list(itertools.combinations([f"w{n}" for n in range(16)], 8))
+    random.Random(2).shuffle(own)
+    texts = ["\n".join(" ".join(x) for x in own[k : k + 20]) for k in range(0, 9000, 20)]
+    docs = spark.createDataFrame([(k, x, "en", "a", len(x)) for k, x in enumerate(texts)], "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT")
+    left = corpus_pipeline.line_dedup(spark, docs, "")
+    assert {r["doc_id"]: r["text"] for r in left.collect()} == dict(enumerate(texts))
